@@ -1,0 +1,180 @@
+import os
+
+import pytest
+from conftest import plan, rows, same
+from pyspark.sql import functions as F
+from test_tiers import at, spread_events
+
+from tierline.operators.tiers import merge, roll_up
+from tierline.plans import jobs
+from tierline.schema import HOUR, TIER_COLUMNS
+from tierline.sources import jdbc
+from tierline.sources.sample_tables import arrives_late
+from tierline.sources.tier_table import (
+    keep_window,
+    merge_duplicates,
+    read_tier,
+    repair_tier,
+    replace_partitions,
+    write_tier,
+)
+
+
+def test_write_and_prune(spark, tmp_path):
+    path = str(tmp_path / "tier")
+    metrics = jobs.ingest(spread_events(spark))
+    write_tier(metrics, path)
+    assert same(read_tier(spark, path), metrics.select(*TIER_COLUMNS))
+    part = read_tier(
+        spark, path, "view", "brand", "2019-10-01 06:00:00", "2019-10-01 07:00:00"
+    )
+    expected = metrics.where(
+        "event_type = 'view' and dim = 'brand' and bucket_end between "
+        "timestamp'2019-10-01 06:00:00' and timestamp'2019-10-01 07:00:00'"
+    )
+    assert same(part, expected.select(*TIER_COLUMNS))
+    text = plan(part)
+    assert "bucket_date" in text.split("PartitionFilters:")[1].split("\n")[0]
+    assert "bucket_end" in text.split("PushedFilters:")[1].split("\n")[0]
+
+
+def test_missing_tier_is_empty(spark, tmp_path):
+    path = str(tmp_path / "none")
+    assert read_tier(spark, path).isEmpty()
+    assert rows(spark.range(1).select(jobs.last_hour(spark, path).alias("t"))) == [
+        ("2019-10-01 00:00:00",)
+    ]
+
+
+def test_repair_equals_one_shot_and_may_be_repeated(spark, tmp_path):
+    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    events = spread_events(spark)
+    late = arrives_late(F.col("row_idx"))
+    whole = jobs.ingest(events, deduplicate=False).select(*TIER_COLUMNS)
+    jobs.store_minutes(events.where(~late), path, deduplicate=False)
+    delta = jobs.ingest(events.where(late), deduplicate=False)
+    for _ in range(2):
+        assert repair_tier(spark, path, delta, stage)
+        assert same(read_tier(spark, path), whole)
+    assert not repair_tier(spark, path, delta.limit(0), str(tmp_path / "other"))
+
+
+def test_repair_leaves_other_partitions_alone(spark, tmp_path, tier):
+    path = str(tmp_path / "tier")
+    write_tier(
+        tier(
+            ("view", "brand", "b", "2019-10-01 09:00:00", 1, 1),
+            ("view", "brand", "b", "2019-10-02 09:00:00", 1, 1),
+        ),
+        path,
+    )
+
+    def files(date):
+        folder = tmp_path / "tier" / "event_type=view" / "dim=brand" / f"bucket_date={date}"
+        return sorted(os.listdir(folder))
+
+    before = files("2019-10-01"), files("2019-10-02")
+    repair_tier(spark, path, tier(("view", "brand", "b", "2019-10-02 09:00:00", 2, 1)), str(tmp_path / "s"))
+    assert files("2019-10-01") == before[0] and files("2019-10-02") != before[1]
+    assert rows(read_tier(spark, path), "bucket_end", "price_sum", "event_count") == [
+        ("2019-10-01 09:00:00", 1.0, 1),
+        ("2019-10-02 09:00:00", 3.0, 2),
+    ]
+
+
+def test_unfinished_publish_is_repeated_from_the_stage(spark, tmp_path, tier):
+    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    staged = tier(("view", "brand", "b", "2019-10-01 09:00:00", 7, 7))
+    staged.write.parquet(stage)
+    replace_partitions(tier(("view", "brand", "b", "2019-10-01 09:00:00", 1, 1)), path, stage)
+    assert rows(read_tier(spark, path), "event_count") == [(7,)]
+
+
+def test_merge_duplicates(spark, tmp_path, tier):
+    path = str(tmp_path / "tier")
+    first = tier(
+        ("view", "brand", None, "2019-10-01 09:00:00", 1, 1),
+        ("view", "brand", "b", "2019-10-02 09:00:00", 1, 1),
+    )
+    write_tier(first, path)
+    write_tier(tier(("view", "brand", None, "2019-10-01 09:00:00", 4, 1)), path)
+    merge_duplicates(spark, path, str(tmp_path / "stage"))
+    assert rows(read_tier(spark, path), "dim_value", "price_sum", "event_count") == [
+        ("b", 1.0, 1),
+        (None, 5.0, 2),
+    ]
+
+
+def test_keep_window_drops_cuts_and_keeps(spark, tmp_path, tier):
+    path = str(tmp_path / "tier")
+    labels = ("1 08:00", "2 09:59", "2 10:00", "3 10:00")
+    metrics = tier(*[("view", "brand", "b", f"2019-10-0{t}:00", 1, 1) for t in labels])
+    write_tier(metrics, path)
+    for n in range(2):
+        keep_window(spark, path, at("2019-10-03 10:00:00"), 24, str(tmp_path / f"s{n}"))
+        assert rows(read_tier(spark, path), "bucket_end") == [
+            ("2019-10-02 10:00:00",),
+            ("2019-10-03 10:00:00",),
+        ]
+    folder = tmp_path / "tier" / "event_type=view" / "dim=brand"
+    assert sorted(p for p in os.listdir(folder) if p.startswith("bucket")) == [
+        "bucket_date=2019-10-02",
+        "bucket_date=2019-10-03",
+    ]
+
+
+def test_transport_catches_up_without_repeating_hours(spark, tmp_path):
+    minutes, hours = str(tmp_path / "minutes"), str(tmp_path / "hours")
+    events = spread_events(spark)
+    cuts = ["2019-10-01 00:00:00", "2019-10-01 10:30:00", "2019-10-02 01:15:00", "2019-10-04 00:00:00"]
+    for start, end in zip(cuts, cuts[1:]):
+        time = F.col("event_time")
+        jobs.store_minutes(events.where((time >= at(start)) & (time < at(end))), minutes, deduplicate=False)
+        for _ in range(2):
+            jobs.transport(spark, minutes, hours)
+    stored = merge(read_tier(spark, minutes))
+    newest = jobs.read_clock(stored)
+    expected = roll_up(stored.where(F.col("bucket_end") < F.date_trunc("hour", newest)), HOUR)
+    assert same(read_tier(spark, hours), expected)
+
+
+def test_backlog_reaches_the_hours(spark, tmp_path):
+    minutes, hours = str(tmp_path / "minutes"), str(tmp_path / "hours")
+    events = spread_events(spark)
+    late = arrives_late(F.col("row_idx"))
+    jobs.store_minutes(events.where(~late), minutes, deduplicate=False)
+    jobs.transport(spark, minutes, hours)
+    delta = jobs.ingest(events.where(late), deduplicate=False)
+    for _ in range(2):
+        assert jobs.process_backlog(spark, delta, minutes, hours, str(tmp_path / "stage"))
+    jobs.transport(spark, minutes, hours)
+    whole = jobs.ingest(events, deduplicate=False)
+    newest = jobs.read_clock(whole)
+    expected = roll_up(whole.where(F.col("bucket_end") < F.date_trunc("hour", newest)), HOUR)
+    assert same(read_tier(spark, hours), expected)
+
+
+def test_rank_does_not_depend_on_the_hour_tier(spark, tmp_path, tier):
+    minutes = str(tmp_path / "minutes")
+    write_tier(
+        tier(
+            ("view", "category_l3", "c", "2019-10-01 09:01:00", 1, 1),
+            ("view", "category_l3", "c", "2019-10-01 09:00:00", 1, 9),
+            ("purchase", "brand", "b", "2019-10-01 09:30:00", 4, 2),
+            ("view", "category_l3", "c", "2019-10-01 10:00:00", 1, 1),
+        ),
+        minutes,
+    )
+    assert rows(jobs.rank(spark, minutes)) == [
+        ("purchase", "brand", "b", 4.0, 2),
+        ("view", "category_l3", "c", 2.0, 2),
+    ]
+
+
+@pytest.mark.parametrize("suffix", ["minute", "hour", "rank"])
+def test_jdbc_options(suffix):
+    assert jdbc.table_name("view", "brand", suffix) == f"view_brand_{suffix}"
+    read = jdbc.read_options("jdbc:x", "view", "brand", suffix, "2019-10-01 00:00:00", "2019-10-02 00:00:00", 8)
+    assert read["dbtable"] == f"view_brand_{suffix}"
+    assert (read["partitionColumn"], read["numPartitions"]) == ("bucket_end", "8")
+    assert jdbc.write_options("jdbc:x", "view", "brand", suffix, 8)["batchsize"] == "10000"

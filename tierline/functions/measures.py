@@ -1,14 +1,25 @@
 """Measures of a metric row."""
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tierline.schema import MONEY_SUM
 
 
-def price_total() -> Column:
-    """Exact sum of raw prices."""
-    return F.sum("price").cast(MONEY_SUM).alias("price_sum")
+def price_cents() -> Column:
+    """Exact sum of raw prices in cents: integer sums cost a fraction of decimal ones."""
+    return F.sum((F.col("price") * 100).cast("bigint")).alias("cents")
+
+
+def merged_cents() -> Column:
+    return F.sum("cents").alias("cents")
+
+
+def money(cents: Column) -> Column:
+    """Cents as the money type of a tier."""
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
 
 
 def priced_events() -> Column:

@@ -11,7 +11,6 @@ FILE_TIME_FORMAT = "yyyy-MM-dd-HH-mm-ss"
 BLOCK_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 FILE_NAME_PATTERN = r"^.*(?<![\d-])(\d{4}(?:-\d{2}){5})(?:-(\d+))?(?:\.csv|/|$)"
 BLOCK_SECONDS = {"hour": 3600, "day": 86400}
-BLOCK_PATTERNS = {"hour": r"(\d{4}(?:-\d{2}){3})", "day": r"(\d{4}(?:-\d{2}){2})"}
 
 
 def parse_event_time(text: Column) -> Column:

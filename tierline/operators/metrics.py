@@ -27,12 +27,12 @@ def by_dimension(
     check_configuration(EVENTS, dimensions)
     keys = [*scope, "event_type", "bucket_end"]
     combined = events.groupBy(*keys, *dimensions).agg(
-        measures.price_total(), measures.priced_events()
+        measures.price_cents(), measures.priced_events()
     )
     fanned = combined.groupingSets(
         [[*keys, dim] for dim in dimensions], *keys, *dimensions
     ).agg(
-        measures.merged_total(),
+        measures.merged_cents(),
         measures.merged_count(),
         *[F.grouping(dim).alias(f"_no_{dim}") for dim in dimensions],
     )
@@ -45,7 +45,7 @@ def by_dimension(
         name.alias("dim"),
         value.alias("dim_value"),
         "bucket_end",
-        "price_sum",
+        measures.money(F.col("cents")).alias("price_sum"),
         "event_count",
     )
 

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline import workspace
 from tierline.functions import timegrid
 from tierline.functions.clean import clean_events, valid
 from tierline.operators.events import assign_servers
@@ -83,13 +84,43 @@ def compact_tier(spark: SparkSession, path: str, stage: str) -> None:
     merge_duplicates(spark, path, stage)
 
 
-def archive(spark: SparkSession, landing: str, target: str, block: str = "hour") -> None:
-    """Write every finished block of raw files that is not archived yet."""
+def pending_blocks(spark: SparkSession, landing: str, target: str, block: str) -> list[str]:
+    """Keys of finished blocks without a completed archive; as many as hours or days waiting.
+
+    They come from the files present, so an hour without files holds nothing up.
+    """
     files = raw_csv.inventory(spark, landing)
-    newest = raw_csv.newest_file_time(files)
-    events = raw_csv.finished_blocks(raw_csv.read_raw(spark, landing), newest, block)
-    done = raw_csv.archived_blocks(spark, target, block)
-    raw_csv.write_archive(events.join(done, "block", "left_anti"), target)
+    finished = raw_csv.finished_blocks(files, raw_csv.newest_file_time(files), block)
+    pending = finished.select("block").distinct().join(
+        raw_csv.archived_blocks(spark, target), "block", "left_anti"
+    )
+    return sorted(row.block for row in pending.collect())
+
+
+def archive(
+    spark: SparkSession,
+    landing: str,
+    target: str,
+    block: str = "hour",
+    remove_sources: bool = False,
+) -> list[str]:
+    """Compact every finished block of raw files that is not archived yet.
+
+    A run that died is repeated whole: blocks are noted as archived only after the write,
+    and raw files are removed only after that.
+    """
+    keys = pending_blocks(spark, landing, target, block)
+    if keys:
+        globs = raw_csv.block_globs(landing, keys)
+        events = raw_csv.read_raw(spark, globs).withColumn(
+            "block", timegrid.block_key(F.col("file_time"), block)
+        )
+        raw_csv.write_archive(events.where(F.col("block").isin(keys)), target)
+        raw_csv.record_archived(spark, target, keys)
+        if remove_sources:
+            for glob in globs:
+                workspace.remove_matching(spark, glob)
+    return keys
 
 
 def land(

@@ -18,6 +18,7 @@ from tierline.sources.sample_tables import (
     arrives_late,
     retail_event_stream,
     retail_events,
+    sample_events,
 )
 from tierline.sources.tier_table import read_tier, write_tier
 from tierline.streaming import ingest as stream
@@ -68,7 +69,7 @@ def raw_events(spark, folder):
 
 
 def concentrate_30x(spark, folder):
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = sample_events(spark, folder)
     time = timegrid.concentrate(F.col("ts").cast("timestamp"), 30, SAMPLE_START_EPOCH)
     return _plain(events.select("event_id", "ts", time.alias("event_time")))
 
@@ -110,7 +111,7 @@ def bucket_hour(spark, folder):
 
 
 def _sliced(spark, folder, keep):
-    events = spark.read.parquet(f"{folder}/events.parquet")
+    events = sample_events(spark, folder)
     return events.where(keep(F.col("ts"))).select("event_id", "ts", "event_type", "value")
 
 

@@ -11,6 +11,7 @@ from tierline.functions.clean import type_raw
 from tierline.schema import EMPTY_FOLDER_TIME, RAW_TEXT
 
 _TEXT_COLUMNS = RAW_TEXT.fieldNames()
+_LEDGER = "_archived"
 
 
 def _with_file(text: DataFrame) -> DataFrame:
@@ -25,13 +26,13 @@ def _with_file(text: DataFrame) -> DataFrame:
 
 
 def read_raw(
-    spark: SparkSession, folder: str, prefix: str = "", layout: StructType = RAW_TEXT
+    spark: SparkSession, folder: str | list[str], layout: StructType = RAW_TEXT
 ) -> DataFrame:
-    """Typed events of the CSV files in `folder` whose path starts with `prefix`.
+    """Typed events of the CSV files below a folder, or below folders given as globs.
 
-    `prefix` is part of the glob, so other blocks are not even listed. `layout` lists the
-    file's columns in order; unused ones are not parsed. A folder without such files gives
-    an empty frame.
+    A glob such as landing/*2019-10-01-13-* lists only the files of that hour. `layout`
+    names the file's columns in order; unused ones are not parsed. A missing folder gives an
+    empty frame.
     """
     try:
         text = (
@@ -40,7 +41,7 @@ def read_raw(
             .option("enforceSchema", True)
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", "*.csv*")
-            .csv(f"{folder}/{prefix}*" if prefix else folder)
+            .csv(folder)
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -184,8 +185,20 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     return type_raw(text)
 
 
-def archived_blocks(spark: SparkSession, folder: str, block: str) -> DataFrame:
-    """Distinct block keys present in an archive, from file paths alone."""
-    files = inventory(spark, folder, "*.csv.gz")
-    key = F.regexp_extract("path", f"block={timegrid.BLOCK_PATTERNS[block]}/", 1)
-    return files.select(key.alias("block")).where("block != ''").distinct()
+def block_globs(folder: str, block_keys: list[str]) -> list[str]:
+    """Globs for the landing files or folders of the given blocks."""
+    return [f"{folder}/*{key}-*" for key in block_keys]
+
+
+def archived_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of the blocks whose archive was completed."""
+    ledger = f"{folder}/{_LEDGER}"
+    if not workspace.exists(spark, ledger):
+        return spark.createDataFrame([], "block string")
+    return spark.read.schema("block string").parquet(ledger)
+
+
+def record_archived(spark: SparkSession, folder: str, block_keys: list[str]) -> None:
+    """Note completed blocks beside the archive; readers of the archive skip the ledger."""
+    keys = spark.createDataFrame([(key,) for key in block_keys], "block string")
+    keys.coalesce(1).write.mode("append").parquet(f"{folder}/{_LEDGER}")

@@ -9,6 +9,11 @@ from tierline.schema import MONEY
 # Sample times start here, and categories are numbered from here.
 SAMPLE_START_EPOCH = 1704067200
 CATEGORY_BASE = 2053013550000000000
+# Stated, so that no job has to read file footers before the query.
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int"
 
 
 def product_events(events: DataFrame, part: DataFrame, factor: int = 30) -> DataFrame:
@@ -18,8 +23,7 @@ def product_events(events: DataFrame, part: DataFrame, factor: int = 30) -> Data
     it sorts and merges, where AQE splits the partition of a hot product.
     """
     key = F.regexp_extract("props", "([0-9]+)", 1).try_cast("bigint")
-    product = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    joined = events.withColumn("k", key).join(product, F.col("k") == F.col("p_partkey"))
+    joined = events.withColumn("k", key).join(part, F.col("k") == F.col("p_partkey"))
     kind = F.lower("p_type")
     dotted = F.replace("p_name", F.lit(" "), F.lit("."))
     depth = F.pmod("k", F.lit(5))
@@ -46,13 +50,17 @@ def product_events(events: DataFrame, part: DataFrame, factor: int = 30) -> Data
     )
 
 
+def sample_events(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
+
+
+def sample_parts(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(PART_SCHEMA).parquet(f"{folder}/part.parquet")
+
+
 def retail_events(spark: SparkSession, folder: str, factor: int = 30) -> DataFrame:
     """Raw typed events of a sample folder."""
-    return product_events(
-        spark.read.parquet(f"{folder}/events.parquet"),
-        spark.read.parquet(f"{folder}/part.parquet"),
-        factor,
-    )
+    return product_events(sample_events(spark, folder), sample_parts(spark, folder), factor)
 
 
 def arrives_late(row_idx: Column) -> Column:
@@ -64,13 +72,11 @@ def retail_event_stream(
     spark: SparkSession, folder: str, factor: int = 30, bytes_per_batch: str | None = None
 ) -> DataFrame:
     """The same events as a stream; each carries its minute as `file_time`."""
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     # A glob: the stream source takes a single file only this way.
     events = reader.parquet(f"{folder}/events.parque[t]")
-    part = spark.read.parquet(f"{folder}/part.parquet")
-    return product_events(events, part, factor).withColumn(
+    return product_events(events, sample_parts(spark, folder), factor).withColumn(
         "file_time", timegrid.bucket_start(F.col("event_time"), 60)
     )

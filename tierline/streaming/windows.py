@@ -33,7 +33,7 @@ def minute_stream(events: DataFrame, dim: str, delay: str = "0 seconds") -> Data
     return (
         events.withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 minute").alias("minute"), "event_type", dim)
-        .agg(measures.price_total(), measures.priced_events())
+        .agg(measures.price_cents(), measures.priced_events())
     )
 
 
@@ -50,13 +50,13 @@ def trailing_hour_stream(events: DataFrame, dim: str, delay: str = "0 seconds")
             "event_type",
             dim,
         )
-        .agg(measures.merged_total(), measures.merged_count())
+        .agg(measures.merged_cents(), measures.merged_count())
         .select(
             "event_type",
             F.lit(dim).alias("dim"),
             F.col(dim).alias("dim_value"),
             F.col("hour.end").alias("bucket_end"),
-            "price_sum",
+            measures.money(F.col("cents")).alias("price_sum"),
             "event_count",
         )
     )

@@ -38,3 +38,12 @@ def remove(spark: SparkSession, path: str) -> bool:
     """Delete one folder or file; a metadata call, however large it is."""
     system, target = _file_system(spark, path)
     return system.delete(target, True)
+
+
+def remove_matching(spark: SparkSession, glob: str) -> int:
+    """Delete what a glob matches; returns how many entries that were."""
+    system, pattern = _file_system(spark, glob)
+    entries = system.globStatus(pattern) or []
+    for entry in entries:
+        system.delete(entry.getPath(), True)
+    return len(entries)
