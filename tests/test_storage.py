@@ -90,6 +90,15 @@ def test_unfinished_publish_is_repeated_from_the_stage(spark, tmp_path, tier):
     assert rows(read_tier(spark, path), "event_count") == [(7,)]
 
 
+def test_a_published_repair_does_not_undo_later_rows(spark, tmp_path, tier):
+    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    late = tier(("view", "brand", "b", "2019-10-01 09:00:00", 1, 1))
+    repair_tier(spark, path, late, stage)
+    write_tier(tier(("view", "brand", "b", "2019-10-01 10:00:00", 2, 2)), path)
+    repair_tier(spark, path, late, stage)
+    assert rows(read_tier(spark, path), "event_count") == [(1,), (2,)]
+
+
 def test_merge_duplicates(spark, tmp_path, tier):
     path = str(tmp_path / "tier")
     first = tier(

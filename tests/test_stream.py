@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from test_files import line, put
 from test_tiers import spread_events
 
+from tierline.operators.tiers import roll_up
 from tierline.plans import jobs
-from tierline.schema import TIER_COLUMNS
+from tierline.schema import HOUR, TIER_COLUMNS
 from tierline.sources.raw_csv import read_raw, stream_raw
 from tierline.streaming import ingest as stream
 from tierline.streaming.windows import first_view_stream, minute_stream
@@ -38,20 +39,32 @@ def test_the_file_out_of_order_is_late_and_counted(spark, tmp_path):
     flags = stream.read_deltas(spark, deltas).select("batch_id", "is_late").distinct()
     assert rows(flags) == [(0, False), (1, False), (2, False), (3, True), (4, False)]
     batch = jobs.ingest(read_raw(spark, str(tmp_path / "in"))).select(*TIER_COLUMNS)
-    assert same(stream.served_minutes(spark, deltas), batch)
+    assert same(stream.served_tier(spark, deltas), batch)
     assert not stream.late_deltas(spark, deltas).isEmpty()
     assert stream.late_deltas(spark, deltas, after_batch=3).isEmpty()
     label = stream.late_deltas(spark, deltas).select("bucket_end").distinct()
     assert rows(label) == [("2019-10-01 10:16:00",)]
 
 
+def test_hours_are_kept_beside_the_minutes(spark, tmp_path):
+    drop(tmp_path / "in", *ARRIVALS, "11-00-00-0")
+    deltas, hours = str(tmp_path / "deltas"), str(tmp_path / "hours")
+    source = stream_raw(spark, str(tmp_path / "in"), files_per_batch=1)
+    query = stream.run_ingest(source, deltas, str(tmp_path / "progress"), hour_path=hours)
+    query.awaitTermination()
+    assert same(stream.served_tier(spark, hours), roll_up(stream.served_tier(spark, deltas), HOUR))
+    assert rows(stream.late_deltas(spark, hours).select("bucket_end").distinct()) == [
+        ("2019-10-01 11:00:00",)
+    ]
+
+
 def test_a_repeated_batch_counts_nothing_twice(spark, tmp_path):
     drop(tmp_path / "in", *ARRIVALS)
     deltas = run(spark, tmp_path)
-    before = rows(stream.served_minutes(spark, deltas))
+    before = rows(stream.served_tier(spark, deltas))
     again = read_raw(spark, str(tmp_path / "in")).where("file_time = '2019-10-01 10:15:00' and server = 3")
     stream.write_batch(again, 3, deltas)
-    assert rows(stream.served_minutes(spark, deltas)) == before
+    assert rows(stream.served_tier(spark, deltas)) == before
     flags = stream.read_deltas(spark, deltas).where("batch_id = 3").select("is_late").distinct()
     assert rows(flags) == [(True,)]
 
@@ -76,13 +89,13 @@ def test_late_deltas_feed_the_backlog_job(spark, tmp_path):
 
     write_tier(live, minutes)
     assert jobs.process_backlog(spark, late, minutes, hours, str(tmp_path / "stage"))
-    assert same(read_tier(spark, minutes), stream.served_minutes(spark, deltas))
+    assert same(read_tier(spark, minutes), stream.served_tier(spark, deltas))
 
 
 def test_bad_times_do_not_reach_a_tier(spark, tmp_path):
     put(tmp_path / "in", "2019-10-01-10-15-00-0.csv", line(1, "10:15:10"), line(2, "x"))
     deltas = run(spark, tmp_path)
-    assert stream.served_minutes(spark, deltas).where("bucket_end is null").isEmpty()
+    assert stream.served_tier(spark, deltas).where("bucket_end is null").isEmpty()
 
 
 def files_stream(spark, tmp_path, events, parts=3):

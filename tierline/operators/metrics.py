@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import measures
+from tierline.functions.clean import clean_events, valid
 from tierline.operators.events import first_views, split_events, with_bucket
 from tierline.schema import (
     DIMENSIONS,
@@ -58,11 +59,14 @@ def minute_metrics(
     deduplicate: bool = True,
     scope: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Cleaned events to minute metric rows."""
-    chosen = split_events(events, event_types)
+    """Raw typed events to minute metric rows.
+
+    Repeated views go first, so that the rest is done for counted events only.
+    """
+    chosen = split_events(valid(events), event_types)
     if deduplicate:
         chosen = first_views(chosen, scope)
-    return by_dimension(with_bucket(chosen, step), dimensions, scope)
+    return by_dimension(with_bucket(clean_events(chosen), step), dimensions, scope)
 
 
 def published(metrics: DataFrame, time: str | None = "bucket_end") -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tierline import workspace
 from tierline.functions import timegrid
-from tierline.functions.clean import clean_events, valid
+from tierline.functions.clean import valid
 from tierline.operators.events import assign_servers
 from tierline.operators.metrics import minute_metrics
 from tierline.operators.tiers import finished_until, read_clock, roll_up, trailing_totals
@@ -16,13 +16,14 @@ from tierline.sources.tier_table import (
     merge_duplicates,
     read_tier,
     repair_tier,
+    stage_rows,
     write_tier,
 )
 
 
 def ingest(events: DataFrame, **metric_options) -> DataFrame:
     """Raw typed events to minute metric rows."""
-    return minute_metrics(clean_events(valid(events)), **metric_options)
+    return minute_metrics(events, **metric_options)
 
 
 def store_minutes(events: DataFrame, minute_path: str, **metric_options) -> None:
@@ -63,13 +64,15 @@ def process_backlog(
     """Merge late metric rows into the minute tier and into the hours already transported.
 
     Hours after the hour tier's newest label are left to `transport`, which reads the
-    repaired minutes. False if nothing was late. Repeating it with the same `stage` is safe.
+    repaired minutes; so after a failure repeat this with the same `stage`, which counts
+    nothing twice, before the next transport. False if nothing was late.
     """
-    done = last_hour(spark, hour_path)
-    if not repair_tier(spark, minute_path, late, f"{stage}/minute"):
+    late = stage_rows(late, f"{stage}/minute/late")
+    if late.isEmpty():
         return False
-    late_rows = spark.read.parquet(f"{stage}/minute/late")
-    late_hours = roll_up(late_rows, HOUR).where(F.col("bucket_end") <= done)
+    transported = F.col("bucket_end") <= last_hour(spark, hour_path)
+    late_hours = stage_rows(roll_up(late, HOUR).where(transported), f"{stage}/hour/late")
+    repair_tier(spark, minute_path, late, f"{stage}/minute")
     repair_tier(spark, hour_path, late_hours, f"{stage}/hour")
     return True
 

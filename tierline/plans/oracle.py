@@ -150,13 +150,30 @@ last_hour AS (
 )"""
 
 
-def _archive(block: str, factor: int) -> str:
+_PUBLISHED = """
+SELECT event_type, dim, dim_value, {time}
+       CASE WHEN event_type = 'purchase' THEN CAST(price_sum AS DOUBLE) END AS gmv,
+       CASE WHEN event_type = 'view' OR dim = 'product_id' THEN event_count END AS event_count,
+       CASE WHEN dim = 'product_id' AND event_count > 0
+            THEN CAST(price_sum AS DOUBLE) / event_count END AS avg_price
+FROM {source}"""
+
+_HOUR_TIER = (
+    _with(_raw(), _CLEAN, _counted(), _minutes(), _rolled("minutes", "bucket_end", "hour", "hours"))
+    + _TIER
+    + "hours"
+)
+
+
+def _archive(block: str, factor: int, slice_unit: str = "minute") -> str:
     form = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d"}[block]
     return (
         _with(_raw(factor))
         + f"SELECT {_RAW_COLUMNS}, strftime(event_time, '{form}') AS block FROM raw"
         + f" WHERE date_trunc('{block}', event_time) + INTERVAL 1 {block}"
-        + " < (SELECT max(date_trunc('minute', event_time)) FROM raw)"
+        + " < (SELECT max(date_trunc('"
+        + slice_unit
+        + "', event_time)) FROM raw)"
     )
 
 
@@ -194,18 +211,8 @@ FROM events""",
     "purchase_category_minute": _categories("purchase"),
     "minute_tier": _MINUTE_TIER,
     "minute_tier_published": _with(_raw(), _CLEAN, _counted(), _minutes())
-    + """
-SELECT event_type, dim, dim_value, bucket_end,
-       CASE WHEN event_type = 'purchase' THEN CAST(price_sum AS DOUBLE) END AS gmv,
-       CASE WHEN event_type = 'view' OR dim = 'product_id' THEN event_count END AS event_count,
-       CASE WHEN dim = 'product_id' AND event_count > 0
-            THEN CAST(price_sum AS DOUBLE) / event_count END AS avg_price
-FROM minutes""",
-    "hour_tier": _with(
-        _raw(), _CLEAN, _counted(), _minutes(), _rolled("minutes", "bucket_end", "hour", "hours")
-    )
-    + _TIER
-    + "hours",
+    + _PUBLISHED.format(time="bucket_end,", source="minutes"),
+    "hour_tier": _HOUR_TIER,
     "hour_tier_event_aligned": _with(
         _raw(),
         _CLEAN,
@@ -249,6 +256,8 @@ FROM counted WHERE event_type = 'view' GROUP BY product_id, bucket_end""",
     + """
 SELECT event_type, dim, dim_value, CAST(price_sum AS DOUBLE) AS price_sum, event_count
 FROM last_hour""",
+    "rank_tables": _with(_raw(), _CLEAN, _counted(), _minutes(), _TRAILING)
+    + _PUBLISHED.format(time="", source="last_hour"),
     "rolling_hour_rank": _with(_raw(), _CLEAN, _counted(), _minutes(), _TRAILING)
     + """,
 scored AS (
@@ -309,7 +318,9 @@ SELECT {_RAW_COLUMNS}, date_trunc('hour', event_time) AS file_time, server
 FROM raw JOIN (SELECT row_idx, server FROM dealt) USING (row_idx)""",
     "archive_block_hour": _archive("hour", 30),
     "archive_block_day": _archive("day", 1),
+    "archive_landing": _archive("hour", 30, "hour"),
     "stream_minute_tier": _MINUTE_TIER,
+    "stream_hour_tier": _HOUR_TIER,
     "stream_backlog": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes())
     + """,
 live_clock AS (

@@ -22,7 +22,7 @@ from tierline.sources.sample_tables import (
 )
 from tierline.sources.tier_table import read_tier, write_tier
 from tierline.streaming import ingest as stream
-from tierline.streaming.windows import ROCKS_DB, STATE_STORE, first_view_stream, trailing_hour_stream
+from tierline.streaming.windows import first_view_stream, large_state, trailing_hour_stream
 from tierline.workspace import new_folder
 
 CATEGORY_LEVELS = ("category_l1", "category_l2", "category_l3")
@@ -223,6 +223,12 @@ def rolling_hour_totals(spark, folder):
     return _plain(jobs.rank(spark, _stored_minutes(spark, folder)))
 
 
+def rank_tables(spark, folder):
+    """The trailing hour with the measures each rank table shows."""
+    totals = jobs.rank(spark, _stored_minutes(spark, folder))
+    return _plain(me.published(totals, time=None))
+
+
 def rolling_hour_rank(spark, folder):
     totals = jobs.rank(spark, _stored_minutes(spark, folder))
     return _plain(ti.top(totals, TOP_K))
@@ -345,6 +351,15 @@ def _archived(block, factor):
     return query
 
 
+def archive_landing(spark, folder):
+    """Hourly landing files compacted by the archive job."""
+    landing, target = new_folder(spark, "landing"), new_folder(spark, "archive")
+    events = retail_events(spark, folder)
+    jobs.land(events, landing, factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=HOUR)
+    jobs.archive(spark, landing, target)
+    return _plain(raw_csv.read_archive(spark, target))
+
+
 # Streams
 
 
@@ -352,7 +367,19 @@ def stream_minute_tier(spark, folder):
     deltas = new_folder(spark, "deltas")
     events = retail_event_stream(spark, folder)
     stream.run_ingest(events, deltas, new_folder(spark, "progress")).awaitTermination()
-    return _plain(stream.served_minutes(spark, deltas))
+    return _plain(stream.served_tier(spark, deltas))
+
+
+def stream_hour_tier(spark, folder):
+    """Hours kept by the stream itself beside its minutes."""
+    minutes, hours = new_folder(spark, "deltas"), new_folder(spark, "deltas")
+    stream.run_ingest(
+        retail_event_stream(spark, folder),
+        minutes,
+        new_folder(spark, "progress"),
+        hour_path=hours,
+    ).awaitTermination()
+    return _plain(stream.served_tier(spark, hours))
 
 
 def stream_backlog(spark, folder):
@@ -381,15 +408,15 @@ def stream_backlog(spark, folder):
 def _to_files(rows: DataFrame, spark: SparkSession, schema) -> DataFrame:
     """Run an append-mode stream over all present input into Parquet files and read them."""
     out = new_folder(spark, "stream")
-    spark.conf.set(STATE_STORE, ROCKS_DB)
-    (
-        rows.writeStream.format("parquet")
-        .option("checkpointLocation", new_folder(spark, "progress"))
-        .option("path", out)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    with large_state(spark):
+        query = (
+            rows.writeStream.format("parquet")
+            .option("checkpointLocation", new_folder(spark, "progress"))
+            .option("path", out)
+            .trigger(availableNow=True)
+            .start()
+        )
+    query.awaitTermination()
     return spark.read.schema(schema).parquet(out)
 
 
@@ -432,6 +459,7 @@ QUERIES = {
     "merge_average": merge_average,
     "transport_hours": transport_hours,
     "rolling_hour_totals": rolling_hour_totals,
+    "rank_tables": rank_tables,
     "rolling_hour_rank": rolling_hour_rank,
     "rolling_hour_series": rolling_hour_series,
     "tier_clock": tier_clock,
@@ -445,7 +473,9 @@ QUERIES = {
     "landing_files": landing_files,
     "archive_block_hour": _archived("hour", 30),
     "archive_block_day": _archived("day", 1),
+    "archive_landing": archive_landing,
     "stream_minute_tier": stream_minute_tier,
+    "stream_hour_tier": stream_hour_tier,
     "stream_backlog": stream_backlog,
     "stream_view_dedup": stream_view_dedup,
     "stream_rolling_hour": stream_rolling_hour,

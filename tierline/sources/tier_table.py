@@ -7,7 +7,7 @@ from tierline import workspace
 from tierline.functions import timegrid
 from tierline.operators.backlog import affected_partitions, repaired, with_bucket_date
 from tierline.operators.tiers import merge, retention_cutoff
-from tierline.schema import PARTITIONS, STORED_TIER, TIER_COLUMNS
+from tierline.schema import PARTITIONS, STORED_TIER, TIER, TIER_COLUMNS
 
 
 def _laid_out(metrics: DataFrame) -> DataFrame:
@@ -54,23 +54,32 @@ def read_tier(
     return rows.select(*TIER_COLUMNS)
 
 
+def stage_rows(metrics: DataFrame, stage: str) -> DataFrame:
+    """Rows written to `stage` and read from there; a finished stage is taken as it is."""
+    spark = metrics.sparkSession
+    if not workspace.finished(spark, stage):
+        metrics.select(*TIER_COLUMNS).write.mode("overwrite").parquet(stage)
+    return spark.read.schema(TIER).parquet(stage)
+
+
 def replace_partitions(metrics: DataFrame, path: str, stage: str) -> None:
     """Replace exactly the partitions that `metrics` has rows in.
 
     The rows go to `stage` first: they may come from the table itself, and a run that
-    died while publishing can be repeated from the finished stage.
+    died while publishing can be repeated from the finished stage. A published stage is
+    not published again. Nothing else may write to these partitions meanwhile.
     """
     spark = metrics.sparkSession
-    if not workspace.finished(spark, stage):
-        metrics.select(*TIER_COLUMNS).write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
+    if workspace.published(spark, stage):
+        return
     (
-        _laid_out(staged)
+        _laid_out(stage_rows(metrics, stage))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITIONS)
         .parquet(path)
     )
+    workspace.mark_published(spark, stage)
 
 
 def _in_partitions(rows: DataFrame, partitions: DataFrame) -> DataFrame:
@@ -84,17 +93,14 @@ def _in_partitions(rows: DataFrame, partitions: DataFrame) -> DataFrame:
 def repair_tier(spark: SparkSession, path: str, late: DataFrame, stage: str) -> bool:
     """Merge late rows into a stored tier, rewriting only the partitions they fall in.
 
-    `stage` names this repair: running it again with the same folder publishes the same
-    rows and does not count the late ones twice. False if there was nothing late.
+    `stage` names this repair: running it again with the same folder finishes it and does
+    not count the late rows twice. False if there was nothing late.
     """
-    late_path, merged_path = f"{stage}/late", f"{stage}/merged"
-    if not workspace.finished(spark, late_path):
-        late.select(*TIER_COLUMNS).write.mode("overwrite").parquet(late_path)
-    late = spark.read.parquet(late_path)
+    late = stage_rows(late, f"{stage}/late")
     if late.isEmpty():
         return False
     touched = _in_partitions(_stored(spark, path), affected_partitions(late))
-    replace_partitions(repaired(touched.select(*TIER_COLUMNS), late), path, merged_path)
+    replace_partitions(repaired(touched.select(*TIER_COLUMNS), late), path, f"{stage}/merged")
     return True
 
 

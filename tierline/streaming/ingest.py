@@ -11,12 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from tierline import workspace
-from tierline.functions.clean import clean_events, valid
 from tierline.operators.backlog import with_bucket_date
 from tierline.operators.events import flag_late
 from tierline.operators.metrics import minute_metrics
-from tierline.operators.tiers import merge, read_clock
-from tierline.schema import DIMENSIONS, EVENTS, PARTITIONS, STORED_TIER, TIER_COLUMNS
+from tierline.operators.tiers import merge, read_clock, roll_up
+from tierline.schema import DIMENSIONS, EVENTS, HOUR, PARTITIONS, STORED_TIER, TIER_COLUMNS
 
 DELTA = StructType(
     [
@@ -33,8 +32,8 @@ def read_deltas(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DELTA).parquet(path)
 
 
-def served_minutes(spark: SparkSession, path: str) -> DataFrame:
-    """The minute tier behind a delta table."""
+def served_tier(spark: SparkSession, path: str) -> DataFrame:
+    """The tier behind a delta table."""
     return merge(read_deltas(spark, path).select(*TIER_COLUMNS))
 
 
@@ -43,11 +42,7 @@ def high_water(spark: SparkSession, path: str, before_batch: int) -> Column:
     return read_clock(read_deltas(spark, path).where(F.col("batch_id") < before_batch))
 
 
-def write_batch(events: DataFrame, batch_id: int, path: str, **metric_options) -> None:
-    """Flag, aggregate and store one micro-batch."""
-    spark = events.sparkSession
-    flagged = flag_late(valid(events), high_water(spark, path, batch_id))
-    metrics = minute_metrics(clean_events(flagged), scope=("is_late",), **metric_options)
+def _write_deltas(metrics: DataFrame, batch_id: int, path: str) -> None:
     (
         with_bucket_date(metrics)
         .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -60,11 +55,36 @@ def write_batch(events: DataFrame, batch_id: int, path: str, **metric_options) -
     )
 
 
+def write_batch(
+    events: DataFrame, batch_id: int, path: str, hour_path: str | None = None, **metric_options
+) -> None:
+    """Flag, aggregate and store one micro-batch, and its share of the hours if asked.
+
+    The hours of a batch are the roll-up of its own minutes, so a late file corrects them
+    just as it corrects the minutes.
+    """
+    spark = events.sparkSession
+    flagged = flag_late(events, high_water(spark, path, batch_id))
+    _write_deltas(
+        minute_metrics(flagged, scope=("is_late",), **metric_options), batch_id, path
+    )
+    if hour_path:
+        own = read_deltas(spark, path).where(F.col("batch_id") == batch_id)
+        hours = [
+            roll_up(own.where(F.col("is_late") == late).select(*TIER_COLUMNS), HOUR).withColumn(
+                "is_late", F.lit(late)
+            )
+            for late in (False, True)
+        ]
+        _write_deltas(hours[0].unionByName(hours[1]), batch_id, hour_path)
+
+
 def run_ingest(
     events: DataFrame,
     path: str,
     checkpoint: str,
     every: str | None = None,
+    hour_path: str | None = None,
     event_types=EVENTS,
     dimensions=DIMENSIONS,
     deduplicate: bool = True,
@@ -74,7 +94,12 @@ def run_ingest(
     `every` is a processing interval such as "60 seconds"; without it the query handles
     all files present and stops.
     """
-    options = dict(event_types=event_types, dimensions=dimensions, deduplicate=deduplicate)
+    options = dict(
+        hour_path=hour_path,
+        event_types=event_types,
+        dimensions=dimensions,
+        deduplicate=deduplicate,
+    )
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
         lambda batch, batch_id: write_batch(batch, batch_id, path, **options)
     )

@@ -1,13 +1,33 @@
 """Windowed and stateful streams without foreachBatch."""
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.functions import measures
 
-# State that outgrows executor memory goes to disk.
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Settings for state that outgrows executor memory. It is kept on local disk
+# and its changes are saved to the checkpoint folder, so a lost executor loses nothing.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def large_state(spark: SparkSession):
+    """Queries started inside keep these settings; the session gets its own back."""
+    before = {key: spark.conf.get(key, None) for key in LARGE_STATE}
+    for key, value in LARGE_STATE.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def first_view_stream(views: DataFrame, horizon: str = "24 hours", spread: int = 64) -> DataFrame:

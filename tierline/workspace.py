@@ -34,6 +34,16 @@ def finished(spark: SparkSession, path: str) -> bool:
     return exists(spark, f"{path}/_SUCCESS")
 
 
+def mark_published(spark: SparkSession, stage: str) -> None:
+    """Note that the rows staged in `stage` have reached their table."""
+    system, target = _file_system(spark, f"{stage}/_PUBLISHED")
+    system.create(target, True).close()
+
+
+def published(spark: SparkSession, stage: str) -> bool:
+    return exists(spark, f"{stage}/_PUBLISHED")
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Delete one folder or file; a metadata call, however large it is."""
     system, target = _file_system(spark, path)
