@@ -98,6 +98,17 @@ def test_bad_times_do_not_reach_a_tier(spark, tmp_path):
     assert stream.served_tier(spark, deltas).where("bucket_end is null").isEmpty()
 
 
+def test_trim_deletes_whole_dates(spark, tmp_path):
+    source = tmp_path / "in"
+    put(source, "2019-10-01-10-15-00-0.csv", "1,2019-10-01 10:15:10,view,5,7,a,,1,s")
+    put(source, "2019-10-03-10-15-00-0.csv", "2,2019-10-03 10:15:10,view,5,7,a,,1,s")
+    deltas = run(spark, tmp_path)
+    stream.trim(spark, deltas, 24)
+    assert rows(stream.served_tier(spark, deltas).select("bucket_end").distinct()) == [
+        ("2019-10-03 10:16:00",)
+    ]
+
+
 def files_stream(spark, tmp_path, events, parts=3):
     """Events as a stream over a few Parquet files."""
     path = str(tmp_path / "events")

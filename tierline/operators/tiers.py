@@ -7,25 +7,27 @@ from tierline.functions import measures, timegrid
 from tierline.schema import GRID_START, TIER_COLUMNS, TIER_KEYS
 
 
-def merge(metrics: DataFrame) -> DataFrame:
+def merge(metrics: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """One row per key; sums and counts are kept, so any split merges to the same result."""
     return (
-        metrics.groupBy(*TIER_KEYS)
+        metrics.groupBy(*TIER_KEYS, *scope)
         .agg(measures.merged_total(), measures.merged_count())
-        .select(*TIER_COLUMNS)
+        .select(*TIER_COLUMNS, *scope)
     )
 
 
-def roll_up(metrics: DataFrame, step: int, source_step: int = 0) -> DataFrame:
+def roll_up(
+    metrics: DataFrame, step: int, source_step: int = 0, scope: tuple[str, ...] = ()
+) -> DataFrame:
     """Coarser tier. Labels are bucketed like event times: hour 10:00 holds labels 09:00-09:59.
 
     `source_step` moves labels back by one source bucket first, which aligns the coarse
-    buckets with event time instead.
+    buckets with event time instead. `scope` adds key columns.
     """
     label = F.col("bucket_end")
     if source_step:
         label = timegrid.shift(label, -source_step)
-    return merge(metrics.withColumn("bucket_end", timegrid.bucket_end(label, step)))
+    return merge(metrics.withColumn("bucket_end", timegrid.bucket_end(label, step)), scope)
 
 
 def clock_value(newest: bool = True) -> Column:

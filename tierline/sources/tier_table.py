@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import workspace
-from tierline.functions import timegrid
 from tierline.operators.backlog import affected_partitions, repaired, with_bucket_date
 from tierline.operators.tiers import merge, retention_cutoff
 from tierline.schema import PARTITIONS, STORED_TIER, TIER, TIER_COLUMNS
@@ -123,31 +122,35 @@ def merge_duplicates(spark: SparkSession, path: str, stage: str) -> None:
     replace_partitions(merge(touched), path, stage)
 
 
-def keep_window(spark: SparkSession, path: str, now: Column, hours: int, stage: str) -> None:
-    """Drop rows older than `now` minus `hours`: whole partitions are deleted, the ones that
-    hold the cutoff are rewritten, newer ones are not touched."""
-    cutoff = retention_cutoff(now, hours)
+def drop_expired(spark: SparkSession, path: str, rows: DataFrame, cutoff: Column) -> list:
+    """Delete the partitions of `rows`, stored at `path`, that end before the cutoff.
+
+    Returns the dates that the cutoff runs through. One short row per partition comes to
+    the driver, and deleting is a metadata call.
+    """
     spans = (
-        _stored(spark, path)
-        .groupBy(*PARTITIONS)
+        rows.groupBy(*PARTITIONS)
         .agg(F.min("bucket_end").alias("first"), F.max("bucket_end").alias("last"))
-        .select(
-            *PARTITIONS,
-            (F.col("last") < cutoff).alias("expired"),
-            ((F.col("first") < cutoff) & (F.col("last") >= cutoff)).alias("cut"),
-        )
-        .where("expired or cut")
-        .collect()  # one row per expiring partition
+        .where(F.col("first") < cutoff)
+        .select(*PARTITIONS, (F.col("last") < cutoff).alias("expired"))
+        .collect()
     )
-    dates = sorted({row.bucket_date for row in spans if row.cut})
-    if dates:
-        kept = _stored(spark, path).where(
-            F.col("bucket_date").isin(dates) & (F.col("bucket_end") >= cutoff)
-        )
-        replace_partitions(kept, path, stage)
     for row in spans:
         if row.expired:
             workspace.remove(
                 spark,
                 f"{path}/event_type={row.event_type}/dim={row.dim}/bucket_date={row.bucket_date}",
             )
+    return sorted({row.bucket_date for row in spans if not row.expired})
+
+
+def keep_window(spark: SparkSession, path: str, now: Column, hours: int, stage: str) -> None:
+    """Drop rows older than `now` minus `hours`: whole partitions are deleted, the ones that
+    hold the cutoff are rewritten, newer ones are not touched."""
+    cutoff = retention_cutoff(now, hours)
+    dates = drop_expired(spark, path, _stored(spark, path), cutoff)
+    if dates:
+        kept = _stored(spark, path).where(
+            F.col("bucket_date").isin(dates) & (F.col("bucket_end") >= cutoff)
+        )
+        replace_partitions(kept, path, stage)

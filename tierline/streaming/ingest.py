@@ -14,8 +14,9 @@ from tierline import workspace
 from tierline.operators.backlog import with_bucket_date
 from tierline.operators.events import flag_late
 from tierline.operators.metrics import minute_metrics
-from tierline.operators.tiers import merge, read_clock, roll_up
+from tierline.operators.tiers import merge, read_clock, retention_cutoff, roll_up
 from tierline.schema import DIMENSIONS, EVENTS, HOUR, PARTITIONS, STORED_TIER, TIER_COLUMNS
+from tierline.sources.tier_table import drop_expired
 
 DELTA = StructType(
     [
@@ -70,13 +71,7 @@ def write_batch(
     )
     if hour_path:
         own = read_deltas(spark, path).where(F.col("batch_id") == batch_id)
-        hours = [
-            roll_up(own.where(F.col("is_late") == late).select(*TIER_COLUMNS), HOUR).withColumn(
-                "is_late", F.lit(late)
-            )
-            for late in (False, True)
-        ]
-        _write_deltas(hours[0].unionByName(hours[1]), batch_id, hour_path)
+        _write_deltas(roll_up(own, HOUR, scope=("is_late",)), batch_id, hour_path)
 
 
 def run_ingest(
@@ -107,6 +102,12 @@ def run_ingest(
     return writer.trigger(**trigger).start()
 
 
+def trim(spark: SparkSession, path: str, hours: int = 24) -> None:
+    """Delete the dates of a delta table that lie wholly before its clock minus `hours`."""
+    deltas = read_deltas(spark, path)
+    drop_expired(spark, path, deltas, retention_cutoff(read_clock(deltas), hours))
+
+
 def late_deltas(spark: SparkSession, path: str, after_batch: int = -1) -> DataFrame:
     """Metric rows of late files stored after a batch; `isEmpty()` tells if there is a backlog."""
     late = read_deltas(spark, path).where(F.col("is_late") & (F.col("batch_id") > after_batch))
