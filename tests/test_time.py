@@ -77,6 +77,7 @@ def test_look_back_defaults_to_a_day(spark):
     [
         ("2019-10-01 10:15:26", "2019-10-01 10:15:26"),
         ("2019-10-01 10:15:26 UTC", "2019-10-01 10:15:26"),
+        ("2019-10-01", None),
         ("x", None),
         ("2019-13-01 00:00:00", None),
         (None, None),

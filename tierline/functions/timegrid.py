@@ -9,15 +9,13 @@ from tierline.schema import GRID_START_EPOCH
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 FILE_TIME_FORMAT = "yyyy-MM-dd-HH-mm-ss"
 BLOCK_FORMATS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
-FILE_NAME_PATTERN = r"^.*(?<![\d-])(\d{4}(?:-\d{2}){5})(?:-(\d+))?(?:\.csv|/|$)"
+FILE_NAME_PATTERN = r"(?:^|/)(\d{4}(?:-\d{2}){5})(?:-(\d+))?"
 BLOCK_SECONDS = {"hour": 3600, "day": 86400}
 
 
 def parse_event_time(text: Column) -> Column:
     """Event text to TIMESTAMP; unreadable text becomes NULL."""
-    return F.try_to_timestamp(
-        F.regexp_replace(F.trim(text), " UTC$", ""), F.lit(EVENT_TIME_FORMAT)
-    )
+    return F.try_to_timestamp(F.rtrim(text, F.lit(" UTC")), F.lit(EVENT_TIME_FORMAT))
 
 
 def bucket_start(time: Column, step: int) -> Column:
@@ -71,16 +69,23 @@ def concentrate(time: Column, factor: int, base_epoch: int = GRID_START_EPOCH) -
     )
 
 
+def _last_names(path: Column) -> Column:
+    """The file's own name, then its folder's (after any "key="): the first dated one counts."""
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.concat_ws(
+        "/", F.substring_index(path, "/", -1), F.substring_index(folder, "=", -1)
+    )
+
+
 def file_time(path: Column) -> Column:
     """Time in a file name such as temp/2019-10-01-01-00-00-3.csv; NULL where there is none."""
-    key = F.regexp_extract(path, FILE_NAME_PATTERN, 1)
-    return F.try_to_timestamp(F.nullif(key, F.lit("")), F.lit(FILE_TIME_FORMAT))
+    key = F.regexp_extract(_last_names(path), FILE_NAME_PATTERN, 1)
+    return F.try_to_timestamp(key, F.lit(FILE_TIME_FORMAT))
 
 
 def file_server(path: Column) -> Column:
     """Server number in a file name; NULL where there is none."""
-    digits = F.regexp_extract(path, FILE_NAME_PATTERN, 2)
-    return F.nullif(digits, F.lit("")).try_cast("int")
+    return F.regexp_extract(_last_names(path), FILE_NAME_PATTERN, 2).try_cast("int")
 
 
 def file_key(slice_start: Column, server: Column) -> Column:
