@@ -136,8 +136,9 @@ def write_landing(
     """
     start = timegrid.bucket_start(F.col("event_time"), slice_seconds)
     keyed = dealt.withColumn("file_key", timegrid.file_key(start, F.col("server")))
+    gathered = keyed.hint("rebalance", "file_key").sortWithinPartitions("file_key", "row_idx")
     (
-        as_text(keyed.hint("rebalance", "file_key").sortWithinPartitions("file_key", "row_idx"), "file_key")
+        as_text(gathered, "file_key")
         .write.mode(mode)
         .partitionBy("file_key")
         .option("header", True)
