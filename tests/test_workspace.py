@@ -1,0 +1,32 @@
+import pytest
+
+from tierline.workspace import exists, new_folder, remove, remove_matching
+
+
+class Session:
+    """A session with the given settings only."""
+
+    def __init__(self, **settings):
+        self.conf = {key.replace("_", "."): value for key, value in settings.items()}
+
+
+def test_the_shared_folder_of_the_session_is_used():
+    session = Session(spark_checkpoint_dir="s3a://shop/work/", spark_master="yarn")
+    first, second = new_folder(session, "stage"), new_folder(session, "stage")
+    assert first.startswith("s3a://shop/work/tierline/stage-") and first != second
+
+
+def test_only_a_local_session_may_go_without():
+    assert new_folder(Session(spark_master="local[2]"), "stage").startswith("/")
+    with pytest.raises(ValueError):
+        new_folder(Session(spark_master="yarn"), "stage")
+
+
+def test_remove(spark, tmp_path):
+    for name in ("a-1", "a-2", "b-1"):
+        (tmp_path / name).mkdir()
+    assert remove_matching(spark, f"{tmp_path}/a-*") == 2
+    assert remove_matching(spark, f"{tmp_path}/c-*") == 0
+    assert exists(spark, f"{tmp_path}/b-1")
+    assert remove(spark, f"{tmp_path}/b-1") and not exists(spark, f"{tmp_path}/b-1")
+    assert not remove(spark, f"{tmp_path}/b-1")
