@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import workspace
-from tierline.llm import packing, sentence_pieces, token_counts
+from tierline.llm import exact_top_k, packing, sentence_pieces, small_worlds, token_counts, vectors
 from tierline.llm.session import prepare
 
 
@@ -12,6 +12,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_small_worlds(spark: SparkSession, folder: str, shard_rows: int = 8_192) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    place = workspace.new_folder(spark, "vector-index")
+    small_worlds.build_index(rows, shard_rows).write.parquet(place)
+    index = spark.read.schema(small_worlds.INDEX).parquet(place)
+    shards = vectors.parts_of(rows, shard_rows)
+    return small_worlds.nearest(index, rows.where("vec_id % 50 = 0"), shards)
+
+
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings")
+    return exact_top_k.exact_top_k(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op6_pack_documents(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
 
@@ -42,7 +56,29 @@ def _prepared(query):
 
 QUERIES = {
     query.__name__: _prepared(query)
-    for query in (op6_pack_documents, op7_token_counts, op10_sentence_pieces)
+    for query in (
+        op4_small_worlds,
+        op5_exact_top_k,
+        op6_pack_documents,
+        op7_token_counts,
+        op10_sentence_pieces,
+    )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_exact_top_k": """
+        WITH whole AS (
+          SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+          FROM embeddings
+          WHERE embedding IS NOT NULL
+            AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+          FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+          WHERE q.vec_id % 50 = 0),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+          FROM scored)
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+    """,
+}
