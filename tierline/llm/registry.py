@@ -1,10 +1,20 @@
 """The registered queries of this subpackage and their SQL counterparts."""
 
+from datetime import UTC, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import workspace
-from tierline.llm import exact_top_k, packing, sentence_pieces, small_worlds, token_counts, vectors
+from tierline.llm import (
+    exact_top_k,
+    packing,
+    sentence_pieces,
+    small_worlds,
+    token_counts,
+    vectors,
+    web_archives,
+)
 from tierline.llm.session import prepare
 
 
@@ -12,6 +22,20 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_web_archives(spark: SparkSession, folder: str) -> DataFrame:
+    place = workspace.new_folder(spark, "archives")
+    now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    return web_archives.archive_pages(_table(spark, folder, "pages"), place, now).select(
+        F.col("row_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        F.col("uri").alias("url"),
+        "record_id",
+    )
+
+
 def op4_small_worlds(spark: SparkSession, folder: str, shard_rows: int = 8_192) -> DataFrame:
     rows = _table(spark, folder, "embeddings")
     place = workspace.new_folder(spark, "vector-index")
@@ -57,6 +81,7 @@ def _prepared(query):
 QUERIES = {
     query.__name__: _prepared(query)
     for query in (
+        op1_web_archives,
         op4_small_worlds,
         op5_exact_top_k,
         op6_pack_documents,
@@ -66,6 +91,28 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_web_archives": """
+        WITH payloads AS (
+          SELECT page_id, url, coalesce(html, '') AS payload,
+                 octet_length(encode(coalesce(html, ''))) AS payload_bytes
+          FROM pages),
+        digests AS (
+          SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+                 sha1(payload) AS payload_digest, url,
+                 CASE WHEN payload_bytes >= 1000
+                      THEN max(page_id) OVER (PARTITION BY payload) END AS original
+          FROM payloads),
+        ids AS (
+          SELECT *, md5(concat_ws('|', CAST(page_id AS VARCHAR), url, payload_digest)) AS id
+          FROM digests)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN original <> page_id THEN original END AS refers_to,
+               url,
+               '<urn:uuid:' || id[1:8] || '-' || id[9:12] || '-' || id[13:16] || '-'
+                 || id[17:20] || '-' || id[21:32] || '>' AS record_id
+        FROM ids
+    """,
     "op5_exact_top_k": """
         WITH whole AS (
           SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
