@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierline import workspace
 from tierline.llm import (
     exact_top_k,
+    main_text,
     packing,
     sentence_pieces,
     small_worlds,
@@ -59,6 +60,10 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"), cache)
 
 
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(_table(spark, folder, "pages"))
+
+
 def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: ids counted and hashed, parity with the original, and the way back."""
     encoded = sentence_pieces.encode(_table(spark, folder, "documents"))
@@ -86,6 +91,7 @@ QUERIES = {
         op5_exact_top_k,
         op6_pack_documents,
         op7_token_counts,
+        op8_main_text,
         op10_sentence_pieces,
     )
 }
