@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierline import workspace
 from tierline.llm import (
     exact_top_k,
+    language_profiles,
     main_text,
     packing,
     sentence_pieces,
@@ -37,6 +38,10 @@ def op1_web_archives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
+    return language_profiles.identify(_table(spark, folder, "documents"))
+
+
 def op4_small_worlds(spark: SparkSession, folder: str, shard_rows: int = 8_192) -> DataFrame:
     rows = _table(spark, folder, "embeddings")
     place = workspace.new_folder(spark, "vector-index")
@@ -87,6 +92,7 @@ QUERIES = {
     query.__name__: _prepared(query)
     for query in (
         op1_web_archives,
+        op2_language_profiles,
         op4_small_worlds,
         op5_exact_top_k,
         op6_pack_documents,
