@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tierline import workspace
 from tierline.llm import (
     exact_top_k,
+    fuzzy_hashing,
     language_profiles,
     main_text,
     packing,
@@ -42,6 +43,10 @@ def op2_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
     return language_profiles.identify(_table(spark, folder, "documents"))
 
 
+def op3_fuzzy_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy_hashing.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op4_small_worlds(spark: SparkSession, folder: str, shard_rows: int = 8_192) -> DataFrame:
     rows = _table(spark, folder, "embeddings")
     place = workspace.new_folder(spark, "vector-index")
@@ -93,6 +98,7 @@ QUERIES = {
     for query in (
         op1_web_archives,
         op2_language_profiles,
+        op3_fuzzy_hashing,
         op4_small_worlds,
         op5_exact_top_k,
         op6_pack_documents,
