@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UNKNOWN = "und"
 BLOCK = 4096  # n-grams whose vectors are made at a time
@@ -138,8 +139,9 @@ def predict(
     seed: int = 7,
     id_col: str = "doc_id",
     text_col: str = "text",
+    carry: bool = False,
 ) -> DataFrame:
-    """`doc_id, lang_pred, score`: the language whose prototype is nearest by cosine.
+    """`doc_id, lang_pred, score`, and with `carry` all columns as a struct `row`: the language whose prototype is nearest by cosine.
 
     The score is that cosine, 0 at least. A text that is null or has no letter, and every text if
     nothing was learned, is `und` with score 0; ties go to the language first in the alphabet.
@@ -163,15 +165,33 @@ def predict(
                 langs = np.where(lettered, np.array(names, object)[best], UNKNOWN)
                 best_score = np.clip(cosines[np.arange(count), best], 0, 1)
                 scores = np.where(lettered, best_score, 0.0)
+            others = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores)],
-                names=["doc_id", "lang_pred", "score"],
+                [*map(batch.column, others), pa.array(langs, pa.string()), pa.array(scores)],
+                names=[*others, "lang_pred", "score"],
             )
 
     chosen = documents.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        *[F.struct("*").alias("row")] * carry,
+    )
+    fields = [T.StructField(f.name, f.dataType) for f in chosen.schema if f.name != "text"]
+    schema = T.StructType(fields).add("lang_pred", "string").add("score", "double")
+    return chosen.mapInArrow(run, schema)
+
+
+def recognised(documents: DataFrame, dimensions: int = 1024, seed: int = 7) -> DataFrame:
+    """The documents whose language is recognised, all columns; a null `lang` is filled in.
+
+    Rejected are texts without letters, and those that resemble no language learned here (score 0).
+    Learned from the labelled documents among them, so without labels nothing is recognised.
+    """
+    found = predict(documents, learn(documents, dimensions, seed), seed, carry=True)
+    lang = F.coalesce("row.lang", "lang_pred").alias("lang")
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select(
+        *[lang if name == "lang" else F.col(f"row.`{name}`") for name in documents.columns]
     )
-    return chosen.mapInArrow(run, "doc_id bigint, lang_pred string, score double")
 
 
 def held_out(doc_id, folds: int = 5):

@@ -12,6 +12,7 @@ from tierline.llm import (
     language_profiles,
     main_text,
     packing,
+    repeated_windows,
     sentence_pieces,
     small_worlds,
     token_counts,
@@ -74,6 +75,12 @@ def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.main_texts(_table(spark, folder, "pages"))
 
 
+def op9_repeated_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_windows.remove_repeated(
+        _table(spark, folder, "documents"), content=None
+    ).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: ids counted and hashed, parity with the original, and the way back."""
     encoded = sentence_pieces.encode(_table(spark, folder, "documents"))
@@ -104,6 +111,7 @@ QUERIES = {
         op6_pack_documents,
         op7_token_counts,
         op8_main_text,
+        op9_repeated_windows,
         op10_sentence_pieces,
     )
 }
