@@ -1,0 +1,65 @@
+import zlib
+
+import numpy as np
+
+from tierline.llm import language_profiles as lp
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def brute_bundle(text, dimensions, seed):
+    """Trigrams one by one."""
+    words = "".join(c.lower() if c.isalpha() else " " for c in text or "").split()
+    total = np.zeros(dimensions)
+    for word in words:
+        padded = [0, *map(ord, word), 0]
+        for a, b, c in zip(padded, padded[1:], padded[2:], strict=False):
+            va, vb, vc = (lp._letter_vector(x, dimensions, seed).astype(int) for x in (a, b, c))
+            total += np.roll(va, 2) * np.roll(vb, 1) * vc
+    return total
+
+
+def test_bundles_equal_those_made_one_by_one():
+    texts = ["Ab, cab! ñandú", None, "", "12 -", "a", "日本語 ab " * 3, "ß ΣΑΣ"]
+    for cells in (lp.CELLS, 8):
+        lp.CELLS, before = cells, lp.CELLS
+        try:
+            found = lp.Grams(texts, 64, 7).bundled(np.arange(len(texts)), len(texts))
+        finally:
+            lp.CELLS = before
+        assert np.array_equal(found, [brute_bundle(t, 64, 7) for t in texts])
+
+
+def test_rows_that_cannot_be_told(spark, documents):
+    frame = documents((0, "the one and the other"), (3, None), (3, ""), (None, "1.2"), (8, "the"))
+    found = lp.identify(frame)
+    rows = {(r.doc_id, r.lang_pred, r.score > 0) for r in found.collect()}
+    assert rows == {(0, "x", True), (3, "und", False), (None, "und", False), (8, "x", True)}
+    assert found.count() == 5
+    nothing = lp.predict(frame, {}).select("lang_pred", "score").distinct().collect()
+    assert [tuple(r) for r in nothing] == [("und", 0.0)]
+    assert lp.identify(frame.limit(0)).collect() == []
+
+
+def test_repeated_rows_and_long_texts(documents):
+    long = "lorem ipsum " * 50_000
+    frame = documents((1, long), (1, long), (2, "lorem"))
+    assert sorted(r.doc_id for r in lp.identify(frame).collect()) == [1, 1, 2]
+
+
+def test_recognised_keeps_columns(documents):
+    frame = documents((1, "alpha beta"), (2, "..."), (4, "beta"))
+    kept = lp.recognised(frame)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
+def test_held_out_fold_and_accuracy(spark):
+    frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    found = lp.identify(frame).join(frame.select("doc_id", "lang"), "doc_id").collect()
+    assert len(found) == frame.count()
+    for row in found:
+        assert row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 5 == 0)
+        assert 0 <= row.score <= 1
+    tested = [r.lang == r.lang_pred for r in found if r.held_out and r.lang]
+    assert len(tested) > 100 and sum(tested) / len(tested) > 0.98

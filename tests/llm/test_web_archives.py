@@ -1,0 +1,80 @@
+import hashlib
+import random
+
+import pytest
+
+from tierline import workspace
+from tierline.llm import web_archives as wa
+
+DATE = "2024-01-01T00:00:00Z"
+
+
+def archived(spark, rows, schema="page_id bigint, url string, html string, payload int, kept int"):
+    frame = spark.createDataFrame([(*r, 1, 2) for r in rows], schema).repartition(3)
+    place = workspace.new_folder(spark, "test-archives")
+    return wa.archive_pages(frame, place, DATE), place
+
+
+def test_parse_finds_its_way_through_line_breaks():
+    random.seed(3)
+    for _ in range(300):
+        blocks = [
+            b"".join(random.choices([b"\r", b"\n", b"a", b"\r\n\r\n"], k=random.randint(0, 12)))
+            for _ in range(random.randint(0, 5))
+        ]
+        stream = b"".join(
+            b"WARC/1.1\r\nContent-Length: %d\r\nX: a: b\r\n\r\n%s\r\n\r\n" % (len(b), b)
+            for b in blocks
+        )
+        chunks = stream.split(b"\r\n\r\n")
+        chunks = chunks if chunks[-1] else chunks[:-1]
+        assert [block for _, block in wa.parse(iter(chunks))] == blocks
+
+
+def test_a_cut_archive_is_refused():
+    with pytest.raises(ValueError, match="ends within"):
+        list(wa.parse(iter([b"WARC/1.1\r\nContent-Length: 50", b"short"])))
+
+
+def test_round_trip_and_revisits(spark):
+    same, short = "q" * 999 + "é", "r" * 999
+    rows = [(i, f"http://x/{i}", same) for i in (4, 9, 2)]
+    rows += [(5, None, short), (6, "u\r\nv", short), (7, "e", None), (8, "e", "")]
+    rows += [(10, "w", "\r\nWARC/1.1\r\n\r\n\r\n"), (11, "big", "\r\n\r\nab " * 60_000)]
+    rows += [(9, "http://x/9", same), (None, "n", same), (None, "n", "z" * 2000)]
+    found = archived(spark, rows)[0].collect()
+    expected = [
+        (i, len((h or "").encode()), hashlib.sha1((h or "").encode()).hexdigest())
+        for i, _, h in rows
+    ]
+    got = [(r.row_id, r.payload_bytes, r.payload_digest) for r in found]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    shared = {(r.row_id, r.record_type, r.refers_to) for r in found if r.payload_bytes == 1001}
+    assert shared == {
+        (9, "response", None),  # the largest id, repeated
+        (4, "revisit", 9),
+        (2, "revisit", 9),
+        (None, "revisit", 9),
+    }
+    rest = {r.record_type for r in found if r.payload_bytes != 1001}
+    assert rest == {"response"}
+
+
+def test_payloads_come_back(spark):
+    rows = [(1, "a", "é\r\n\r\n"), (2, "b", "x" * 1500), (3, "c", "x" * 1500)]
+    _, place = archived(spark, rows)
+    read = {
+        r.row_id: (r.record_type, bytes(r.payload))
+        for r in wa.read_archives(spark, place, payload=True).collect()
+    }
+    assert read == {
+        1: ("response", "é\r\n\r\n".encode()),
+        2: ("revisit", b""),
+        3: ("response", b"x" * 1500),
+    }
+
+
+def test_no_pages(spark):
+    frame = spark.createDataFrame([], "page_id bigint, url string, html string")
+    place = workspace.new_folder(spark, "test-archives")
+    assert wa.archive_pages(frame, place, DATE).collect() == []

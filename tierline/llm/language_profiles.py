@@ -77,8 +77,9 @@ class Grams:
         for low in range(0, len(self._distinct), BLOCK):
             high = min(len(self._distinct), low + BLOCK)
             vectors = self._vectors(low, high)
-            for start in range(0, groups, CELLS // BLOCK):
-                end = min(groups, start + CELLS // BLOCK)
+            step = max(1, CELLS // BLOCK)
+            for start in range(0, groups, step):
+                end = min(groups, start + step)
                 here = (self.gram >= low) & (self.gram < high) & (own >= start) & (own < end)
                 cell = (own[here] - start) * (high - low) + self.gram[here] - low
                 counts = np.bincount(cell, minlength=(end - start) * (high - low))

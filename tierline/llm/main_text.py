@@ -14,7 +14,9 @@ RAW = frozenset("script style textarea title noscript iframe xmp noembed noframe
 # Elements that are part of a line; all others begin and end a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter"
-    " nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    " nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    " script style noscript template link meta button input select textarea svg canvas audio video"
+    " object iframe picture source".split()
 )
 # A paragraph hands its points to the elements around it; other blocks count as containers.
 PARAGRAPHS = frozenset("p pre blockquote li dt dd td th caption figcaption summary".split())
