@@ -104,3 +104,28 @@ def test_servers_take_turns_in_time_order(spark, chunk):
         minutes.setdefault(row.minute, []).append((row.event_time, row.row_idx, row.server))
     for members in minutes.values():
         assert [m[2] for m in sorted(members)] == [i % 4 for i in range(len(members))]
+
+
+def test_purchases_without_an_index_of_their_own_are_all_kept(raw):
+    events = raw(
+        ("2019-10-01 09:00:00", "purchase", 1, 1),
+        ("2019-10-01 09:00:01", "purchase", 1, 2),
+        ("2019-10-01 10:00:00", "purchase", 1, 3),
+        ("2019-10-01 10:00:00", "view", 1, 3, "s"),
+        ("2019-10-01 10:00:01", "view", 1, 3, "s"),
+    )
+    for index in (F.lit(None).cast("bigint"), F.lit(17).cast("bigint")):
+        kept = ev.first_views(events.withColumn("row_idx", index))
+        assert rows(kept, "event_type", "price") == [
+            ("purchase", 1.0),
+            ("purchase", 2.0),
+            ("purchase", 3.0),
+            ("view", 3.0),
+        ]
+
+
+def test_rows_without_index_get_servers(raw):
+    events = raw(*[("2019-10-01 09:00:00", "view", 1, n) for n in range(10)])
+    for index in (F.lit(None).cast("bigint"), F.lit(3).cast("bigint")):
+        dealt = ev.assign_servers(events.withColumn("row_idx", index))
+        assert sorted(r.server for r in dealt.collect()) == [0, 0, 0, 1, 1, 1, 2, 2, 3, 3]

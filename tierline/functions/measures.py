@@ -7,19 +7,29 @@ from pyspark.sql import functions as F
 
 from tierline.schema import MONEY_SUM
 
+CENTS = "decimal(30,0)"
+
 
 def price_cents() -> Column:
-    """Exact sum of raw prices in cents: integer sums cost a fraction of decimal ones."""
-    return F.sum((F.col("price") * 100).cast("bigint")).alias("cents")
+    """Exact sum of raw prices in cents: integer sums cost a fraction of decimal ones.
+
+    The cents of one price fit 64 bits with room for less than a dozen of the largest, so they are
+    summed in two halves, either of which takes four billion prices, and put together as decimals.
+    """
+    cents = (F.col("price") * 100).cast("bigint")
+    high = F.sum(F.shiftright(cents, 32))
+    low = F.sum(cents.bitwiseAND(F.lit((1 << 32) - 1)))
+    wide = high.cast("decimal(20,0)") * F.lit(Decimal(1 << 32)) + low.cast("decimal(20,0)")
+    return wide.cast(CENTS).alias("cents")
 
 
 def merged_cents() -> Column:
-    return F.sum("cents").alias("cents")
+    return F.sum("cents").cast(CENTS).alias("cents")
 
 
 def money(cents: Column) -> Column:
     """Cents as the money type of a tier."""
-    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
+    return (cents * F.lit(Decimal("0.01"))).cast(MONEY_SUM)
 
 
 def priced_events() -> Column:

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from tierline.functions import timegrid
 from tierline.schema import EVENTS, check_configuration
 
-# Rows of one sort group in `assign_servers`; row_idx is unique, so no group can be larger.
+# Different ids of one sort group in `assign_servers`, and groups of a second for rows without id.
 SHARD_CHUNK = 1 << 20
+NO_ID_CHUNKS = 1 << 10
 
 
 def split_events(events: DataFrame, event_types=EVENTS) -> DataFrame:
@@ -16,23 +17,31 @@ def split_events(events: DataFrame, event_types=EVENTS) -> DataFrame:
     return events.where(F.col("event_type").isin(*event_types))
 
 
+def view_order(events: DataFrame) -> list[str]:
+    """Columns that put repeated views in a fixed order, over files with numbers of their own."""
+    order = ("event_time", "file_time", "server", "row_idx", "price", "brand", "category_code")
+    return [name for name in order if name in events.columns]
+
+
 def first_views(events: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
     """Keep the earliest view of a product in a session; other event types pass unchanged.
 
-    NULL sessions count as one session. `scope` adds key columns. Spark turns the
-    row_number filter into a WindowGroupLimit on both sides of the shuffle, so a task
-    sends at most one row per (session, product), however hot the pair is. Rows that are
-    not views carry their own id in the key and spread evenly. The key starts with a hash
-    of itself: sorts then compare numbers and rarely look at the text columns.
+    NULL sessions count as one session. `scope` adds key columns. Only views are dealt out: Spark
+    turns the row_number filter into a WindowGroupLimit on both sides of the shuffle, so a task
+    sends at most one row per (session, product), however hot the pair is. The key starts with a
+    hash of itself: sorts then compare numbers and rarely look at the text columns. Neither a
+    missing nor a repeated `row_idx` matters to which rows are counted.
     """
-    own_id = F.when(F.col("event_type") != "view", F.col("row_idx"))
-    key = ["user_session", "product_id", own_id, "event_type", *scope]
-    first = Window.partitionBy(F.xxhash64(*key), *key).orderBy("event_time", "row_idx")
-    return (
-        events.withColumn("_position", F.row_number().over(first))
+    view = F.col("event_type").eqNullSafe("view")
+    key = ["user_session", "product_id", *scope]
+    first = Window.partitionBy(F.xxhash64(*key), *key).orderBy(*view_order(events))
+    views = (
+        events.where(view)
+        .withColumn("_position", F.row_number().over(first))
         .where("_position = 1")
         .drop("_position")
     )
+    return views.unionByName(events.where(~view))
 
 
 def with_bucket(events: DataFrame, step: int) -> DataFrame:
@@ -49,15 +58,21 @@ def flag_late(files: DataFrame, clock: Column) -> DataFrame:
 def assign_servers(events: DataFrame, servers: int = 4, chunk: int = SHARD_CHUNK) -> DataFrame:
     """Deal the rows of each minute, in (event_time, row_idx) order, to servers in turn.
 
-    The position in the minute is an offset plus a position in a chunk of neighbouring
-    ids within one second. A chunk holds at most `chunk` rows, so a minute with most of
-    the data is still sorted by many tasks; only chunk sizes are summed up per minute.
+    The position in the minute is an offset plus a position in a chunk of neighbouring ids within
+    one second. A chunk holds at most `chunk` different ids, so a minute with most of the data is
+    still sorted by many tasks; only chunk sizes are summed up per minute. Rows without an id come
+    first in their second, in chunks by a hash of the row; rows of one id are ordered by that hash.
     """
     keys = ["minute", "event_time", "id_chunk"]
+    content = F.xxhash64(*events.columns)
     keyed = events.withColumns(
         {
             "minute": timegrid.bucket_start(F.col("event_time"), 60),
-            "id_chunk": F.floor(F.col("row_idx") / F.lit(chunk)).cast("bigint"),
+            "id_chunk": F.coalesce(
+                F.floor(F.col("row_idx") / F.lit(chunk)).cast("bigint"),
+                F.lit(-(1 << 62)) + F.pmod(content, F.lit(NO_ID_CHUNKS)),
+            ),
+            "row_hash": content,
         }
     )
     earlier = (
@@ -70,10 +85,10 @@ def assign_servers(events: DataFrame, servers: int = 4, chunk: int = SHARD_CHUNK
         .agg(F.count(F.lit(1)).alias("size"))
         .select(*keys, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
     )
-    within = Window.partitionBy(*keys).orderBy("row_idx")
+    within = Window.partitionBy(*keys).orderBy("row_idx", "row_hash")
     position = F.col("offset") + F.row_number().over(within) - 1
     return (
         keyed.join(offsets, keys)
         .withColumn("server", F.pmod(position, F.lit(servers)).cast("int"))
-        .drop("id_chunk", "offset")
+        .drop("id_chunk", "offset", "row_hash")
     )
