@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from test_tiers import at
 
 from tierline.plans import jobs
-from tierline.schema import RAW_TEXT
 from tierline.sources import raw_csv
 
 HEADER = ",event_time,event_type,product_id,category_id,category_code,brand,price,user_session\n"
@@ -27,23 +26,31 @@ def test_read_raw(spark, tmp_path):
     put(tmp_path / "in", "readme.txt", "not an event")
     got = raw_csv.read_raw(spark, str(tmp_path / "in"))
     assert rows(got, "row_idx", "event_time", "product_id", "brand", "price", "file_time", "server") == [
-        (17, "2019-10-01 10:15:26", 5, None, 1.5, "2019-10-01 10:15:00", 3),
-        (18, "2019-10-01 10:15:27", 5, None, None, "2019-10-01 10:15:00", 3),
+        (17, "2019-10-01 10:15:26", "5", None, 1.5, "2019-10-01 10:15:00", 3),
+        (18, "2019-10-01 10:15:27", "5", None, None, "2019-10-01 10:15:00", 3),
     ]
 
 
-def test_read_raw_with_another_layout(spark, tmp_path):
-    from pyspark.sql.types import StringType, StructField, StructType
-
+def test_columns_go_by_their_names(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "2019-10-01-10-15-00-0.csv").write_text(
-        ",event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
-        "1,2019-10-01 10:15:26,view,5,7,,acme,2,99,s1\n"
+    name = tmp_path / "in" / "2019-10-01-10-15-00-0.csv"
+    name.write_text(
+        ",event_time,event_type,category_id,product_id,category_code,brand,price,user_id,user_session\n"
+        "1,2019-10-01 10:15:26,view,7,A55,,acme,2,99,s1\n"
     )
-    names = RAW_TEXT.fieldNames()
-    layout = StructType([StructField(n, StringType()) for n in (*names[:-1], "user_id", names[-1])])
-    got = raw_csv.read_raw(spark, str(tmp_path / "in"), layout)
-    assert rows(got, "user_session", "category_code", "category_id") == [("s1", None, 7)]
+    got = raw_csv.read_raw(spark, str(tmp_path / "in"))
+    assert rows(got, "user_session", "category_code", "category_id", "product_id") == [
+        ("s1", None, "7", "A55")
+    ]
+    stream = raw_csv.stream_raw(spark, str(tmp_path / "in"))
+    assert stream.columns == got.columns
+    put(tmp_path / "in", "2019-10-01-10-16-00-0.csv", line(1, "10:16:00"))
+    with pytest.raises(Exception):  # the headers differ
+        raw_csv.read_raw(spark, str(tmp_path / "in")).collect()
+    (tmp_path / "short").mkdir()
+    (tmp_path / "short" / "a.csv").write_text(",event_time\n1,x\n")
+    with pytest.raises(ValueError, match="lacks"):
+        raw_csv.read_raw(spark, str(tmp_path / "short"))
 
 
 def test_missing_folder_is_empty(spark, tmp_path):
@@ -87,7 +94,7 @@ def test_archive(spark, tmp_path):
         ("2019-10-01-11", 102),
         ("2019-10-01-11", 8),
     ]
-    parts = sorted((tmp_path / "archive" / "block=2019-10-01-09").glob("*.csv.gz"))
+    parts = sorted((tmp_path / "archive" / "block=2019-10-01-09").glob("run=*/*.csv.gz"))
     lines = [row for part in parts for row in gzip.open(part, "rt").read().splitlines()[1:]]
     assert [int(row.split(",")[0]) for row in lines] == [9, 10, 100, 101]
     assert jobs.archive(spark, str(landing), target) == []
@@ -99,14 +106,52 @@ def test_archive(spark, tmp_path):
     assert "2019-10-01-13-30-00-0.csv" in os.listdir(landing)
 
 
-def test_archive_repeats_a_run_that_was_not_noted(spark, tmp_path):
+def test_archive_repeats_a_run_that_did_not_end(spark, tmp_path, monkeypatch):
     landing, target = tmp_path / "in", str(tmp_path / "archive")
     put(landing, "2019-10-01-09-00-00-0.csv", line(1, "09:00:01"))
     put(landing, "2019-10-01-11-00-00-0.csv", line(2, "11:00:01"))
-    events = raw_csv.read_raw(spark, str(landing)).withColumn("block", F.lit("2019-10-01-09"))
-    raw_csv.write_archive(events, target)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(raw_csv, "finish_run", dies)
+        with pytest.raises(RuntimeError):
+            jobs.archive(spark, str(landing), target)
+    # Meanwhile a late file of the block has come; it is a run of its own.
+    put(landing, "2019-10-01-09-30-00-0.csv", line(3, "09:30:01"))
     assert jobs.archive(spark, str(landing), target) == ["2019-10-01-09"]
-    assert rows(raw_csv.read_archive(spark, target), "row_idx") == [(1,)]
+    assert rows(raw_csv.read_archive(spark, target), "row_idx") == [(1,), (3,)]
+    assert jobs.archive(spark, str(landing), target) == []
+
+
+def test_archive_keeps_text_and_unread_files(spark, tmp_path, monkeypatch):
+    """All columns and characters come back; what lands after the listing is neither read nor removed."""
+    landing, target = tmp_path / "in", str(tmp_path / "archive")
+    landing.mkdir()
+    header = ",event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session"
+    odd = '7,2019-10-01 09:00:01 UTC,view,A55,x,a.b," b ""q"", c",12.345,99,s1'
+    bad = "8,no time,view,5,7,,acme,no price,98,"
+    (landing / "2019-10-01-09-00-00-0.csv").write_text("\n".join([header, odd, bad]) + "\n")
+    (landing / "2019-10-01-11-00-00-0.csv").write_text(f"{header}\n9,2019-10-01 11:00:01,view,5,7,,,1,1,s\n")
+    write = raw_csv.write_archive
+
+    def write_while_files_land(*args, **options):
+        write(*args, **options)
+        (landing / "2019-10-01-09-01-00-0.csv").write_text(f"{header}\n{odd}\n")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(raw_csv, "write_archive", write_while_files_land)
+        jobs.archive(spark, str(landing), target, remove_sources=True)
+    assert sorted(os.listdir(landing)) == ["2019-10-01-09-01-00-0.csv", "2019-10-01-11-00-00-0.csv"]
+    text = raw_csv.read_archive_text(spark, target)
+    assert text.columns == ["row_idx", *header.split(",")[1:], "block"]
+    assert sorted(tuple(r) for r in text.collect()) == [
+        ("7", "2019-10-01 09:00:01 UTC", "view", "A55", "x", "a.b", ' b "q", c', "12.345", "99", "s1", "2019-10-01-09"),
+        ("8", "no time", "view", "5", "7", None, "acme", "no price", "98", None, "2019-10-01-09"),
+    ]
+    jobs.archive(spark, str(landing), target, remove_sources=True)
+    assert raw_csv.read_archive_text(spark, target).count() == 3
 
 
 def test_archive_by_day_and_wrong_block(spark, tmp_path):
@@ -137,4 +182,5 @@ def test_landing_files_round_trip(spark, tmp_path, raw):
         "file_key=2019-10-01-00-00-00-1",
         "file_key=2019-10-01-00-01-00-0",
     ]
-    assert same(got.select(*events.columns).drop("event_time"), events.drop("event_time"))
+    ids = {name: events[name].cast("string") for name in ("product_id", "category_id")}
+    assert same(got.select(*events.columns).drop("event_time"), events.withColumns(ids).drop("event_time"))

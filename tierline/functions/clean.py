@@ -8,13 +8,14 @@ from tierline.schema import MONEY
 
 
 def type_raw(text: DataFrame) -> DataFrame:
-    """Raw text columns to typed ones; bad numbers and times become NULL, other columns stay."""
+    """Raw text columns to typed ones; bad numbers and times become NULL.
+
+    Ids of products and categories need not be numbers and stay text, as do other columns.
+    """
     return text.withColumns(
         {
             "row_idx": F.col("row_idx").try_cast("bigint"),
             "event_time": parse_event_time(F.col("event_time")),
-            "product_id": F.col("product_id").try_cast("bigint"),
-            "category_id": F.col("category_id").try_cast("bigint"),
             "price": F.col("price").try_cast(MONEY),
         }
     )

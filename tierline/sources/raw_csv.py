@@ -3,19 +3,66 @@
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tierline import workspace
 from tierline.functions import timegrid
 from tierline.functions.clean import type_raw
 from tierline.schema import EMPTY_FOLDER_TIME, RAW_TEXT
+from tierline.workspace import check_utc
 
 _TEXT_COLUMNS = RAW_TEXT.fieldNames()
 _LEDGER = "_archived"
+_CLAIM = "path string, length bigint, modified bigint, block string, run string"
 
 
-def _with_file(text: DataFrame) -> DataFrame:
-    path = F.col("_metadata.file_path")
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
+def header_of(spark: SparkSession, folder: str | list[str]) -> list[str] | None:
+    """The names in the header of the first file, "" where blank; None without files."""
+    try:
+        line = _options(spark.read).option("header", False).csv(folder).first()
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
+        return None
+    return None if line is None else [name or "" for name in line]
+
+
+def _options(reader):
+    return (
+        reader.option("escape", '"')
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv*")
+    )
+
+
+def _by_header(reader, header: list[str]):
+    """A reader of text columns that refuses files with other names or another order of them."""
+    schema = StructType([StructField(name, StringType()) for name in header])
+    return _options(reader.schema(schema)).option("header", True).option("enforceSchema", False)
+
+
+def column_names(header: list[str]) -> list[str]:
+    """The columns of a header: a blank first name is the row index. All of an event must be there."""
+    names = [
+        "row_idx" if n == 0 and name in ("", "_c0") else name or f"_c{n}"
+        for n, name in enumerate(header)
+    ]
+    absent = sorted(set(_TEXT_COLUMNS) - set(names))
+    if absent:
+        raise ValueError(f"the header {header} lacks {absent}")
+    return names
+
+
+def _with_path(text: DataFrame, names: list[str]) -> DataFrame:
+    return text.select("*", F.col("_metadata.file_path").alias("_path")).toDF(*names, "_path")
+
+
+def _typed(text: DataFrame) -> DataFrame:
+    path = F.col("_path")
     return type_raw(
         text.select(
             *_TEXT_COLUMNS,
@@ -25,34 +72,31 @@ def _with_file(text: DataFrame) -> DataFrame:
     )
 
 
-def read_raw(
-    spark: SparkSession, folder: str | list[str], layout: StructType = RAW_TEXT
-) -> DataFrame:
+def read_text(spark: SparkSession, folder: str | list[str]) -> DataFrame | None:
+    """All columns of CSV files as text, by header name, and the `_path` of each row's file.
+
+    Files with different headers end the job. None if there is no file.
+    """
+    header = header_of(spark, folder)
+    if header is None:
+        return None
+    names = column_names(header)
+    return _with_path(_by_header(spark.read, header).csv(folder), names)
+
+
+def read_raw(spark: SparkSession, folder: str | list[str]) -> DataFrame:
     """Typed events of the CSV files below a folder, or below folders given as globs.
 
-    A glob such as landing/*2019-10-01-13-* lists only the files of that hour. `layout`
-    names the file's columns in order; unused ones are not parsed. A missing folder gives an
+    Columns are found by their names in the header, in any order and beside others. A glob such as
+    landing/*2019-10-01-13-* lists only the files of that hour. A missing or empty folder gives an
     empty frame.
     """
-    try:
-        text = (
-            spark.read.schema(layout)
-            .option("header", True)
-            .option("enforceSchema", True)
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.csv*")
-            .csv(folder)
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return type_raw(spark.createDataFrame([], RAW_TEXT)).withColumns(
-            {
-                "file_time": F.lit(None).cast("timestamp"),
-                "server": F.lit(None).cast("int"),
-            }
-        )
-    return _with_file(text)
+    check_utc(spark)
+    text = read_text(spark, folder)
+    if text is None:
+        empty = StructType([*RAW_TEXT.fields, StructField("_path", StringType())])
+        text = spark.createDataFrame([], empty)
+    return _typed(text)
 
 
 def stream_raw(
@@ -61,26 +105,24 @@ def stream_raw(
     files_per_batch: int | None = None,
     bytes_per_batch: str | None = None,
     archive_to: str | None = None,
-    layout: StructType = RAW_TEXT,
+    header: list[str] | None = None,
 ) -> DataFrame:
     """Typed event stream of the CSV files landing in `folder`.
 
-    `archive_to` moves files there once their batch is done.
+    `header` is that of all files, "" for a blank name; by default that of a file present, or the
+    names of RAW_TEXT. A file with another header stops the stream. `archive_to` moves files there
+    once their batch is done.
     """
-    reader = (
-        spark.readStream.schema(layout)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv*")
-    )
+    check_utc(spark)
+    header = header or header_of(spark, folder) or _TEXT_COLUMNS
+    reader = _by_header(spark.readStream, header)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     if archive_to:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
-    return _with_file(reader.csv(folder))
+    return _typed(_with_path(reader.csv(folder), column_names(header)))
 
 
 def inventory(spark: SparkSession, folder: str, pattern: str = "*.csv*") -> DataFrame:
@@ -142,6 +184,7 @@ def write_landing(
         .write.mode(mode)
         .partitionBy("file_key")
         .option("header", True)
+        .option("escape", '"')
         .csv(folder)
     )
 
@@ -156,50 +199,73 @@ def finished_blocks(events: DataFrame, newest: Column, block: str) -> DataFrame:
     )
 
 
-def write_archive(blocks: DataFrame, folder: str, rows_per_file: int = 50_000_000) -> None:
-    """Write events with a `block` column as gzip CSV, one folder per block, in row order.
+def write_archive(
+    blocks: DataFrame, folder: str, run: str = "0", rows_per_file: int = 50_000_000
+) -> None:
+    """Write rows with a `block` column as gzip CSV, a folder per block and run, in row order.
 
-    Ranges over (block, row_idx) give even tasks even when one block holds most rows; the
-    part numbers follow the row order inside a block. Rewriting a block replaces it.
+    Typed events are written as their text columns; text is written as it is, whatever its columns.
+    Ranges over (block, row number) give even tasks even when one block holds most rows; the part
+    numbers follow the row order inside a block. A run that is repeated replaces what it wrote.
     """
-    ordered = blocks.repartitionByRange("block", "row_idx").sortWithinPartitions(
-        "block", "row_idx"
+    if dict(blocks.dtypes)["event_time"] == "timestamp":
+        blocks = as_text(blocks, "block")
+    number = F.col("row_idx").try_cast("bigint")
+    ordered = (
+        blocks.withColumn("run", F.lit(run))
+        .repartitionByRange("block", number, "event_time")
+        .sortWithinPartitions("block", number, "event_time")
     )
     (
-        as_text(ordered, "block")
-        .write.mode("overwrite")
+        ordered.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
-        .partitionBy("block")
+        .partitionBy("block", "run")
         .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("compression", "gzip")
         .csv(folder)
     )
 
 
-def read_archive(spark: SparkSession, folder: str) -> DataFrame:
-    """Typed events of an archive with their `block`, which prunes folders."""
-    fields = ", ".join(f"{name} string" for name in _TEXT_COLUMNS)
-    text = (
-        spark.read.schema(f"{fields}, block string").option("header", True).csv(folder)
-    )
-    return type_raw(text)
+def read_archive_text(spark: SparkSession, folder: str) -> DataFrame | None:
+    """All columns of an archive as text, by header name, and the `block`; None if it is empty."""
+    text = read_text(spark, folder)
+    if text is None:
+        return None
+    block = F.regexp_extract("_path", "/block=([^/]+)/", 1)
+    return text.withColumn("block", block).drop("_path")
 
 
-def block_globs(folder: str, block_keys: list[str]) -> list[str]:
-    """Globs for the landing files or folders of the given blocks."""
-    return [f"{folder}/*{key}-*" for key in block_keys]
+def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """Typed events of an archive with their `block`."""
+    text = read_archive_text(spark, folder)
+    if text is None:
+        text = spark.createDataFrame([], StructType([*RAW_TEXT.fields, StructField("block", StringType())]))
+    return type_raw(text.select(*_TEXT_COLUMNS, "block"))
 
 
-def archived_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """Keys of the blocks whose archive was completed."""
-    ledger = f"{folder}/{_LEDGER}"
+def claims(spark: SparkSession, folder: str) -> DataFrame:
+    """The files that archive runs have taken, with their block and run."""
+    ledger = f"{folder}/{_LEDGER}/files"
     if not workspace.exists(spark, ledger):
-        return spark.createDataFrame([], "block string")
-    return spark.read.schema("block string").parquet(ledger)
+        return spark.createDataFrame([], _CLAIM)
+    return spark.read.schema(_CLAIM).parquet(ledger)
+
+
+def claim(files: DataFrame, folder: str) -> None:
+    """Note files as taken by their run, before anything else is done with them."""
+    files.coalesce(1).write.mode("append").parquet(f"{folder}/{_LEDGER}/files")
+
+
+def finish_run(spark: SparkSession, folder: str, run: str) -> None:
+    workspace.mark(spark, f"{folder}/{_LEDGER}/done/{run}")
 
 
-def record_archived(spark: SparkSession, folder: str, block_keys: list[str]) -> None:
-    """Note completed blocks beside the archive; readers of the archive skip the ledger."""
-    keys = spark.createDataFrame([(key,) for key in block_keys], "block string")
-    keys.coalesce(1).write.mode("append").parquet(f"{folder}/{_LEDGER}")
+def unfinished_runs(spark: SparkSession, folder: str) -> list[str]:
+    """Runs that took files and did not get to their end."""
+    done = {p.rsplit("/", 1)[1] for p in workspace.matching(spark, f"{folder}/{_LEDGER}/done/*")}
+    runs = {row.run for row in claims(spark, folder).select("run").distinct().collect()}
+    return sorted(runs - done)
