@@ -11,11 +11,13 @@ from tierline.schema import HOUR, TIER_COLUMNS
 from tierline.sources import jdbc
 from tierline.sources.sample_tables import arrives_late
 from tierline.sources.tier_table import (
+    edge_label,
     keep_window,
     merge_duplicates,
     read_tier,
     repair_tier,
     replace_partitions,
+    stored_dates,
     write_tier,
 )
 
@@ -41,9 +43,10 @@ def test_write_and_prune(spark, tmp_path):
 def test_missing_tier_is_empty(spark, tmp_path):
     path = str(tmp_path / "none")
     assert read_tier(spark, path).isEmpty()
-    assert rows(spark.range(1).select(jobs.last_hour(spark, path).alias("t"))) == [
-        ("2019-10-01 00:00:00",)
-    ]
+    assert edge_label(spark, path) is None and stored_dates(spark, path) == []
+    jobs.transport(spark, path, str(tmp_path / "hours"))
+    jobs.retain_tier(spark, path, 24, str(tmp_path / "stage"))
+    assert read_tier(spark, str(tmp_path / "hours")).isEmpty() and jobs.rank(spark, path).isEmpty()
 
 
 def test_repair_equals_one_shot_and_may_be_repeated(spark, tmp_path):
@@ -187,3 +190,133 @@ def test_jdbc_options(suffix):
     assert read["dbtable"] == f"view_brand_{suffix}"
     assert (read["partitionColumn"], read["numPartitions"]) == ("bucket_end", "8")
     assert jdbc.write_options("jdbc:x", "view", "brand", suffix, 8)["batchsize"] == "10000"
+
+
+def test_retention_refuses_a_date_far_ahead(spark, tmp_path, tier):
+    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    days = ["2019-10-01 09:00:00", "2019-10-02 09:00:00", "2091-10-02 09:00:00"]
+    write_tier(tier(*[("view", "brand", "b", day, 1, 1) for day in days]), path)
+    with pytest.raises(ValueError, match="2091"):
+        jobs.retain_tier(spark, path, 24, stage)
+    assert read_tier(spark, path).count() == 3
+    jobs.retain_tier(spark, path, 24, stage, now=at("2019-10-02 09:30:00"))
+    assert rows(read_tier(spark, path), "bucket_end") == [(day,) for day in days[1:]]
+
+
+def test_retention_may_use_one_stage_again(spark, tmp_path, tier):
+    """Dates go by their folders' names; only the cutoff's own date is rewritten."""
+    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    for hour in (3, 9, 15):
+        labels = [f"2019-10-0{day} {hour:02}:00:00" for day in (1, 2)]
+        write_tier(tier(*[("view", "brand", "b", t, 1, 1) for t in labels]), path)
+    write_tier(tier(("purchase", "brand", "b", "2019-10-01 04:00:00", 1, 1)), path)
+    for now, left in (("2019-10-02 08:00:00", 5), ("2019-10-02 14:00:00", 4), ("2019-10-02 16:00:00", 3)):
+        jobs.retain_tier(spark, path, 24, stage, now=at(now))
+        assert read_tier(spark, path).count() == left
+    assert not os.path.exists(f"{path}/event_type=purchase/dim=brand/bucket_date=2019-10-01")
+
+
+def test_clock_reads_one_date(spark, tmp_path, tier):
+    path = str(tmp_path / "tier")
+    write_tier(
+        tier(
+            ("view", "brand", "b", "2019-09-01 09:00:00", 1, 1),
+            ("view", "brand", "b", "2019-10-02 09:00:00", 1, 1),
+            ("purchase", "brand", "b", "2019-10-03 09:00:00", 1, 1),
+        ),
+        path,
+    )
+
+    def label(**options):
+        return rows(spark.range(1).select(edge_label(spark, path, **options)))
+
+    assert label() == [("2019-10-03 09:00:00",)] and label(event="view") == [("2019-10-02 09:00:00",)]
+    assert label(newest=False) == [("2019-09-01 09:00:00",)]
+    assert label(event="click") == [("2019-10-03 09:00:00",)]
+
+
+def test_compaction_may_use_one_stage_again(spark, tmp_path, tier):
+    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    row = ("view", "brand", "b", "2019-10-01 09:00:00", 1, 1)
+    for expected in (2, 4):
+        write_tier(tier(row), path)
+        write_tier(tier(row), path) if expected == 2 else write_tier(tier(row), path)
+        jobs.compact_tier(spark, path, stage)
+        stored = rows(read_tier(spark, path), "event_count")
+        assert len(stored) == 1
+    assert stored == [(4,)]
+
+
+def test_a_staged_compaction_is_published_by_the_next_run(spark, tmp_path, tier, monkeypatch):
+    from tierline import workspace
+
+    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    row = ("view", "brand", "b", "2019-10-01 09:00:00", 1, 1)
+    write_tier(tier(row, row), path)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(workspace, "mark_published", dies)
+        with pytest.raises(RuntimeError):
+            jobs.compact_tier(spark, path, stage)
+    workspace.remove(spark, f"{path}/event_type=view/dim=brand/bucket_date=2019-10-01")  # half published
+    jobs.compact_tier(spark, path, stage)
+    assert rows(read_tier(spark, path), "event_count") == [(2,)]
+
+
+def test_large_prices_do_not_overflow(spark, raw):
+    price = "9999999999999999.99"
+    events = raw(*[("2019-10-01 09:00:00", "purchase", 1, price, f"s{n}") for n in range(40)])
+    total = jobs.ingest(events, dimensions=("product_id",)).first().price_sum
+    assert str(total) == "399999999999999999.60"
+    refunds = raw(("2019-10-01 09:00:00", "purchase", 1, "-0.01"), ("2019-10-01 09:00:00", "purchase", 1, "-5"))
+    assert str(jobs.ingest(refunds, dimensions=("product_id",)).first().price_sum) == "-5.01"
+
+
+def test_other_time_zones_are_refused(spark, tmp_path, raw):
+    events = raw(("2019-10-01 09:00:00", "view", 1, 1))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for job in (
+            lambda: jobs.store_minutes(events, str(tmp_path / "m")),
+            lambda: jobs.transport(spark, "m", "h"),
+            lambda: jobs.archive(spark, "l", "a"),
+        ):
+            with pytest.raises(ValueError, match="UTC"):
+                job()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_batch_that_died_is_finished_with_its_own_files(spark, tmp_path, monkeypatch):
+    from test_files import line, put
+
+    from tierline.sources import raw_csv
+
+    landing = tmp_path / "in"
+    places = [str(tmp_path / n) for n in ("minutes", "hours", "rank", "ledger")]
+    put(landing, "2019-10-01-10-15-00-0.csv", line(1, "10:15:26"), line(2, "xx"))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(raw_csv, "finish_run", dies)
+        with pytest.raises(RuntimeError):
+            jobs.run_batch(spark, str(landing), *places, deduplicate=False)
+    put(landing, "2019-10-01-10-16-00-0.csv", line(3, "10:16:26"))
+    put(landing, "2019-10-01-10-14-00-0.csv", line(4, "10:14:26"))
+    assert jobs.run_batch(spark, str(landing), *places, deduplicate=False) == 3
+    assert jobs.run_batch(spark, str(landing), *places, deduplicate=False) == 0
+    stored = read_tier(spark, places[0], dim="brand")
+    assert rows(stored, "bucket_end", "event_count") == [
+        ("2019-10-01 10:15:00", 1),
+        ("2019-10-01 10:16:00", 1),
+        ("2019-10-01 10:17:00", 1),
+    ]
+    assert rows(jobs.read_rejects(spark, places[3]), "row_idx") == [(2,)]
+    ledger = rows(raw_csv.claims(spark, places[3]), "block")
+    assert ledger == [("late",), ("live",), ("live",)]
+    assert spark.read.parquet(places[2]).count() == 3

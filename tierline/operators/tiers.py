@@ -36,27 +36,26 @@ def clock_value(newest: bool = True) -> Column:
     return F.coalesce(edge, F.lit(GRID_START).cast("timestamp"))
 
 
-def clock_rows(metrics: DataFrame, event: str | None, dim: str | None) -> DataFrame:
-    """The rows a tier is timed by; None stands for any event or dimension."""
-    if event:
-        metrics = metrics.where(F.col("event_type") == event)
-    if dim:
-        metrics = metrics.where(F.col("dim") == dim)
-    return metrics
-
-
 def clock(
     metrics: DataFrame,
     event: str | None = "view",
-    dim: str | None = "category_l3",
+    dim: str | None = None,
     newest: bool = True,
 ) -> DataFrame:
-    """One row: the newest (or oldest) label of one (event, dimension)."""
-    return clock_rows(metrics, event, dim).agg(clock_value(newest).alias("clock"))
+    """One row: the newest (or oldest) label of an event type, of any event if it has no rows.
+
+    `dim` restricts it to one dimension; every dimension of a tier has the same labels.
+    """
+    if dim:
+        metrics = metrics.where(F.col("dim") == dim)
+    edge = F.max if newest else F.min
+    timed = [edge(F.when(F.col("event_type") == event, F.col("bucket_end")))] if event else []
+    start = F.lit(GRID_START).cast("timestamp")
+    return metrics.agg(F.coalesce(*timed, edge("bucket_end"), start).alias("clock"))
 
 
 def read_clock(
-    metrics: DataFrame, event: str | None = "view", dim: str | None = "category_l3"
+    metrics: DataFrame, event: str | None = "view", dim: str | None = None
 ) -> Column:
     """Run `clock` now and return its value as a literal, which prunes what it is compared to."""
     seconds = clock(metrics, event, dim).select(F.unix_seconds("clock").alias("s")).first().s

@@ -1,22 +1,28 @@
 """The recurring jobs: ingest, transport, rank, backlog, retention, archive, landing files."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import workspace
+from tierline.workspace import check_utc
 from tierline.functions import timegrid
-from tierline.functions.clean import valid
-from tierline.operators.events import assign_servers
+from tierline.functions.clean import rejects, valid
+from tierline.operators.events import assign_servers, flag_late
 from tierline.operators.metrics import minute_metrics
-from tierline.operators.tiers import finished_until, read_clock, roll_up, trailing_totals
-from tierline.schema import GRID_START_EPOCH, HOUR
+from tierline.operators.tiers import finished_until, read_clock, roll_up, trailing_totals  # noqa: F401
+from tierline.schema import GRID_START_EPOCH, HOUR, TIER_COLUMNS
 from tierline.sources import raw_csv
 from tierline.sources.tier_table import (
+    edge_label,
     keep_window,
     merge_duplicates,
     read_tier,
     repair_tier,
+    stage_of,
     stage_rows,
+    stored_dates,
     write_tier,
 )
 
@@ -26,8 +32,16 @@ def ingest(events: DataFrame, **metric_options) -> DataFrame:
     return minute_metrics(events, **metric_options)
 
 
-def store_minutes(events: DataFrame, minute_path: str, **metric_options) -> None:
-    """Append the metric rows of a batch of raw events to the minute tier."""
+def store_minutes(
+    events: DataFrame, minute_path: str, rejects_path: str | None = None, **metric_options
+) -> None:
+    """Append the metric rows of a batch of raw events to the minute tier.
+
+    Events without a readable time are in no minute; `rejects_path` collects them.
+    """
+    check_utc(events.sparkSession)
+    if rejects_path:
+        rejects(events).write.mode("append").parquet(rejects_path)
     write_tier(ingest(events, **metric_options), minute_path)
 
 
@@ -38,66 +52,115 @@ def finished_hours(minutes: DataFrame, last_hour: Column, newest_minute: Column)
     return roll_up(minutes.where(ready), HOUR)
 
 
-def last_hour(spark: SparkSession, hour_path: str) -> Column:
-    """Newest label of the hour tier, of any event, so that no hour is appended twice."""
-    return read_clock(read_tier(spark, hour_path), event=None, dim=None)
-
+def transport(
+    spark: SparkSession, minute_path: str, hour_path: str, event: str | None = "view"
+) -> None:
+    """Append the hours completed since the last run to the hour tier.
 
-def transport(spark: SparkSession, minute_path: str, hour_path: str) -> None:
-    """Append the hours completed since the last run to the hour tier."""
-    start = last_hour(spark, hour_path)
-    newest = read_clock(read_tier(spark, minute_path))
+    The first run starts at the oldest stored minute. `event` is the event type that tells how far
+    the minutes have come; without any of it, all events do. Only the newest and oldest dates are
+    read for that.
+    """
+    check_utc(spark)
+    newest = edge_label(spark, minute_path, event=event)
+    start = edge_label(spark, hour_path)
+    if start is None:
+        oldest = edge_label(spark, minute_path, newest=False)
+        start = None if oldest is None else timegrid.bucket_start(oldest, HOUR)
+    if newest is None or start is None:
+        return
     fresh = read_tier(spark, minute_path, start=start)
     write_tier(finished_hours(fresh, start, newest), hour_path)
 
 
-def rank(spark: SparkSession, minute_path: str) -> DataFrame:
+def rank(spark: SparkSession, minute_path: str, event: str | None = "view") -> DataFrame:
     """Totals of the trailing hour, whatever the state of the hour tier."""
-    now = read_clock(read_tier(spark, minute_path))
+    check_utc(spark)
+    now = edge_label(spark, minute_path, event=event)
+    if now is None:
+        return trailing_totals(read_tier(spark, minute_path), F.current_timestamp())
     start = timegrid.shift(now, -59 * 60)
     return trailing_totals(read_tier(spark, minute_path, start=start, end=now), now)
 
 
+def store_rank(
+    spark: SparkSession, minute_path: str, rank_path: str, event: str | None = "view"
+) -> None:
+    """Overwrite the stored snapshot of the trailing hour."""
+    rank(spark, minute_path, event).write.mode("overwrite").parquet(rank_path)
+
+
 def process_backlog(
     spark: SparkSession, late: DataFrame, minute_path: str, hour_path: str, stage: str
 ) -> bool:
     """Merge late metric rows into the minute tier and into the hours already transported.
 
-    Hours after the hour tier's newest label are left to `transport`, which reads the
-    repaired minutes; so after a failure repeat this with the same `stage`, which counts
-    nothing twice, before the next transport. False if nothing was late.
+    Hours after the hour tier's newest label are left to `transport`, which reads the repaired
+    minutes; with an empty hour tier that is all of them. After a failure repeat this with the same
+    rows and the same `stage`, which counts nothing twice, before the next transport. Other late
+    rows may use the same `stage`. False if nothing was late.
     """
-    late = stage_rows(late, f"{stage}/minute/late")
+    check_utc(spark)
     if late.isEmpty():
         return False
-    transported = F.col("bucket_end") <= last_hour(spark, hour_path)
-    late_hours = stage_rows(roll_up(late, HOUR).where(transported), f"{stage}/hour/late")
+    stage = stage_of(late.select(*TIER_COLUMNS), stage)
+    late = stage_rows(late, f"{stage}/rows")
+    transported = edge_label(spark, hour_path)
+    if transported is not None:
+        late_hours = roll_up(late, HOUR).where(F.col("bucket_end") <= transported)
+        late_hours = stage_rows(late_hours, f"{stage}/hours")
+    else:
+        late_hours = stage_rows(late.limit(0), f"{stage}/hours")
     repair_tier(spark, minute_path, late, f"{stage}/minute")
     repair_tier(spark, hour_path, late_hours, f"{stage}/hour")
     return True
 
 
-def retain_tier(spark: SparkSession, path: str, hours: int, stage: str) -> None:
-    """Drop what is older than the tier's newest view label minus `hours`."""
-    now = read_clock(read_tier(spark, path))
-    keep_window(spark, path, now, hours, stage)
+#: Days that a tier's newest date may lie after the one before it, unless the time is given.
+LARGEST_GAP = 31
+
+
+def retain_tier(
+    spark: SparkSession,
+    path: str,
+    hours: int,
+    stage: str,
+    now: Column | None = None,
+    event: str | None = "view",
+) -> None:
+    """Drop what is older than `now` minus `hours`; by default now is the newest label of `event`.
+
+    A newest date more than LARGEST_GAP days after the one before it is refused: a single event with
+    a wrong date would empty the tier. Pass `now` if the gap is real.
+    """
+    check_utc(spark)
+    if now is None:
+        dates = stored_dates(spark, path)
+        if len(dates) > 1 and (dates[-1] - dates[-2]).days > LARGEST_GAP:
+            raise ValueError(f"{dates[-1]} follows {dates[-2]}: pass `now` if that is right")
+        now = edge_label(spark, path, event=event)
+    if now is not None:
+        keep_window(spark, path, now, hours, stage)
 
 
 def compact_tier(spark: SparkSession, path: str, stage: str) -> None:
     merge_duplicates(spark, path, stage)
 
 
-def pending_blocks(spark: SparkSession, landing: str, target: str, block: str) -> list[str]:
-    """Keys of finished blocks without a completed archive; as many as hours or days waiting.
+def pending_files(spark: SparkSession, landing: str, target: str, block: str) -> DataFrame:
+    """Files of finished blocks that no archive run has taken: path, length, modified, block.
 
-    They come from the files present, so an hour without files holds nothing up.
+    They come from the files present, so an hour without files holds nothing up, and a late file of
+    an archived block is pending like any other.
     """
-    files = raw_csv.inventory(spark, landing)
+    files = raw_csv.inventory(spark, landing).withColumn(
+        "modified", F.unix_millis("modificationTime")
+    )
     finished = raw_csv.finished_blocks(files, raw_csv.newest_file_time(files), block)
-    pending = finished.select("block").distinct().join(
-        raw_csv.archived_blocks(spark, target), "block", "left_anti"
+    taken = raw_csv.claims(spark, target).select("path", "length", "modified")
+    return finished.select("path", "length", "modified", "block").join(
+        taken, ["path", "length", "modified"], "left_anti"
     )
-    return sorted(row.block for row in pending.collect())
 
 
 def archive(
@@ -107,23 +170,87 @@ def archive(
     block: str = "hour",
     remove_sources: bool = False,
 ) -> list[str]:
-    """Compact every finished block of raw files that is not archived yet.
+    """Compact the raw files of every finished block, as they are, with all columns.
 
-    A run that died is repeated whole: blocks are noted as archived only after the write,
-    and raw files are removed only after that.
+    A run first notes exactly which files it takes, by path, length and time; these are what it
+    reads, and what it removes if they are unchanged. A run that died is repeated with its own list
+    before new files are taken, and replaces what it had written. Late files of a block are added to
+    it. The driver holds the paths of the files of a run.
     """
-    keys = pending_blocks(spark, landing, target, block)
-    if keys:
-        globs = raw_csv.block_globs(landing, keys)
-        events = raw_csv.read_raw(spark, globs).withColumn(
-            "block", timegrid.block_key(F.col("file_time"), block)
-        )
-        raw_csv.write_archive(events.where(F.col("block").isin(keys)), target)
-        raw_csv.record_archived(spark, target, keys)
+    check_utc(spark)
+    timegrid.check_block(block)
+    files = pending_files(spark, landing, target, block).collect()
+    if files:
+        run = uuid.uuid4().hex
+        rows = [(f.path, f.length, f.modified, f.block, run) for f in files]
+        raw_csv.claim(spark.createDataFrame(rows, raw_csv.claims(spark, target).schema), target)
+    keys: set[str] = set()
+    for run in raw_csv.unfinished_runs(spark, target):
+        taken = raw_csv.claims(spark, target).where(F.col("run") == run).collect()
+        text = raw_csv.read_text(spark, sorted({f.path for f in taken}))
+        if text is not None:
+            day = timegrid.block_key(timegrid.file_time(F.col("_path")), block)
+            raw_csv.write_archive(text.withColumn("block", day).drop("_path"), target, run)
+        raw_csv.finish_run(spark, target, run)
+        keys |= {f.block for f in taken}
         if remove_sources:
-            for glob in globs:
-                workspace.remove_matching(spark, glob)
-    return keys
+            for f in taken:
+                workspace.remove_unchanged(spark, f.path, f.length, f.modified)
+    return sorted(keys)
+
+
+def run_batch(
+    spark: SparkSession,
+    landing: str,
+    minute_path: str,
+    hour_path: str,
+    rank_path: str,
+    ledger: str,
+    **metric_options,
+) -> int:
+    """From landing files to tiers: count new files, live and late, roll up hours, store the rank.
+
+    Returns how many files were counted. The files of a run are noted in `ledger` before it begins,
+    so that a run that died is finished with its own files, each counted once, and files that land
+    meanwhile wait for the next. Late files, older than the newest label, are aggregated apart from
+    live ones, as another arrival; both are merged into the stored tiers. Rows without a readable
+    time are kept under `ledger` (see read_rejects). Repeated views count once within an arrival.
+    """
+    check_utc(spark)
+    clock = edge_label(spark, minute_path, event="view")
+    clock = F.lit(None).cast("timestamp") if clock is None else clock
+    files = flag_late(raw_csv.inventory(spark, landing), clock).select(
+        "path",
+        "length",
+        F.unix_millis("modificationTime").alias("modified"),
+        F.when(F.col("is_late"), "late").otherwise("live").alias("block"),
+    )
+    taken = raw_csv.claims(spark, ledger).select("path", "length", "modified")
+    new = files.join(taken, ["path", "length", "modified"], "left_anti")
+    if not new.isEmpty():
+        raw_csv.claim(new.withColumn("run", F.lit(uuid.uuid4().hex)), ledger)
+    counted = 0
+    for run in raw_csv.unfinished_runs(spark, ledger):
+        own = raw_csv.claims(spark, ledger).where(F.col("run") == run).collect()
+        stage = f"{ledger}/runs/{run}"
+        arrivals = []
+        for kind in sorted({f.block for f in own}):
+            events = raw_csv.read_raw(spark, sorted({f.path for f in own if f.block == kind}))
+            rejects(events).write.mode("overwrite").parquet(f"{ledger}/rejects/{run}-{kind}")
+            arrivals.append(stage_rows(ingest(events, **metric_options), f"{stage}/{kind}"))
+        for rows in arrivals:
+            process_backlog(spark, rows, minute_path, hour_path, f"{stage}/repair")
+        raw_csv.finish_run(spark, ledger, run)
+        counted += len(own)
+    transport(spark, minute_path, hour_path)
+    store_rank(spark, minute_path, rank_path)
+    return counted
+
+
+def read_rejects(spark: SparkSession, ledger: str) -> DataFrame | None:
+    """Rows that batch runs could not count, as read; None if there were no runs."""
+    folders = workspace.matching(spark, f"{ledger}/rejects/*")
+    return spark.read.parquet(*folders) if folders else None
 
 
 def land(
@@ -135,6 +262,7 @@ def land(
     slice_seconds: int = 60,
 ) -> None:
     """Concentrate event times and write landing files per slice and server."""
+    check_utc(events.sparkSession)
     squeezed = valid(events).withColumn(
         "event_time", timegrid.concentrate(F.col("event_time"), factor, base_epoch)
     )

@@ -87,6 +87,9 @@ SELECT event_type, dim, dim_value, bucket_end,
 _CLOCK = "SELECT max(bucket_end) FROM {} WHERE event_type = 'view' AND dim = 'category_l3'"
 
 
+_VIEWS = "SELECT max(bucket_end) FROM minutes WHERE event_type = 'view'"
+
+
 def _table(event: str, dim: str) -> str:
     columns = []
     if event == "purchase":
@@ -136,6 +139,11 @@ dealt AS (
 _RAW_COLUMNS = """row_idx, event_time, event_type, product_id, category_id, category_code, brand,
        CAST(price AS DOUBLE) AS price, user_session"""
 
+# Ids read from files are text.
+_FILE_COLUMNS = """row_idx, event_time, event_type, CAST(product_id AS VARCHAR) AS product_id,
+       CAST(category_id AS VARCHAR) AS category_id, category_code, brand,
+       CAST(price AS DOUBLE) AS price, user_session"""
+
 _MINUTE_TIER = _with(_raw(), _CLEAN, _counted(), _minutes()) + _TIER + "minutes"
 _ONE_SHOT = _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes()) + _TIER + "minutes"
 
@@ -169,7 +177,7 @@ def _archive(block: str, factor: int, slice_unit: str = "minute") -> str:
     form = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d"}[block]
     return (
         _with(_raw(factor))
-        + f"SELECT {_RAW_COLUMNS}, strftime(event_time, '{form}') AS block FROM raw"
+        + f"SELECT {_FILE_COLUMNS}, strftime(event_time, '{form}') AS block FROM raw"
         + f" WHERE date_trunc('{block}', event_time) + INTERVAL 1 {block}"
         + " < (SELECT max(date_trunc('"
         + slice_unit
@@ -284,6 +292,64 @@ FROM counted WHERE event_type = 'view'""",
     "retention_24h": _with(_raw(1), _CLEAN, _counted(), _minutes())
     + _TIER
     + f"minutes WHERE bucket_end >= ({_CLOCK.format('minutes')}) - INTERVAL 24 HOUR",
+    "transport_brand_only": _with(
+        _raw(),
+        _CLEAN,
+        _counted(),
+        _minutes(("brand",)),
+        _rolled("minutes", "bucket_end", "hour", "hours", f"bucket_end < date_trunc('hour', ({_VIEWS}))"),
+    )
+    + _TIER
+    + "hours",
+    "transport_before_grid": _with(
+        _raw(),
+        _CLEAN,
+        _counted(),
+        _minutes(),
+        _rolled("minutes", "bucket_end", "hour", "hours", f"bucket_end < date_trunc('hour', ({_VIEWS}))"),
+    )
+    + """
+SELECT event_type, dim, dim_value, bucket_end - INTERVAL 2000 DAY AS bucket_end,
+       CAST(price_sum AS DOUBLE) AS price_sum, event_count FROM hours""",
+    "purchase_repeated_index": _ONE_SHOT + " WHERE event_type = 'purchase'",
+    "backlog_repair_twice": _ONE_SHOT,
+    "batch_pipeline": _ONE_SHOT,
+    "batch_pipeline_hours": _with(
+        _raw(),
+        _CLEAN,
+        _ALL_COUNTED,
+        _minutes(),
+        _rolled("minutes", "bucket_end", "hour", "hours", f"bucket_end < date_trunc('hour', ({_VIEWS}))"),
+    )
+    + _TIER
+    + "hours",
+    "rank_snapshot": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes(), _TRAILING)
+    + """
+SELECT event_type, dim, dim_value, CAST(price_sum AS DOUBLE) AS price_sum, event_count
+FROM last_hour""",
+    "rejected_events": _with(_raw())
+    + """
+SELECT row_idx, event_type, CAST(product_id AS VARCHAR) AS product_id, CAST(price AS DOUBLE) AS price
+FROM raw WHERE row_idx % 41 = 0""",
+    "landing_without_index": _with(_raw())
+    + """
+SELECT event_time, event_type, CAST(product_id AS VARCHAR) AS product_id,
+       CAST(category_id AS VARCHAR) AS category_id, category_code, brand,
+       CAST(price AS DOUBLE) AS price, user_session, date_trunc('hour', event_time) AS file_time
+FROM raw""",
+    "landing_with_user_id": _with(_raw())
+    + """
+SELECT row_idx, event_time, event_type, 'A' || product_id AS product_id,
+       CAST(category_id AS VARCHAR) AS category_id, category_code, brand,
+       CAST(price AS DOUBLE) AS price, user_session
+FROM raw""",
+    "archive_late_file": _with(_raw())
+    + """
+SELECT CAST(row_idx AS VARCHAR) AS row_idx, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time,
+       CAST(price AS VARCHAR) AS price, user_session, strftime(event_time, '%Y-%m-%d-%H') AS block
+FROM raw
+WHERE date_trunc('hour', event_time) + INTERVAL 1 hour
+  < (SELECT max(date_trunc('hour', event_time)) FROM raw)""",
     "late_split": _with(_raw(), _CLEAN, _counted("second_arrival"))
     + """
 SELECT row_idx, date_trunc('minute', event_time) AS file_time,
@@ -314,7 +380,7 @@ SELECT min(date_trunc('minute', event_time)) AS oldest, max(date_trunc('minute',
 FROM raw""",
     "landing_files": _with(_raw(), _DEALT)
     + f"""
-SELECT {_RAW_COLUMNS}, date_trunc('hour', event_time) AS file_time, server
+SELECT {_FILE_COLUMNS}, date_trunc('hour', event_time) AS file_time, server
 FROM raw JOIN (SELECT row_idx, server FROM dealt) USING (row_idx)""",
     "archive_block_hour": _archive("hour", 30),
     "archive_block_day": _archive("day", 1),

@@ -27,6 +27,8 @@ from tierline.workspace import new_folder
 
 CATEGORY_LEVELS = ("category_l1", "category_l2", "category_l3")
 TOP_K = 10
+# From January 2024 back to before October 2019.
+DAYS_BACK = 2000
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -255,6 +257,29 @@ def retention_24h(spark, folder):
     return _plain(read_tier(spark, path))
 
 
+def transport_brand_only(spark, folder):
+    """Hours of a tier that has one dimension only, and not the one that usually times it."""
+    minutes, hours = _stored_minutes(spark, folder, dimensions=("brand",)), new_folder(spark, "hours")
+    jobs.transport(spark, minutes, hours)
+    return _plain(read_tier(spark, hours))
+
+
+def transport_before_grid(spark, folder):
+    """Hours of events from before the time at which the grid of buckets is anchored."""
+    minutes, hours = new_folder(spark, "minutes"), new_folder(spark, "hours")
+    earlier = timegrid.shift(F.col("event_time"), -DAYS_BACK * DAY)
+    jobs.store_minutes(retail_events(spark, folder).withColumn("event_time", earlier), minutes)
+    jobs.transport(spark, minutes, hours)
+    return _plain(read_tier(spark, hours))
+
+
+def purchase_repeated_index(spark, folder):
+    """Purchases whose index is missing or used again: each counts."""
+    index = F.when(F.pmod("row_idx", F.lit(11)) != 0, F.pmod("row_idx", F.lit(7)))
+    events = retail_events(spark, folder).withColumn("row_idx", index)
+    return _plain(jobs.ingest(events, event_types=("purchase",)))
+
+
 # Late data
 
 
@@ -301,6 +326,57 @@ def backlog_repair_hour(spark, folder):
     return _plain(read_tier(spark, hours))
 
 
+def backlog_repair_twice(spark, folder):
+    """Two late sets, one after the other, with the same stage folder."""
+    minutes, hours = new_folder(spark, "minutes"), new_folder(spark, "hours")
+    stage = new_folder(spark, "stage")
+    events = retail_events(spark, folder)
+    jobs.store_minutes(_live(events), minutes, deduplicate=False)
+    even = F.pmod("row_idx", F.lit(2)) == 0
+    for part in (even, ~even):
+        late = jobs.ingest(_late(events).where(part), deduplicate=False)
+        jobs.process_backlog(spark, late, minutes, hours, stage)
+    return _plain(read_tier(spark, minutes))
+
+
+def _batches(spark, folder):
+    """Landing files counted in two runs, live and late; a third run finds nothing new."""
+    landing = new_folder(spark, "landing")
+    places = [new_folder(spark, name) for name in ("minutes", "hours", "rank", "ledger")]
+    events = retail_events(spark, folder)
+    for part in (_live(events), _late(events)):
+        jobs.land(part, landing, factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=HOUR)
+        jobs.run_batch(spark, landing, *places, deduplicate=False)
+    jobs.run_batch(spark, landing, *places, deduplicate=False)
+    return places
+
+
+def batch_pipeline(spark, folder):
+    return _plain(read_tier(spark, _batches(spark, folder)[0]))
+
+
+def batch_pipeline_hours(spark, folder):
+    return _plain(read_tier(spark, _batches(spark, folder)[1]))
+
+
+def rank_snapshot(spark, folder):
+    """The stored trailing hour after the last batch."""
+    return _plain(spark.read.parquet(_batches(spark, folder)[2]))
+
+
+def rejected_events(spark, folder):
+    """Rows without a readable time, kept apart by the batch job."""
+    landing = new_folder(spark, "landing")
+    places = [new_folder(spark, name) for name in ("minutes", "hours", "rank", "ledger")]
+    text = raw_csv.as_text(retail_events(spark, folder))
+    broken = F.when(F.pmod(F.col("row_idx").cast("long"), F.lit(41)) == 0, "no time")
+    text = text.withColumn("event_time", F.coalesce(broken, "event_time"))
+    text.write.option("header", True).csv(landing)
+    jobs.run_batch(spark, landing, *places)
+    found = jobs.read_rejects(spark, places[3])
+    return _plain(found.select("row_idx", "event_type", "product_id", "price"))
+
+
 def merge_duplicates(spark, folder):
     """A stored tier that got two partial rows for many keys, compacted."""
     path = new_folder(spark, "minutes")
@@ -338,6 +414,27 @@ def landing_files(spark, folder):
     return _plain(raw_csv.read_raw(spark, landing))
 
 
+def landing_without_index(spark, folder):
+    """Events without a row index reach their landing files all the same."""
+    landing = new_folder(spark, "landing")
+    events = retail_events(spark, folder).withColumn("row_idx", F.lit(None).cast("long"))
+    jobs.land(events, landing, factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=HOUR)
+    return _plain(raw_csv.read_raw(spark, landing).drop("row_idx", "server"))
+
+
+def landing_with_user_id(spark, folder):
+    """Files with a column more, in another order, and product ids that are no numbers."""
+    landing = new_folder(spark, "landing")
+    text = raw_csv.as_text(retail_events(spark, folder))
+    text.select(
+        "user_session",
+        F.lit("u").alias("user_id"),
+        F.concat(F.lit("A"), "product_id").alias("product_id"),
+        *[name for name in text.columns if name not in ("user_session", "product_id")],
+    ).write.option("header", True).csv(landing)
+    return _plain(raw_csv.read_raw(spark, landing).drop("file_time", "server"))
+
+
 def _archived(block, factor):
     def query(spark, folder):
         events = retail_events(spark, folder, factor).withColumn(
@@ -360,6 +457,17 @@ def archive_landing(spark, folder):
     return _plain(raw_csv.read_archive(spark, target))
 
 
+def archive_late_file(spark, folder):
+    """Text of the archive after a second run, which found late files of archived hours."""
+    landing, target = new_folder(spark, "landing"), new_folder(spark, "archive")
+    events = retail_events(spark, folder)
+    for part in (_live(events), _late(events)):
+        jobs.land(part, landing, factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=HOUR)
+        jobs.archive(spark, landing, target)
+    text = raw_csv.read_archive_text(spark, target)
+    return text.select("row_idx", "event_time", "price", "user_session", "block")
+
+
 # Streams
 
 
@@ -464,6 +572,17 @@ QUERIES = {
     "rolling_hour_series": rolling_hour_series,
     "tier_clock": tier_clock,
     "retention_24h": retention_24h,
+    "transport_brand_only": transport_brand_only,
+    "transport_before_grid": transport_before_grid,
+    "purchase_repeated_index": purchase_repeated_index,
+    "backlog_repair_twice": backlog_repair_twice,
+    "batch_pipeline": batch_pipeline,
+    "batch_pipeline_hours": batch_pipeline_hours,
+    "rank_snapshot": rank_snapshot,
+    "rejected_events": rejected_events,
+    "landing_without_index": landing_without_index,
+    "landing_with_user_id": landing_with_user_id,
+    "archive_late_file": archive_late_file,
     "late_split": late_split,
     "backlog_repair_minute": backlog_repair_minute,
     "backlog_repair_stored": backlog_repair_stored,

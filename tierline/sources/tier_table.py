@@ -1,5 +1,8 @@
 """Stored tiers: Parquet partitioned by event type, dimension and bucket date."""
 
+import uuid
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +64,23 @@ def stage_rows(metrics: DataFrame, stage: str) -> DataFrame:
     return spark.read.schema(TIER).parquet(stage)
 
 
+def stage_of(rows: DataFrame, stage: str) -> str:
+    """A folder below `stage` named by what the rows are: other rows never meet a used stage."""
+    mark = rows.agg(
+        F.count("*").alias("n"),
+        F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).alias("sum"),
+    ).first()
+    return f"{stage}/{mark.n}_{mark['sum'] or 0}"
+
+
+def finish_stages(spark: SparkSession, path: str, stage: str) -> None:
+    """Publish what earlier runs have staged below `stage` and died before publishing."""
+    for done in workspace.matching(spark, f"{stage}/*/_SUCCESS"):
+        place = done.rsplit("/", 1)[0]
+        if not workspace.published(spark, place):
+            replace_partitions(spark.read.schema(TIER).parquet(place), path, place)
+
+
 def replace_partitions(metrics: DataFrame, path: str, stage: str) -> None:
     """Replace exactly the partitions that `metrics` has rows in.
 
@@ -92,12 +112,14 @@ def _in_partitions(rows: DataFrame, partitions: DataFrame) -> DataFrame:
 def repair_tier(spark: SparkSession, path: str, late: DataFrame, stage: str) -> bool:
     """Merge late rows into a stored tier, rewriting only the partitions they fall in.
 
-    `stage` names this repair: running it again with the same folder finishes it and does
-    not count the late rows twice. False if there was nothing late.
+    Running it again with the same `stage` and the same late rows finishes it and does not count
+    them twice; other late rows get a stage of their own below the same folder. False if there was
+    nothing late.
     """
-    late = stage_rows(late, f"{stage}/late")
     if late.isEmpty():
         return False
+    stage = stage_of(late.select(*TIER_COLUMNS), stage)
+    late = stage_rows(late, f"{stage}/late")
     touched = _in_partitions(_stored(spark, path), affected_partitions(late))
     replace_partitions(repaired(touched.select(*TIER_COLUMNS), late), path, f"{stage}/merged")
     return True
@@ -106,8 +128,10 @@ def repair_tier(spark: SparkSession, path: str, late: DataFrame, stage: str) ->
 def merge_duplicates(spark: SparkSession, path: str, stage: str) -> None:
     """Rewrite a tier whose keys may have several partial rows with one row per key.
 
-    Only partitions with duplicates are rewritten.
+    Only partitions with duplicates are rewritten. `stage` may be the same every time: what a run
+    that died has staged is published first.
     """
+    finish_stages(spark, path, stage)
     doubled = (
         with_bucket_date(
             _stored(spark, path)
@@ -119,38 +143,62 @@ def merge_duplicates(spark: SparkSession, path: str, stage: str) -> None:
         .distinct()
     )
     touched = _in_partitions(_stored(spark, path), doubled)
-    replace_partitions(merge(touched), path, stage)
+    if not touched.isEmpty():
+        replace_partitions(merge(touched), path, f"{stage}/{uuid.uuid4().hex}")
 
 
-def drop_expired(spark: SparkSession, path: str, rows: DataFrame, cutoff: Column) -> list:
-    """Delete the partitions of `rows`, stored at `path`, that end before the cutoff.
+def stored_dates(spark: SparkSession, path: str, event: str | None = None) -> list[date]:
+    """Dates that a tier has folders for, in order. Reads names only."""
+    folders = workspace.matching(spark, f"{path}/event_type={event or '*'}/dim=*/bucket_date=*")
+    return sorted({date.fromisoformat(name.rsplit("=", 1)[1]) for name in folders})
 
-    Returns the dates that the cutoff runs through. One short row per partition comes to
-    the driver, and deleting is a metadata call.
+
+def edge_label(
+    spark: SparkSession, path: str, newest: bool = True, event: str | None = None
+) -> Column | None:
+    """The newest (or oldest) stored label as a literal, from the rows of one date; None if empty.
+
+    Where `event` has no rows at all, any event's labels count.
     """
-    spans = (
-        rows.groupBy(*PARTITIONS)
-        .agg(F.min("bucket_end").alias("first"), F.max("bucket_end").alias("last"))
-        .where(F.col("first") < cutoff)
-        .select(*PARTITIONS, (F.col("last") < cutoff).alias("expired"))
-        .collect()
-    )
-    for row in spans:
-        if row.expired:
-            workspace.remove(
-                spark,
-                f"{path}/event_type={row.event_type}/dim={row.dim}/bucket_date={row.bucket_date}",
-            )
-    return sorted({row.bucket_date for row in spans if not row.expired})
+    for kind in [event, None] if event else [None]:
+        for day in sorted(stored_dates(spark, path, kind), reverse=newest):
+            rows = _stored(spark, path).where(F.col("bucket_date") == F.lit(day))
+            if kind:
+                rows = rows.where(F.col("event_type") == kind)
+            edge = F.max("bucket_end") if newest else F.min("bucket_end")
+            found = rows.agg(F.unix_seconds(edge).alias("s")).first().s
+            if found is not None:
+                return F.timestamp_seconds(F.lit(found))
+    return None
+
+
+def drop_dates(spark: SparkSession, path: str, before: date) -> None:
+    """Delete the dates before one; metadata calls, one for each folder."""
+    for folder in workspace.matching(spark, f"{path}/event_type=*/dim=*/bucket_date=*"):
+        if date.fromisoformat(folder.rsplit("=", 1)[1]) < before:
+            workspace.remove(spark, folder)
 
 
 def keep_window(spark: SparkSession, path: str, now: Column, hours: int, stage: str) -> None:
-    """Drop rows older than `now` minus `hours`: whole partitions are deleted, the ones that
-    hold the cutoff are rewritten, newer ones are not touched."""
-    cutoff = retention_cutoff(now, hours)
-    dates = drop_expired(spark, path, _stored(spark, path), cutoff)
-    if dates:
-        kept = _stored(spark, path).where(
-            F.col("bucket_date").isin(dates) & (F.col("bucket_end") >= cutoff)
-        )
-        replace_partitions(kept, path, stage)
+    """Drop rows older than `now` minus `hours`: dates before the cutoff's are deleted by their
+    names, the cutoff's own date is rewritten, newer ones are not touched or read."""
+    finish_stages(spark, path, stage)
+    cutoff = spark.range(1).select(
+        F.unix_seconds(retention_cutoff(now, hours)).alias("s"),
+        F.to_date(retention_cutoff(now, hours)).alias("day"),
+    ).first()
+    drop_dates(spark, path, cutoff.day)
+    edge = _stored(spark, path).where(F.col("bucket_date") == F.lit(cutoff.day))
+    limit = F.timestamp_seconds(F.lit(cutoff.s))
+    cut = edge.where(F.col("bucket_end") < limit).select(*PARTITIONS).distinct()
+    touched = edge.join(cut, list(PARTITIONS), "left_semi")
+    if touched.isEmpty():
+        return
+    # A partition of which nothing is left is in no stage, so it is deleted by name.
+    kept = touched.where(F.col("bucket_end") >= limit)
+    stays = {(r.event_type, r.dim) for r in kept.select("event_type", "dim").distinct().collect()}
+    goes = {(r.event_type, r.dim) for r in cut.collect()} - stays
+    if stays:
+        replace_partitions(kept, path, f"{stage}/{uuid.uuid4().hex}")
+    for event, dim in sorted(goes):
+        workspace.remove(spark, f"{path}/event_type={event}/dim={dim}/bucket_date={cutoff.day}")

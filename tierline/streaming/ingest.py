@@ -16,7 +16,7 @@ from tierline.operators.events import flag_late
 from tierline.operators.metrics import minute_metrics
 from tierline.operators.tiers import merge, read_clock, retention_cutoff, roll_up
 from tierline.schema import DIMENSIONS, EVENTS, HOUR, PARTITIONS, STORED_TIER, TIER_COLUMNS
-from tierline.sources.tier_table import drop_expired
+from tierline.sources.tier_table import drop_dates, edge_label
 
 DELTA = StructType(
     [
@@ -104,8 +104,10 @@ def run_ingest(
 
 def trim(spark: SparkSession, path: str, hours: int = 24) -> None:
     """Delete the dates of a delta table that lie wholly before its clock minus `hours`."""
-    deltas = read_deltas(spark, path)
-    drop_expired(spark, path, deltas, retention_cutoff(read_clock(deltas), hours))
+    now = edge_label(spark, path, event="view")
+    if now is not None:
+        day = spark.range(1).select(F.to_date(retention_cutoff(now, hours)).alias("day")).first().day
+        drop_dates(spark, path, day)
 
 
 def late_deltas(spark: SparkSession, path: str, after_batch: int = -1) -> DataFrame:

@@ -19,6 +19,13 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/tierline/{purpose}-{uuid.uuid4().hex}"
 
 
+def check_utc(spark: SparkSession) -> None:
+    """Refuse sessions whose zone is not UTC: event text, labels and folders are all in UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC, it is {zone}")
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
@@ -50,6 +57,28 @@ def remove(spark: SparkSession, path: str) -> bool:
     return system.delete(target, True)
 
 
+def matching(spark: SparkSession, glob: str) -> list[str]:
+    """Paths that a glob matches."""
+    system, pattern = _file_system(spark, glob)
+    return sorted(entry.getPath().toString() for entry in system.globStatus(pattern) or [])
+
+
+def remove_unchanged(spark: SparkSession, path: str, length: int, modified: int) -> bool:
+    """Delete a file if it still has this length and modification time (in ms)."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return False
+    status = system.getFileStatus(target)
+    same = status.getLen() == length and status.getModificationTime() == modified
+    return same and system.delete(target, False)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    system, target = _file_system(spark, path)
+    system.create(target, True).close()
+
+
 def remove_matching(spark: SparkSession, glob: str) -> int:
     """Delete what a glob matches; returns how many entries that were."""
     system, pattern = _file_system(spark, glob)
