@@ -10,6 +10,7 @@ what is left by the digest of the whole window; equal groups are exactly the rep
 
 import gc
 import hashlib
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,30 +29,57 @@ PIECE = 1 << 21  # bytes whose suffixes are looked at together
 PLACE_BITS = 22
 DONE, CHECK, ALONE, SHARED = 0, 1, 2, 3  # what a row of the first pass says of its run
 
-FIRST_PASS = "kind int, key bigint, whole bigint, doc bigint, place bigint"
-SECOND_PASS = "kind int, high bigint, low bigint, doc bigint, place bigint"
-MARKS = "kind int, doc bigint, place bigint"
+FIRST_PASS = "key bigint, whole bigint, doc bigint, place bigint"
+SECOND_PASS = "high bigint, low bigint, doc bigint, place bigint"
+MARKS = "doc bigint, place bigint"
 
 
-def place_of(digest, start, count):
-    """Orders runs of one document: 23 bits of its digest, 32 of the start, 8 of the length."""
-    return (digest << 40) | (start << 8) | count
+def place_of(digest, start, count, kind):
+    """Orders runs of one document: 23 bits of its digest, 32 of the start, 6 of the length, 2 of
+    the kind."""
+    return (digest << 40) | (start << 8) | (count << 2) | kind
 
 
-def document_keys(documents: DataFrame, id_col: str, text_col: str) -> dict[str, Column]:
-    """`doc` and `digest`, which order rows and tell them apart.
+def start_of(place):
+    return (place >> 8) & 0xFFFFFFFF
 
-    Rows of one id and text are the same document. A null id becomes a number below all ids, made
-    of the text's hash.
+
+def count_of(place):
+    return (place >> 2) & 0x3F
+
+
+def kind_of(place):
+    return place & 3
+
+
+def keyed(documents: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """The documents with `doc` and `digest`, which order rows and tell them apart, and `body`.
+
+    Rows of one id and text are the same document. A null id becomes a number below all ids, made of
+    the text's hash. The digest is 0 but for ids that occur with different texts.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    hashed = F.xxhash64(text)
+    spark = documents.sparkSession
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    hashed = F.xxhash64(body)
     low = F.lit(-(1 << 62)) - hashed.bitwiseAND(F.lit((1 << 62) - 1))
-    return {
-        "doc": F.coalesce(F.col(id_col).cast("long"), low),
-        "digest": hashed.bitwiseAND(F.lit((1 << 23) - 1)),
-        "text": text,
-    }
+    doc = F.coalesce(F.col(id_col).cast("long"), low)
+    place = f"{folder}/ambiguous"
+    (
+        documents.select(doc.alias("twice"), hashed.alias("hashed"))
+        .groupBy("twice")
+        .agg(F.min("hashed").alias("least"), F.max("hashed").alias("most"))
+        .where("least <> most")
+        .select("twice")
+        .write.parquet(place)
+    )
+    twice = spark.read.schema("twice bigint").parquet(place)
+    digest = F.when(F.col("twice").isNotNull(), hashed.bitwiseAND(F.lit((1 << 23) - 1)))
+    return documents.join(twice, doc == F.col("twice"), "left").select(
+        doc.alias("doc"),
+        F.coalesce(digest, F.lit(0).cast("long")).alias("digest"),
+        body.alias("text"),
+        F.struct(*[F.col(f"`{n}`") for n in documents.columns if n != text_col]).alias("row"),
+    )
 
 
 def _byte_table() -> np.ndarray:
@@ -149,11 +177,7 @@ def _same(*columns: np.ndarray) -> np.ndarray:
 
 def _batch(schema: str, *columns: np.ndarray) -> pa.RecordBatch:
     names = [field.split()[0] for field in schema.split(", ")]
-    kinds = {"int": pa.int32(), "bigint": pa.int64()}
-    types = [kinds[field.split()[1]] for field in schema.split(", ")]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
-    )
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
 
 def _first_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +203,7 @@ def _first_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 len(at),
             )
             number = number + text
-            place = place_of(digest[number], at - begins[number - text] + offset, count)
+            place = place_of(digest[number], at - begins[number - text] + offset, count, 0)
             order = np.lexsort((place, doc[number], whole, key))
             key, whole = key[order].view(np.int64), whole[order].view(np.int64)
             own_doc, place = doc[number][order], place[order]
@@ -188,9 +212,9 @@ def _first_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             group = np.cumsum(~_same(key)) - 1
             several = np.bincount(group, weights=~equal) > 1
             kind = np.where(equal, DONE, np.where(several[group], CHECK, ALONE))
-            out = [kind, key, whole, own_doc, place]
+            out = [key, whole, own_doc, place | kind]
             told = np.flatnonzero(~_same(key) & several[group])
-            shared = [np.full(len(told), SHARED), key[told], whole[told], own_doc[told], place[told]]
+            shared = [key[told], whole[told], own_doc[told], place[told] | SHARED]
             kept = ~again
             yield _batch(
                 FIRST_PASS,
@@ -208,43 +232,41 @@ def _sort_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     many = False  # whether the last key is known to have several runs
     waiting: tuple | None = None  # the only run of the last key so far
     for batch in batches:
-        kind, key, whole, doc, place = (batch.column(n).to_numpy() for n in range(5))
-        keep = kind >= ALONE
-        done = [kind[~keep], doc[~keep], place[~keep]]
-        kind, key, whole, doc, place = (x[keep] for x in (kind, key, whole, doc, place))
+        key, whole, doc, place = (batch.column(n).to_numpy() for n in range(4))
+        keep = kind_of(place) >= ALONE
+        out = [doc[~keep], place[~keep]]
+        key, whole, doc, place = (x[keep] for x in (key, whole, doc, place))
         if not len(key):
-            yield _batch(MARKS, *done)
+            yield _batch(MARKS, *out)
             continue
+        skip = int(last is not None)
         if last is not None:
             # The row before this batch comes again, to be compared with; its outcome is not.
-            head = (ALONE, *last)
-            columns = zip(head, (kind, key, whole, doc, place), strict=True)
-            kind, key, whole, doc, place = (np.append(np.int64(a), b) for a, b in columns)
-        skip = int(last is not None)
-        same_key = _same(key)
+            key, whole, doc, place = (
+                np.append(np.int64(a), b) for a, b in zip(last, (key, whole, doc, place), strict=True)
+            )
+        alone = kind_of(place) == ALONE
+        where = place >> 2
         same_run = _same(key, whole)
-        same_place = _same(key, whole, doc, place)
-        group = np.cumsum(~same_key) - 1
-        told = np.bincount(group, weights=(kind == SHARED)) > 0
-        several = told | (np.bincount(group, weights=~same_run) > 1)
+        group = np.cumsum(~_same(key)) - 1
+        several = (np.bincount(group, weights=~alone) > 0) | (
+            np.bincount(group, weights=~same_run) > 1
+        )
         if skip and many:
             several[0] = True
         fresh = np.arange(len(key)) >= skip
-        repeated = same_run & ~same_place & (kind == ALONE) & fresh
-        first = ~same_run & fresh
-        check = first & (kind == ALONE) & several[group]
-        out = [
-            np.concatenate([done[0], np.full(repeated.sum(), DONE), np.full(check.sum(), CHECK)]),
-            np.concatenate([done[1], doc[repeated], doc[check]]),
-            np.concatenate([done[2], place[repeated], place[check]]),
-        ]
+        done = same_run & ~_same(key, whole, doc, where) & alone & fresh
+        first = ~same_run & alone & fresh
+        check = first & several[group]
+        marks = np.concatenate([(where[done] << 2) | DONE, (where[check] << 2) | CHECK])
+        out = [np.concatenate([out[0], doc[done], doc[check]]), np.append(out[1], marks)]
         if waiting is not None and several[0]:
-            out = [np.append(a, b) for a, b in zip(out, (CHECK, *waiting), strict=True)]
+            out = [np.append(a, b) for a, b in zip(out, waiting, strict=True)]
         if several[0] or group[-1]:
             waiting = None
-        alone = np.flatnonzero(first & (kind == ALONE) & (group == group[-1]))
-        if len(alone) and not several[-1]:
-            waiting = (doc[alone[0]], place[alone[0]])
+        open_ = np.flatnonzero(first & (group == group[-1]))
+        if len(open_) and not several[-1]:
+            waiting = (doc[open_[0]], (where[open_[0]] << 2) | CHECK)
         many = bool(several[-1])
         last = tuple(int(x[-1]) for x in (key, whole, doc, place))
         yield _batch(MARKS, *out)
@@ -260,7 +282,7 @@ def _second_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         values = np.asarray(places.values, np.int64)
         number = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
         values = values[offsets[0] : offsets[-1]]
-        start, count = (values >> 8) & 0xFFFFFFFF, values & 0xFF
+        start, count = start_of(values), count_of(values)
         content = data.tobytes()
         ends = np.cumsum(count)
         low = 0
@@ -270,7 +292,7 @@ def _second_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             at = spread(start[part], count[part])
             own = np.repeat(number[part], count[part])
             # The part of the document's key that is in the places of its rows.
-            place = place_of(digest[own], at, 1)
+            place = place_of(digest[own], at, 1, 0)
             window = xxhash.xxh3_128_digest
             hashed = b"".join(
                 window(content[a : a + WIDTH]) for a in (starts[own] + at).tolist()
@@ -282,18 +304,18 @@ def _second_digits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             kept = ~_same(first, second, own_doc, place)
             first, second, own_doc, place = (x[kept] for x in (first, second, own_doc, place))
             kind = np.where(_same(first, second), DONE, ALONE)
-            yield _batch(SECOND_PASS, kind, first, second, own_doc, place)
+            yield _batch(SECOND_PASS, first, second, own_doc, place | kind)
             low = high
 
 
 def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by window and document: all but the first of a window are repeated."""
-    last: np.ndarray | None = None
+    last: list | None = None
     for batch in batches:
-        kind, *row = (batch.column(n).to_numpy() for n in range(5))
-        done = kind == DONE
-        out = [row[2][done], row[3][done]]
-        row = [x[~done] for x in row]
+        row = [batch.column(n).to_numpy() for n in range(4)]
+        keep = kind_of(row[3]) == ALONE
+        out = [row[2][~keep], row[3][~keep]]
+        row = [x[keep] for x in row]
         if len(row[0]):
             skip = int(last is not None)
             if last is not None:
@@ -303,15 +325,21 @@ def _sort_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             first = np.searchsorted(group, group)
             repeated = (row[2] != row[2][first]) | (row[3] != row[3][first])
             repeated[:skip] = False
-            out = [np.append(out[0], row[2][repeated]), np.append(out[1], row[3][repeated])]
+            marks = ((row[3][repeated] >> 2) << 2) | DONE
+            out = [np.append(out[0], row[2][repeated]), np.append(out[1], marks)]
             last = [x[first[-1]] for x in row]
-        yield _batch(MARKS, np.full(len(out[0]), DONE), *out)
+        yield _batch(MARKS, *out)
 
 
 def _release(spark: SparkSession) -> None:
-    """Let the shuffle files of finished jobs go: Spark deletes those of collected garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let the shuffle files of finished jobs go: Spark deletes those of collected garbage.
+
+    Two rounds, since the driver's Python holds on to the plans that the first one frees.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def _marks(spark: SparkSession, frame: DataFrame, place: str) -> DataFrame:
@@ -322,42 +350,42 @@ def _marks(spark: SparkSession, frame: DataFrame, place: str) -> DataFrame:
 
 def _by_document(marks: DataFrame) -> DataFrame:
     """The marked runs of each document; as many as it has bytes, at most."""
-    digest = F.shiftright("place", 40)
-    return marks.groupBy(F.col("doc").alias("own"), digest.alias("own_digest")).agg(
-        F.collect_list("place").alias("places")
-    )
+    return marks.groupBy(
+        F.col("doc").alias("own"), F.shiftright("place", 40).alias("own_digest")
+    ).agg(F.collect_list("place").alias("places"))
 
 
-def repeated_runs(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """`doc, place` of runs of windows that also begin earlier."""
-    spark = documents.sparkSession
-    folder = workspace.new_folder(spark, "repeated-windows")
-    texts = documents.select(
-        *[c.alias(name) for name, c in document_keys(documents, id_col, text_col).items()]
-    )
-    # Settled rows need no neighbours and are spread out.
-    apart = F.when(F.col("kind") <= CHECK, F.xxhash64("doc", "place")).otherwise(F.col("key"))
+def _apart(key: str) -> Column:
+    """What rows are dealt out by; settled rows need no neighbours and are spread."""
+    settled = F.col("place").bitwiseAND(F.lit(3)) <= CHECK
+    return F.when(settled, F.xxhash64("doc", "place")).otherwise(F.col(key))
+
+
+def repeated_runs(texts: DataFrame, folder: str) -> DataFrame:
+    """`doc, place` of runs of windows that also begin earlier; `texts` comes from keyed()."""
+    spark = texts.sparkSession
+    kind = F.col("place").bitwiseAND(F.lit(3))
     runs_ = (
-        texts.mapInArrow(_first_digits, FIRST_PASS)
-        .repartition(apart)
-        .sortWithinPartitions("key", "whole", "doc", "place", F.col("kind").desc())
+        texts.select("doc", "digest", "text")
+        .mapInArrow(_first_digits, FIRST_PASS)
+        .repartition(_apart("key"))
+        .sortWithinPartitions("key", "whole", "doc", "place")
         .mapInArrow(_sort_runs, MARKS)
     )
     marks = _marks(spark, runs_, f"{folder}/first")
-    unsettled = _by_document(marks.where(F.col("kind") == CHECK).distinct())
-    apart = F.when(F.col("kind") == DONE, F.xxhash64("doc", "place")).otherwise(F.col("high"))
+    unsettled = _by_document(marks.where(kind == CHECK).distinct())
     windows = (
         texts.join(
             unsettled, (F.col("doc") == F.col("own")) & (F.col("digest") == F.col("own_digest"))
         )
         .select("doc", "digest", "text", "places")
         .mapInArrow(_second_digits, SECOND_PASS)
-        .repartition(apart)
+        .repartition(_apart("high"))
         .sortWithinPartitions("high", "low", "doc", "place")
         .mapInArrow(_sort_windows, MARKS)
     )
     more = _marks(spark, windows, f"{folder}/second")
-    return marks.where(F.col("kind") == DONE).union(more).select("doc", "place")
+    return marks.where(kind == DONE).union(more)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], content: str | None) -> Iterator[pa.RecordBatch]:
@@ -373,8 +401,8 @@ def _cut(batches: Iterator[pa.RecordBatch], content: str | None) -> Iterator[pa.
                 spans.append(0)
                 continue
             runs_ = np.array(places, np.int64)
-            begin = (runs_ >> 8) & 0xFFFFFFFF
-            end = begin + (runs_ & 0xFF) + WIDTH - 1
+            begin = start_of(runs_)
+            end = begin + count_of(runs_) + WIDTH - 1
             change = np.zeros(len(own) + 1, np.int64)
             np.add.at(change, begin, 1)
             np.add.at(change, end, -1)
@@ -423,19 +451,15 @@ def remove_repeated(
     null id is smaller than all ids, which must be over -2^62. Other columns are ignored; texts of
     any length are cut into pieces for the work; no rows give no rows.
     """
-    spark = documents.sparkSession
-    found = _by_document(repeated_runs(documents, id_col, text_col))
-    keys = document_keys(documents, id_col, text_col)
-    rows = documents.select(
-        *[c.alias(name) for name, c in keys.items()],
-        F.col(id_col).alias("own_id"),
-        *[F.struct(*[F.col(f"`{n}`") for n in documents.columns if n != text_col]).alias("row")]
-        * carry,
-    )
-    joined = rows.join(
+    folder = workspace.new_folder(documents.sparkSession, "repeated-windows")
+    texts = keyed(documents, id_col, text_col, folder)
+    found = _by_document(repeated_runs(texts, folder))
+    own_id = F.col(f"row.`{id_col}`").alias("own_id")
+    joined = texts.join(
         found, (F.col("doc") == F.col("own")) & (F.col("digest") == F.col("own_digest")), "left"
-    ).select("own_id", *["row"] * carry, "text", "places")
-    kinds = dict(zip(LEFT, ("string" if content == "text" else "binary", "long", "long", "long", "string"), strict=True))
+    ).select(own_id, *["row"] * carry, "text", "places")
+    kept = "string" if content == "text" else "binary"
+    kinds = dict(zip(LEFT, (kept, "long", "long", "long", "string"), strict=True))
     schema = T.StructType(
         [
             T.StructField(f.name, f.dataType)
