@@ -101,7 +101,7 @@ def test_bad_times_do_not_reach_a_tier(spark, tmp_path):
 def test_trim_deletes_whole_dates(spark, tmp_path):
     source = tmp_path / "in"
     put(source, "2019-10-01-10-15-00-0.csv", "1,2019-10-01 10:15:10,view,5,7,a,,1,s")
-    put(source, "2019-10-03-10-15-00-0.csv", "2,2019-10-03 10:15:10,view,5,7,a,,1,s")
+    put(source, "2019-10-03-10-15-00-0.csv", "2,2019-10-03 10:15:10,view,5,7,a,,1,s2")
     deltas = run(spark, tmp_path)
     stream.trim(spark, deltas, 24)
     assert rows(stream.served_tier(spark, deltas).select("bucket_end").distinct()) == [
@@ -153,3 +153,31 @@ def test_minute_stream_equals_batch_up_to_the_watermark(spark, tmp_path):
     batch = by_dimension(with_bucket(events, 60), ("brand",)).where(F.col("bucket_end") <= closing)
     batch = batch.select("event_type", "dim_value", "bucket_end", (F.col("price_sum") * 100).cast("bigint").alias("cents"), "event_count")
     assert same(flat, batch)
+
+
+def test_counts_do_not_depend_on_the_batches(spark, tmp_path):
+    """Views of one pair come in several files, the earliest of them late and last."""
+    names = ("10-15-00-0", "10-16-00-0", "10-18-00-0", "10-14-00-3")
+    for n, name in enumerate(names):
+        clock = name.replace("-", ":")[:5]
+        price = ("1.50", "x", "2.50", "3.50")[n]
+        put(
+            tmp_path / "in",
+            f"2019-10-01-{name}.csv",
+            line(1, f"{clock}:10", price=price),
+            line(1, f"{clock}:20", "purchase", price=price),
+            line(2, f"{clock}:30", session="", product=9),
+            line(3, f"{clock}:30", session=f"own{n}", product=8, price="x"),
+        )
+        moment = time.time() - 1000 + n
+        os.utime(tmp_path / "in" / f"2019-10-01-{name}.csv", (moment, moment))
+    expected = jobs.ingest(read_raw(spark, str(tmp_path / "in"))).select(*TIER_COLUMNS)
+    for files in (1, 2, 4):
+        deltas = str(tmp_path / f"deltas{files}")
+        source = stream_raw(spark, str(tmp_path / "in"), files_per_batch=files)
+        stream.run_ingest(source, deltas, str(tmp_path / f"progress{files}")).awaitTermination()
+        assert same(stream.served_tier(spark, deltas), expected)
+    again = read_raw(spark, str(tmp_path / "in")).where("server = 3")
+    deltas = str(tmp_path / "deltas1")
+    stream.write_batch(again, 3, deltas)  # the last batch once more
+    assert same(stream.served_tier(spark, deltas), expected)

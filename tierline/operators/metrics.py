@@ -17,10 +17,15 @@ from tierline.schema import (
 
 
 def by_dimension(
-    events: DataFrame, dimensions=DIMENSIONS, scope: tuple[str, ...] = ()
+    events: DataFrame,
+    dimensions=DIMENSIONS,
+    scope: tuple[str, ...] = (),
+    count_rows: bool = False,
 ) -> DataFrame:
     """Metric rows of every dimension from one pass over bucketed events.
 
+    `count_rows` adds `event_rows`, the number of events with or without a price.
+
     Events are first summed for each combination of dimension values, so the fan-out to
     grouping sets multiplies those sums and not the events. All sums have map-side
     partial aggregation, which absorbs hot products, brands and minutes.
@@ -28,13 +33,14 @@ def by_dimension(
     check_configuration(EVENTS, dimensions)
     keys = [*scope, "event_type", "bucket_end"]
     combined = events.groupBy(*keys, *dimensions).agg(
-        measures.price_cents(), measures.priced_events()
+        measures.price_cents(), measures.priced_events(), F.count("*").alias("event_rows")
     )
     fanned = combined.groupingSets(
         [[*keys, dim] for dim in dimensions], *keys, *dimensions
     ).agg(
         measures.merged_cents(),
         measures.merged_count(),
+        F.sum("event_rows").alias("event_rows"),
         *[F.grouping(dim).alias(f"_no_{dim}") for dim in dimensions],
     )
     # A NULL value is a real group (deep category paths), so ask grouping(), not IS NULL.
@@ -48,6 +54,7 @@ def by_dimension(
         "bucket_end",
         measures.money(F.col("cents")).alias("price_sum"),
         "event_count",
+        *["event_rows"] * count_rows,
     )
 
 
@@ -58,6 +65,7 @@ def minute_metrics(
     step: int = MINUTE,
     deduplicate: bool = True,
     scope: tuple[str, ...] = (),
+    count_rows: bool = False,
 ) -> DataFrame:
     """Raw typed events to minute metric rows.
 
@@ -66,7 +74,7 @@ def minute_metrics(
     chosen = split_events(valid(events), event_types)
     if deduplicate:
         chosen = first_views(chosen, scope)
-    return by_dimension(with_bucket(clean_events(chosen), step), dimensions, scope)
+    return by_dimension(with_bucket(clean_events(chosen), step), dimensions, scope, count_rows)
 
 
 def published(metrics: DataFrame, time: str | None = "bucket_end") -> DataFrame:

@@ -386,6 +386,7 @@ FROM raw JOIN (SELECT row_idx, server FROM dealt) USING (row_idx)""",
     "archive_block_day": _archive("day", 1),
     "archive_landing": _archive("hour", 30, "hour"),
     "stream_minute_tier": _MINUTE_TIER,
+    "stream_view_batches": _MINUTE_TIER,
     "stream_hour_tier": _HOUR_TIER,
     "stream_backlog": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes())
     + """,

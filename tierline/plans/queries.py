@@ -478,6 +478,17 @@ def stream_minute_tier(spark, folder):
     return _plain(stream.served_tier(spark, deltas))
 
 
+def stream_view_batches(spark, folder):
+    """Landing files in several batches, the late ones last: views count as if all came at once."""
+    landing, deltas = new_folder(spark, "landing"), new_folder(spark, "deltas")
+    progress = new_folder(spark, "progress")
+    events = retail_events(spark, folder)
+    for part in (_live(events), _late(events)):
+        jobs.land(part, landing, factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=HOUR)
+        stream.run_ingest(raw_csv.stream_raw(spark, landing), deltas, progress).awaitTermination()
+    return _plain(stream.served_tier(spark, deltas))
+
+
 def stream_hour_tier(spark, folder):
     """Hours kept by the stream itself beside its minutes."""
     minutes, hours = new_folder(spark, "deltas"), new_folder(spark, "deltas")
@@ -572,6 +583,7 @@ QUERIES = {
     "rolling_hour_series": rolling_hour_series,
     "tier_clock": tier_clock,
     "retention_24h": retention_24h,
+    "stream_view_batches": stream_view_batches,
     "transport_brand_only": transport_brand_only,
     "transport_before_grid": transport_before_grid,
     "purchase_repeated_index": purchase_repeated_index,

@@ -3,28 +3,49 @@
 Every micro-batch adds its own metric rows to a delta table. Rows are additive, so live
 and late files are written alike and a reader merges them. A batch owns the partitions
 with its batch_id: running it again replaces them and counts nothing twice.
+
+Repeated views count once over all batches, the earliest, in whatever order and batches their files
+come: the views counted so far are kept beside the deltas. A batch that brings an earlier view of a
+counted pair adds that one and takes the other back, as a row with negative sums.
 """
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from tierline import workspace
+from tierline.functions import measures, timegrid
+from tierline.functions.clean import valid
 from tierline.operators.backlog import with_bucket_date
-from tierline.operators.events import flag_late
+from tierline.operators.events import first_views, flag_late, split_events, view_order
 from tierline.operators.metrics import minute_metrics
-from tierline.operators.tiers import merge, read_clock, retention_cutoff, roll_up
-from tierline.schema import DIMENSIONS, EVENTS, HOUR, PARTITIONS, STORED_TIER, TIER_COLUMNS
-from tierline.sources.tier_table import drop_dates, edge_label
+from tierline.operators.tiers import read_clock, retention_cutoff
+from tierline.schema import (
+    DIMENSIONS,
+    EVENTS,
+    HOUR,
+    PARTITIONS,
+    STORED_TIER,
+    TIER_COLUMNS,
+    TIER_KEYS,
+)
+from tierline.sources.tier_table import drop_dates, edge_label, stored_dates
+from tierline.workspace import check_utc
 
 DELTA = StructType(
     [
         *STORED_TIER.fields,
+        StructField("event_rows", LongType()),
         StructField("batch_id", LongType()),
         StructField("is_late", BooleanType()),
     ]
 )
+# Below the delta table; readers of a table skip names that begin so.
+_VIEWS = "_views"
+PAIR = ("user_session", "product_id")
 
 
 def read_deltas(spark: SparkSession, path: str) -> DataFrame:
@@ -33,14 +54,37 @@ def read_deltas(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DELTA).parquet(path)
 
 
+def _merged(rows: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key that has any events left; one without prices has no sum."""
+    counted = rows.groupBy(*TIER_KEYS, *scope).agg(
+        measures.merged_total(), measures.merged_count(), F.sum("event_rows").alias("event_rows")
+    )
+    return counted.where("event_rows <> 0").withColumn(
+        "price_sum", F.when(F.col("event_count") != 0, F.col("price_sum"))
+    )
+
+
 def served_tier(spark: SparkSession, path: str) -> DataFrame:
     """The tier behind a delta table."""
-    return merge(read_deltas(spark, path).select(*TIER_COLUMNS))
+    return _merged(read_deltas(spark, path)).select(*TIER_COLUMNS)
 
 
 def high_water(spark: SparkSession, path: str, before_batch: int) -> Column:
-    """Newest label stored by earlier batches, as a literal."""
-    return read_clock(read_deltas(spark, path).where(F.col("batch_id") < before_batch))
+    """Newest view label stored by earlier batches, as a literal; only the newest dates are listed.
+
+    Without views, any event's labels count.
+    """
+    for event in ("view", "*"):
+        for day in reversed(stored_dates(spark, path, event)):
+            rows = (
+                spark.read.schema(DELTA)
+                .option("basePath", path)
+                .parquet(f"{path}/event_type={event}/dim=*/bucket_date={day}")
+                .where((F.col("batch_id") < before_batch) & (F.col("event_rows") > 0))
+            )
+            if not rows.isEmpty():
+                return read_clock(rows, event=None)
+    return read_clock(spark.createDataFrame([], DELTA))
 
 
 def _write_deltas(metrics: DataFrame, batch_id: int, path: str) -> None:
@@ -56,8 +100,54 @@ def _write_deltas(metrics: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
+def _counted_views(views: DataFrame, batch_id: int, path: str) -> tuple[DataFrame, DataFrame]:
+    """Views that this batch counts, and those counted before that it takes back.
+
+    The earliest view of a pair so far is looked up in the kept ones. What the batch counts is kept
+    too, under its id, before anything is read from there; a repeated batch replaces its own.
+    """
+    spark = views.sparkSession
+    place = f"{path}/{_VIEWS}"
+    order = view_order(views)
+    own = first_views(views)
+    fields = own.columns
+    schema = StructType([*own.schema.fields, StructField("batch_id", LongType())])
+    if workspace.exists(spark, place):
+        before = spark.read.schema(schema).parquet(place).where(F.col("batch_id") < batch_id)
+    else:
+        before = spark.createDataFrame([], schema)
+    rank = F.struct(*[F.col(name) for name in [*order, *[f for f in fields if f not in order]]])
+    kept = before.groupBy(*[F.col(name).alias(f"_{name}") for name in PAIR]).agg(
+        F.min(rank).alias("before")
+    )
+    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in PAIR]
+    found = own.join(kept, same[0] & same[1], "left")
+    earlier = F.struct(*order) < F.struct(*[F.col(f"before.{name}") for name in order])
+    counted = found.where(F.col("before").isNull() | earlier).select(
+        *fields, "before", F.lit(batch_id).cast("bigint").alias("batch_id")
+    )
+    (
+        counted.drop("before")
+        .withColumn("view_date", F.to_date("event_time"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("view_date", "batch_id")
+        .parquet(place)
+    )
+    taken_back = counted.where(F.col("before").isNotNull()).select(
+        *[F.col(f"before.{name}").alias(name) for name in fields if name != "is_late"], "is_late"
+    )
+    return counted.select(*fields), taken_back.select(*fields)
+
+
 def write_batch(
-    events: DataFrame, batch_id: int, path: str, hour_path: str | None = None, **metric_options
+    events: DataFrame,
+    batch_id: int,
+    path: str,
+    hour_path: str | None = None,
+    deduplicate: bool = True,
+    event_types=EVENTS,
+    **metric_options,
 ) -> None:
     """Flag, aggregate and store one micro-batch, and its share of the hours if asked.
 
@@ -65,13 +155,46 @@ def write_batch(
     just as it corrects the minutes.
     """
     spark = events.sparkSession
-    flagged = flag_late(events, high_water(spark, path, batch_id))
-    _write_deltas(
-        minute_metrics(flagged, scope=("is_late",), **metric_options), batch_id, path
+    options = dict(
+        event_types=event_types,
+        deduplicate=False,
+        scope=("is_late",),
+        count_rows=True,
+        **metric_options,
     )
+    flagged = flag_late(events, high_water(spark, path, batch_id))
+    if deduplicate and "view" in event_types:
+        chosen = split_events(valid(flagged), event_types)
+        view = F.col("event_type") == "view"
+        counted, taken_back = _counted_views(chosen.where(view), batch_id, path)
+        added = minute_metrics(counted.unionByName(chosen.where(~view)), **options)
+        removed = minute_metrics(taken_back, **options).withColumns(
+            {name: -F.col(name) for name in ("price_sum", "event_count", "event_rows")}
+        )
+        keys = [*TIER_KEYS, "is_late"]
+        metrics = (
+            added.unionByName(removed)
+            .groupBy(*keys)
+            .agg(
+                measures.merged_total(),
+                measures.merged_count(),
+                F.sum("event_rows").alias("event_rows"),
+            )
+        )
+    else:
+        metrics = minute_metrics(flagged, **options)
+    _write_deltas(metrics, batch_id, path)
     if hour_path:
         own = read_deltas(spark, path).where(F.col("batch_id") == batch_id)
-        _write_deltas(roll_up(own, HOUR, scope=("is_late",)), batch_id, hour_path)
+        hours = own.withColumn("bucket_end", _hour_label()).groupBy(*TIER_KEYS, "is_late")
+        hours = hours.agg(
+            measures.merged_total(), measures.merged_count(), F.sum("event_rows").alias("event_rows")
+        )
+        _write_deltas(hours, batch_id, hour_path)
+
+
+def _hour_label() -> Column:
+    return timegrid.bucket_end(F.col("bucket_end"), HOUR)
 
 
 def run_ingest(
@@ -87,8 +210,11 @@ def run_ingest(
     """Start ingesting an event stream that has a `file_time` column.
 
     `every` is a processing interval such as "60 seconds"; without it the query handles
-    all files present and stops.
+    all files present and stops. With `deduplicate` the result does not depend on how files are
+    dealt out to batches: each batch joins its views with those counted before, which `trim` forgets
+    with their dates.
     """
+    check_utc(events.sparkSession)
     options = dict(
         hour_path=hour_path,
         event_types=event_types,
@@ -103,14 +229,20 @@ def run_ingest(
 
 
 def trim(spark: SparkSession, path: str, hours: int = 24) -> None:
-    """Delete the dates of a delta table that lie wholly before its clock minus `hours`."""
+    """Delete the dates of a delta table that lie wholly before its clock minus `hours`.
+
+    The views counted on them are forgotten too: one that is repeated later counts again.
+    """
     now = edge_label(spark, path, event="view")
     if now is not None:
         day = spark.range(1).select(F.to_date(retention_cutoff(now, hours)).alias("day")).first().day
         drop_dates(spark, path, day)
+        for folder in workspace.matching(spark, f"{path}/{_VIEWS}/view_date=*"):
+            if date.fromisoformat(folder.rsplit("=", 1)[1]) < day:
+                workspace.remove(spark, folder)
 
 
 def late_deltas(spark: SparkSession, path: str, after_batch: int = -1) -> DataFrame:
     """Metric rows of late files stored after a batch; `isEmpty()` tells if there is a backlog."""
     late = read_deltas(spark, path).where(F.col("is_late") & (F.col("batch_id") > after_batch))
-    return merge(late.select(*TIER_COLUMNS))
+    return _merged(late).select(*TIER_COLUMNS)
