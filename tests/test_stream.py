@@ -146,7 +146,7 @@ def test_minute_stream_equals_batch_up_to_the_watermark(spark, tmp_path):
     events = clean_events(spread_events(spark))
     closing = events.agg(F.max("event_time").alias("t")).scalar()
     source = files_stream(spark, tmp_path, events, parts=1)
-    got = collected(spark, tmp_path, minute_stream(source, "brand"))
+    got = collected(spark, tmp_path, minute_stream(source, "brand", "0 seconds"))
     flat = got.select(
         "event_type", F.col("brand").alias("dim_value"), F.col("minute.end").alias("bucket_end"), "cents", "event_count"
     )
@@ -181,3 +181,52 @@ def test_counts_do_not_depend_on_the_batches(spark, tmp_path):
     deltas = str(tmp_path / "deltas1")
     stream.write_batch(again, 3, deltas)  # the last batch once more
     assert same(stream.served_tier(spark, deltas), expected)
+
+
+def batch_folders(path):
+    return [d for base, folders, _ in os.walk(path) for d in folders if d.startswith("batch_id=") and "_views" not in base]
+
+
+def test_folds_keep_the_number_of_folders(spark, tmp_path):
+    names = [f"10-{minute}-00-0" for minute in range(15, 27)]
+    drop(tmp_path / "in", *names)
+    counts = {}
+    for every in (None, 3):
+        deltas, hours = str(tmp_path / f"deltas{every}"), str(tmp_path / f"hours{every}")
+        source = stream_raw(spark, str(tmp_path / "in"), files_per_batch=1)
+        stream.run_ingest(
+            source, deltas, str(tmp_path / f"progress{every}"), hour_path=hours, fold_every=every
+        ).awaitTermination()
+        counts[every] = len(batch_folders(deltas))
+    assert counts[None] == 12 * 6 and counts[3] <= 2 * 6
+    whole = str(tmp_path / "deltasNone")
+    assert same(stream.served_tier(spark, deltas), stream.served_tier(spark, whole))
+    assert same(stream.served_tier(spark, hours), roll_up(stream.served_tier(spark, whole), HOUR))
+    # Batches on either side of the last fold, once more.
+    for batch, minute in ((4, 19), (11, 26)):
+        again = read_raw(spark, str(tmp_path / "in")).where(f"minute(file_time) = {minute}")
+        stream.write_batch(again, batch, deltas)
+        assert same(stream.served_tier(spark, deltas), stream.served_tier(spark, whole))
+
+
+def test_a_fold_that_died_is_invisible_and_repeated(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from tierline import workspace
+
+    drop(tmp_path / "in", *ARRIVALS)
+    deltas = run(spark, tmp_path)
+    before = rows(stream.served_tier(spark, deltas))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    for step in ("mark", "remove"):
+        with monkeypatch.context() as patch:
+            patch.setattr(workspace, step, dies)
+            with pytest.raises(RuntimeError):
+                stream.fold(spark, deltas, 2)
+        assert rows(stream.served_tier(spark, deltas)) == before
+    stream.fold(spark, deltas, 3)
+    assert rows(stream.served_tier(spark, deltas)) == before
+    assert len(batch_folders(deltas)) == 2 * 6

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.functions import measures, timegrid
-from tierline.schema import GRID_START, TIER_COLUMNS, TIER_KEYS
+from tierline.schema import GRID_START, MONEY_SUM, TIER_COLUMNS, TIER_KEYS
 
 
 def merge(metrics: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
@@ -118,6 +118,45 @@ def trailing_series(metrics: DataFrame, minutes: int = 60) -> DataFrame:
     )
 
 
+def trailing_hours(metrics: DataFrame, minutes: int = 60) -> DataFrame:
+    """Trailing totals at every minute whose window holds a stored label, up to the last one's end.
+
+    Totals change only where a label enters the window or leaves it, so they are summed at those
+    two points and spread over the minutes up to the next; a group has two rows a label at most.
+    """
+    keys = ["event_type", "dim", "dim_value"]
+    second = F.unix_seconds("bucket_end")
+    enters = merge(metrics).select(
+        *keys, second.alias("at"), "price_sum", "event_count", F.lit(1).alias("labels")
+    )
+    leaves = enters.select(
+        *keys,
+        (F.col("at") + 60 * minutes).alias("at"),
+        F.lit(None).cast("decimal(28,2)").alias("price_sum"),
+        F.lit(0).cast("long").alias("event_count"),
+        F.lit(0).alias("labels"),
+    )
+    points = enters.unionByName(leaves).groupBy(*keys, "at").agg(
+        F.sum("price_sum").alias("price_sum"),
+        F.sum("event_count").alias("event_count"),
+        F.sum("labels").alias("labels"),
+    )
+    ordered = Window.partitionBy(*keys).orderBy("at")
+    trail = ordered.rangeBetween(-60 * (minutes - 1), 0)
+    totals = points.select(
+        *keys,
+        "at",
+        F.lead("at").over(ordered).alias("until"),
+        F.sum("price_sum").over(trail).cast(MONEY_SUM).alias("price_sum"),
+        F.sum("event_count").over(trail).alias("event_count"),
+        F.sum("labels").over(trail).alias("labels"),
+    ).where("labels > 0")
+    each = F.explode(F.sequence(F.col("at"), F.col("until") - 60, F.lit(60).cast("long")))
+    return totals.select(*keys, each.alias("second"), "price_sum", "event_count").select(
+        *keys, F.timestamp_seconds("second").alias("bucket_end"), "price_sum", "event_count"
+    )
+
+
 def retention_cutoff(now: Column, hours: int) -> Column:
     return timegrid.shift(now, -3600 * hours)
 

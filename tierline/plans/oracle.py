@@ -387,6 +387,7 @@ FROM raw JOIN (SELECT row_idx, server FROM dealt) USING (row_idx)""",
     "archive_landing": _archive("hour", 30, "hour"),
     "stream_minute_tier": _MINUTE_TIER,
     "stream_view_batches": _MINUTE_TIER,
+    "stream_folded": _MINUTE_TIER,
     "stream_hour_tier": _HOUR_TIER,
     "stream_backlog": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes())
     + """,
@@ -405,12 +406,10 @@ FROM minutes m LEFT JOIN late l
  AND m.dim_value IS NOT DISTINCT FROM l.dim_value""",
     "stream_view_dedup": _with(_raw())
     + "SELECT DISTINCT user_session, product_id FROM raw WHERE event_type = 'view'",
-    # A watermark closes the windows that end by the newest event.
-    "stream_rolling_hour": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes(("brand",)))
+    "stream_rolling_hour": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes())
     + """
 SELECT event_type, dim, dim_value, bucket_end + to_minutes(ahead) AS bucket_end,
        CAST(sum(price_sum) AS DOUBLE) AS price_sum, CAST(sum(event_count) AS BIGINT) AS event_count
 FROM minutes, range(60) AS steps(ahead)
-WHERE bucket_end + to_minutes(ahead) <= (SELECT max(event_time) FROM counted)
 GROUP BY ALL""",
 }

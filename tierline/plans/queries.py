@@ -22,7 +22,7 @@ from tierline.sources.sample_tables import (
 )
 from tierline.sources.tier_table import read_tier, write_tier
 from tierline.streaming import ingest as stream
-from tierline.streaming.windows import first_view_stream, large_state, trailing_hour_stream
+from tierline.streaming.windows import first_view_stream, large_state
 from tierline.workspace import new_folder
 
 CATEGORY_LEVELS = ("category_l1", "category_l2", "category_l3")
@@ -547,9 +547,26 @@ def stream_view_dedup(spark, folder):
 
 
 def stream_rolling_hour(spark, folder):
-    events = ev.split_events(retail_event_stream(spark, folder))
-    totals = trailing_hour_stream(clean_events(events), "brand")
-    return _plain(_to_files(totals, spark, totals.schema))
+    """The trailing hour at every minute, from the minutes that the stream has kept."""
+    deltas = new_folder(spark, "deltas")
+    events = retail_event_stream(spark, folder)
+    stream.run_ingest(
+        events, deltas, new_folder(spark, "progress"), deduplicate=False
+    ).awaitTermination()
+    return _plain(ti.trailing_hours(stream.served_tier(spark, deltas)))
+
+
+def stream_folded(spark, folder):
+    """Landing files in several batches, folded after each but the first."""
+    landing, deltas = new_folder(spark, "landing"), new_folder(spark, "deltas")
+    progress = new_folder(spark, "progress")
+    events = retail_events(spark, folder)
+    for part in (_live(events), _late(events)):
+        jobs.land(part, landing, factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=HOUR)
+        stream.run_ingest(
+            raw_csv.stream_raw(spark, landing), deltas, progress, fold_every=1
+        ).awaitTermination()
+    return _plain(stream.served_tier(spark, deltas))
 
 
 QUERIES = {
@@ -584,6 +601,7 @@ QUERIES = {
     "tier_clock": tier_clock,
     "retention_24h": retention_24h,
     "stream_view_batches": stream_view_batches,
+    "stream_folded": stream_folded,
     "transport_brand_only": transport_brand_only,
     "transport_before_grid": transport_before_grid,
     "purchase_repeated_index": purchase_repeated_index,

@@ -45,13 +45,45 @@ DELTA = StructType(
 )
 # Below the delta table; readers of a table skip names that begin so.
 _VIEWS = "_views"
+_FOLDS = "_folds"
 PAIR = ("user_session", "product_id")
 
 
+def _valid(spark: SparkSession, path: str) -> Column:
+    """Which rows of a delta table count: batches after the newest fold, and that fold itself."""
+    folds = workspace.matching(spark, f"{path}/{_FOLDS}/*")
+    newest = max((int(name.rsplit("/", 1)[1]) for name in folds), default=None)
+    if newest is None:
+        return F.col("batch_id") >= 0
+    return (F.col("batch_id") > newest) | (F.col("batch_id") == -1 - newest)
+
+
 def read_deltas(spark: SparkSession, path: str) -> DataFrame:
     if not workspace.exists(spark, path):
         return spark.createDataFrame([], DELTA)
-    return spark.read.schema(DELTA).parquet(path)
+    return spark.read.schema(DELTA).parquet(path).where(_valid(spark, path))
+
+
+def fold(spark: SparkSession, path: str, upto: int) -> None:
+    """Merge all rows of batches up to `upto` into one set of folders, so that their number stays.
+
+    The merged rows have the id -1 - upto and count from the moment that a mark names them; the
+    batches they stand for do not count from then on, even if one is repeated. Their folders are
+    deleted last, and a fold that died is repeated by the next. Readers that began before may miss
+    files then, so folds leave the last batches alone: fold what no reader is still at.
+    """
+    if workspace.exists(spark, f"{path}/{_FOLDS}/{upto}"):
+        return
+    rows = read_deltas(spark, path).where(F.col("batch_id") <= upto)
+    merged = rows.groupBy(*TIER_KEYS, "is_late").agg(
+        measures.merged_total(), measures.merged_count(), F.sum("event_rows").alias("event_rows")
+    )
+    _write_deltas(merged, -1 - upto, path)
+    workspace.mark(spark, f"{path}/{_FOLDS}/{upto}")
+    for folder in workspace.matching(spark, f"{path}/event_type=*/dim=*/bucket_date=*/batch_id=*"):
+        batch = int(folder.rsplit("=", 1)[1])
+        if (0 <= batch <= upto) or (batch < 0 and batch != -1 - upto):
+            workspace.remove(spark, folder)
 
 
 def _merged(rows: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
@@ -80,6 +112,7 @@ def high_water(spark: SparkSession, path: str, before_batch: int) -> Column:
                 spark.read.schema(DELTA)
                 .option("basePath", path)
                 .parquet(f"{path}/event_type={event}/dim=*/bucket_date={day}")
+                .where(_valid(spark, path))
                 .where((F.col("batch_id") < before_batch) & (F.col("event_rows") > 0))
             )
             if not rows.isEmpty():
@@ -206,13 +239,14 @@ def run_ingest(
     event_types=EVENTS,
     dimensions=DIMENSIONS,
     deduplicate: bool = True,
+    fold_every: int | None = None,
 ) -> StreamingQuery:
     """Start ingesting an event stream that has a `file_time` column.
 
     `every` is a processing interval such as "60 seconds"; without it the query handles
     all files present and stops. With `deduplicate` the result does not depend on how files are
     dealt out to batches: each batch joins its views with those counted before, which `trim` forgets
-    with their dates.
+    with their dates. `fold_every` batches, all but the newest are folded, see fold().
     """
     check_utc(events.sparkSession)
     options = dict(
@@ -221,9 +255,14 @@ def run_ingest(
         dimensions=dimensions,
         deduplicate=deduplicate,
     )
-    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda batch, batch_id: write_batch(batch, batch_id, path, **options)
-    )
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, batch_id, path, **options)
+        if fold_every and batch_id % fold_every == fold_every - 1:
+            for place in filter(None, (path, hour_path)):
+                fold(batch.sparkSession, place, batch_id - 1)
+
+    writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
 

@@ -48,8 +48,13 @@ def first_view_stream(views: DataFrame, horizon: str = "24 hours", spread: int =
     )
 
 
-def minute_stream(events: DataFrame, dim: str, delay: str = "0 seconds") -> DataFrame:
-    """Minute sums of one dimension, emitted when the watermark closes the minute."""
+def minute_stream(events: DataFrame, dim: str, delay: str) -> DataFrame:
+    """Minute sums of one dimension, emitted when the watermark closes the minute.
+
+    Spark drops events that come more than `delay` after newer ones, and the minutes after the
+    watermark are never closed at the end of the input. Where every event has to count, keep the
+    minutes with `ingest.run_ingest` and take trailing hours from there.
+    """
     return (
         events.withWatermark("event_time", delay)
         .groupBy(F.window("event_time", "1 minute").alias("minute"), "event_type", dim)
@@ -57,8 +62,8 @@ def minute_stream(events: DataFrame, dim: str, delay: str = "0 seconds") -> Data
     )
 
 
-def trailing_hour_stream(events: DataFrame, dim: str, delay: str = "0 seconds") -> DataFrame:
-    """Totals of the last hour at every minute.
+def trailing_hour_stream(events: DataFrame, dim: str, delay: str) -> DataFrame:
+    """Totals of the last hour at every minute, within the limits of minute_stream().
 
     An event lies in 60 sliding windows, so minutes are summed first and the minute rows
     are spread over the windows.
