@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.llm.chunk_codes import ChunkCodes
+from tierline.llm.columns import spread
 from tierline.llm.vocabularies import path_of
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
@@ -51,8 +52,12 @@ def rebuild(model: bytes):
         raise ValueError("models that mark the ends of words are not supported")
     unknown = next(n for n, p in enumerate(proto.pieces) if p.type == UNKNOWN)
     if trainer.model_type == UNIGRAM:
+        # Strings of control pieces would match text; a character that texts cannot have hides them.
+        hidden = (CONTROL, UNUSED)
         core = models.Unigram(
-            [(p.piece, p.score) for p in proto.pieces], unknown, trainer.byte_fallback
+            [("\uffff" * (p.type in hidden) + p.piece, p.score) for p in proto.pieces],
+            unknown,
+            trainer.byte_fallback,
         )
     elif trainer.model_type == BPE:
         core = models.BPE(
@@ -95,7 +100,7 @@ def splits_at_spaces(proto) -> bool:
 
 
 class Codec:
-    """Encodes and decodes batches with several threads, checked against the original library."""
+    """Encodes batches with several threads, checked against the original library."""
 
     def __init__(self, path: str, threads: int) -> None:
         if threads > 1:
@@ -145,8 +150,42 @@ class Codec:
                     equal[n] = own == self._original.encode(text)
         return ids.astype(np.int32), starts, equal
 
-    def decode(self, rows: list[list[int]]) -> list[str]:
-        return self.tokenizer.decode_batch(rows, skip_special_tokens=False)
+
+class Surfaces:
+    """The bytes that each id stands for."""
+
+    def __init__(self, model: bytes) -> None:
+        from sentencepiece import sentencepiece_model_pb2
+
+        proto = sentencepiece_model_pb2.ModelProto.FromString(model)
+        found = []
+        for p in proto.pieces:
+            if p.type == BYTE:
+                found.append(bytes([int(p.piece[1:-1], 16)]))
+            elif p.type in (CONTROL, UNKNOWN):
+                found.append(proto.trainer_spec.unk_surface.encode() * (p.type == UNKNOWN))
+            else:
+                found.append(p.piece.replace(MARK, " ").encode())
+        self._lengths = np.fromiter(map(len, found), np.int64, len(found))
+        self._starts = np.cumsum(self._lengths) - self._lengths
+        self._bytes = np.frombuffer(b"".join(found), np.uint8)
+        self._prefix = proto.normalizer_spec.add_dummy_prefix
+
+    def texts(self, ids: np.ndarray, starts: np.ndarray) -> list[str]:
+        """The text of each row of ids; the mark that encoding puts first is taken off."""
+        lengths = self._lengths[ids]
+        data = self._bytes[spread(self._starts[ids], lengths)].tobytes()
+        places = np.append(0, np.cumsum(lengths))[starts].tolist()
+        rows = [data[a:b] for a, b in zip(places, places[1:], strict=False)]
+        if self._prefix:
+            rows = [row.removeprefix(b" ") for row in rows]
+        return [row.decode("utf-8", "replace") for row in rows]
+
+
+@lru_cache(maxsize=2)
+def surfaces(path: str) -> Surfaces:
+    with open(path, "rb") as file:
+        return Surfaces(file.read())
 
 
 @lru_cache(maxsize=2)
@@ -198,20 +237,22 @@ def encode(
     return chosen.mapInArrow(run, schema)
 
 
-def decode(
-    encoded: DataFrame, model: str | None = None, threads: int = 2, ids_col: str = "ids"
-) -> DataFrame:
+def decode(encoded: DataFrame, model: str | None = None, ids_col: str = "ids") -> DataFrame:
     """All columns, and `decoded`: the text of the ids. Null or no ids give an empty text.
 
-    Bytes that are no UTF-8 become U+FFFD; a column named `decoded` is replaced.
+    Control pieces have no text, bytes that are no UTF-8 become U+FFFD, and a column named `decoded`
+    is replaced.
     """
     path = model or path_of(DEFAULT_MODEL)
     rest = encoded.drop("decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, threads)
+        own = surfaces(path)
         for batch in batches:
-            texts = own.decode([row or [] for row in batch.column(ids_col).to_pylist()])
+            lists = batch.column(ids_col)
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            texts = own.texts(ids, np.append(0, np.cumsum(sizes)))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"]
             )
