@@ -66,11 +66,12 @@ def keys_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Key and position of all keys of 64-bit fingerprints: two within four bits share one.
 
     Four errors on three segments leave one of two cases.
-    - Two segments have at most one error each. One fingerprint's own codeword of the first and a
-      near codeword of the second then make a key of the other, as it gives its near codewords of
-      the first with its own of the second.
-    - No error in one segment and two in either of the others. The segment without error is in the
-      key, beside a near codeword of the next; words two bits apart share one of these.
+    - A segment has none. Of the two others, one has two at most, so that its near codewords include
+      one of the other fingerprint's. The key is that codeword and the whole segment without error.
+    - All have some: two of them one each, the third one or two. One fingerprint's own codeword of
+      the first and a near one of the second are a key of the other too, as it gives its near
+      codewords of the first with its own of the second. Of three parts of the third segment, one is
+      without error and goes into the key.
     """
     values = values.astype(np.uint64)
     parts = [
@@ -81,19 +82,23 @@ def keys_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     near = [golay.near(part, size) for part, (_, size) in zip(parts, SEGMENTS, strict=True)]
     keys, rows = [], []
 
-    def add(kind: int, first: np.ndarray, second: np.ndarray) -> None:
-        row, column = np.nonzero((first >= 0) & (second >= 0))
-        first, second = np.broadcast_arrays(first, second)
-        keys.append((first[row, column] << 15) + (second[row, column] << 3) + kind)
+    def add(kind: int, exact: np.ndarray, words: np.ndarray) -> None:
+        """`words` holds codewords in rows, -1 for none."""
+        row, column = np.nonzero(words >= 0)
+        keys.append((exact[row] << 28) + (words[row, column] << 4) + kind)
         rows.append(row)
 
-    for kind in range(3):
-        one, other = kind, (kind + 1) % 3
-        add(kind, own[one][:, None], near[other])
-        # The pair of own codewords has been added.
-        rest = np.where(near[one] == own[one][:, None], -1, near[one])
-        add(kind, rest, np.broadcast_to(own[other][:, None], rest.shape))
-        add(kind + 3, parts[one][:, None], near[other])
+    for first in range(3):
+        second, third = (first + 1) % 3, (first + 2) % 3
+        add(first, parts[first], near[second])
+        add(first + 3, parts[first], near[third])
+        forward = np.where(near[second] < 0, -1, own[first][:, None] * 4096 + near[second])
+        # The pair of own codewords is in there already.
+        rest = (near[first] < 0) | (near[first] == own[first][:, None])
+        backward = np.where(rest, -1, near[first] * 4096 + own[second][:, None])
+        both = np.concatenate([forward, backward], axis=1)
+        for part, (low, size) in enumerate(((0, 7), (7, 7), (14, 8))):
+            add(6 + 3 * first + part, parts[third] >> low & ((1 << size) - 1), both)
     return np.concatenate(keys), np.concatenate(rows)
 
 
@@ -152,85 +157,128 @@ def links(group: np.ndarray, values: np.ndarray, most_bits: int, room: int = 1 <
     return root[b], b
 
 
-def _linker(most_bits: int, rows_at_once: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(table: pa.Table) -> pa.RecordBatch:
-            parts = [table.column(n).to_numpy() for n in ("key", "low", "high")]
-            new = np.zeros(table.num_rows, bool)
-            for part in parts:
-                new[1:] |= part[1:] != part[:-1]
-            values = table.column("fingerprint").to_numpy()
-            a, b = links(np.cumsum(new), values.view(np.uint64), most_bits)
-            pairs = np.unique(np.stack([values[a], values[b]], axis=1), axis=0)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"]
-            )
+FOUND = "a bigint, b bigint, key bigint, block bigint, members array<bigint>"
+
+
+def _edges(group: np.ndarray, values: np.ndarray, most_bits: int) -> np.ndarray:
+    a, b = links(group, values.view(np.uint64), most_bits)
+    return np.unique(np.stack([values[a], values[b]], axis=1), axis=0)
+
 
-        waiting: list[pa.RecordBatch] = []
+def _linker(most_bits: int, block_rows: int, rows_at_once: int):
+    def found(edges: np.ndarray, blocks: list[tuple]) -> pa.RecordBatch:
+        none = [None] * len(blocks)
+        keys, numbers, members = zip(*blocks, strict=True) if blocks else ((), (), ())
+        empty = [None] * len(edges)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([*edges[:, 0].tolist(), *none], pa.int64()),
+                pa.array([*edges[:, 1].tolist(), *none], pa.int64()),
+                pa.array([*empty, *keys], pa.int64()),
+                pa.array([*empty, *numbers], pa.int64()),
+                pa.array([*empty, *members], pa.list_(pa.int64())),
+            ],
+            names=["a", "b", "key", "block", "members"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
+        large, block = None, 0  # a key whose first blocks are out, and how many
+
+        def settle(last: bool) -> pa.RecordBatch:
+            """Compare the keys that are complete; give out the large ones in blocks."""
+            nonlocal parts, held, large, block
+            key, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+            end = len(key) if last else int(np.searchsorted(key, key[-1]))
+            first = np.flatnonzero(np.append(True, key[1:end] != key[: end - 1])) if end else []
+            sizes = np.diff(np.append(first, end)).astype(np.int64)
+            big = sizes > block_rows
+            if end and large is not None:
+                big[0] |= key[0] == large
+            blocks = []
+            for start, size in zip(np.asarray(first)[big], sizes[big], strict=True):
+                if large != key[start]:
+                    large, block = int(key[start]), 0
+                for low in range(start, start + size, block_rows):
+                    high = min(low + block_rows, start + size)
+                    blocks.append((large, block, values[low:high].tolist()))
+                    block += 1
+            small = np.repeat(~big, sizes)
+            edges = _edges(key[:end][small], values[:end][small], most_bits)
+            rest, tail = key[end:], values[end:]
+            if len(rest) > block_rows:  # the last key may go on, and is large already
+                if large != rest[0]:
+                    large, block = int(rest[0]), 0
+                whole = len(rest) // block_rows * block_rows
+                for low in range(0, whole, block_rows):
+                    blocks.append((large, block, tail[low : low + block_rows].tolist()))
+                    block += 1
+                rest, tail = rest[whole:], tail[whole:]
+            parts, held = ([(rest, tail)] if len(rest) else []), len(rest)
+            return found(edges, blocks)
+
         for batch in batches:
-            waiting.append(batch)
+            parts.append((batch.column("key").to_numpy(), batch.column("fingerprint").to_numpy()))
             held += batch.num_rows
-            if held < rows_at_once:
-                continue
-            table = pa.Table.from_batches(waiting)
-            last = [table.column(n)[held - 1].as_py() for n in ("key", "low", "high")]
-            same = np.ones(held, bool)
-            for name, value in zip(("key", "low", "high"), last, strict=True):
-                same &= table.column(name).to_numpy() == value
-            whole = int(np.argmax(same))  # the last group may go on in the next batch
-            if whole:
-                yield linked(table.slice(0, whole))
-            waiting = table.slice(whole).combine_chunks().to_batches()
-            held -= whole
+            if held >= rows_at_once:
+                yield settle(last=False)
         if held:
-            yield linked(pa.Table.from_batches(waiting))
+            yield settle(last=True)
+
+    return run
+
+
+def _pair_linker(most_bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, other in zip(*(batch.column(n).to_pylist() for n in range(2)), strict=True):
+                values = np.unique(np.array(one + other, np.int64))
+                edges = _edges(np.zeros(len(values), np.int64), values, most_bits)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["a", "b"]
+                )
 
     return run
 
 
 def link_fingerprints(
-    distinct: DataFrame, most_bits: int = MOST_BITS, block_rows: int = 1000
+    distinct: DataFrame,
+    most_bits: int = MOST_BITS,
+    block_rows: int = 1000,
+    rows_at_once: int = 1 << 16,
 ) -> DataFrame:
     """Edges a, b (bigint) that join all distinct fingerprints at `most_bits` or fewer bits.
 
-    The fingerprints of a key are compared with each other in one task, if they are `block_rows` or
-    fewer. Those of a larger key are dealt out to blocks by a hash, and each two blocks meet in a
-    task of their own, so that all pairs are compared, whatever the size. Not the pairs but a
-    spanning forest comes out. Chance meetings of unrelated fingerprints grow with the square of
-    their number, at about one in 200,000 pairs.
+    Rows are dealt out by key and sorted; a fingerprint gives a key one of its about 119 rows, so no
+    key has more than a hundredth of all rows. The fingerprints of a key are compared with each
+    other where they are, if there are `block_rows` or fewer. A larger key leaves its task in blocks,
+    and each two blocks of it meet in a row of a second step, so that all pairs are compared,
+    whatever the size. Not the pairs but a spanning forest comes out. Chance meetings of unrelated
+    fingerprints grow with the square of their number, at about one in 700,000 pairs.
     """
     spark = distinct.sparkSession
     if most_bits > MOST_BITS:
         raise ValueError(f"keys are made for {MOST_BITS} bits at most")
-    place = workspace.new_folder(spark, "shared-keys")
+    place = workspace.new_folder(spark, "linked-keys")
+    tasks = max(1, -(-distinct.count() // 20_000))  # some 2.4 million keys each
     (
-        _keyed(distinct)
-        .groupBy("key")
-        .agg(F.count("*").alias("rows"))
-        .where("rows > 1")
+        _keyed(distinct.select("fingerprint").repartition(tasks, "fingerprint"))
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(_linker(most_bits, block_rows, rows_at_once), FOUND)
         .write.parquet(place)
     )
-    shared = spark.read.schema("key bigint, rows bigint").parquet(place)
-    blocks = F.ceil(F.col("rows") / block_rows)
-    block = F.pmod(F.xxhash64("fingerprint"), F.col("blocks"))
-    tiles = (
-        _keyed(distinct)
-        .join(shared, "key")
-        .withColumn("blocks", blocks)
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
-            "key",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
-            "fingerprint",
-        )
+    found = spark.read.schema(FOUND).parquet(place)
+    blocks = found.where("key IS NOT NULL")
+    other = blocks.select(
+        F.col("key").alias("key2"), F.col("block").alias("block2"), F.col("members").alias("members2")
     )
-    return (
-        tiles.repartition("key", "low", "high")
-        .sortWithinPartitions("key", "low", "high")
-        .mapInArrow(_linker(most_bits, 1 << 16), EDGES)
+    met = blocks.join(
+        other, (F.col("key") == F.col("key2")) & (F.col("block") <= F.col("block2"))
+    ).select("members", "members2")
+    return found.where("key IS NULL").select("a", "b").union(
+        met.mapInArrow(_pair_linker(most_bits), EDGES)
     )
 
 
