@@ -438,9 +438,10 @@ def remove_repeated(
     carry: bool = False,
     content: str | None = "bytes",
 ) -> DataFrame:
-    """`doc_id, kept, n_bytes, n_removed, n_spans, kept_sha256` of every row, and with
-    `carry` all columns but the text as a struct `row`. `kept` is a string without halves of characters if `content` is "text", and
-    null if it is None.
+    """`doc_id, kept, n_bytes, n_removed, n_spans, kept_sha256` of every row.
+
+    With `carry` all columns but the text come along as a struct `row`. `kept` is a string without
+    halves of characters if `content` is "text", and null if it is None.
 
     Every byte is removed that a window of 100 bytes covers which also begins earlier: in a document
     with a smaller id, or before in the same one. Windows are of the UTF-8 bytes as given and do not
