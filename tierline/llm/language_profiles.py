@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 UNKNOWN = "und"
 BLOCK = 4096  # n-grams whose vectors are made at a time
-CELLS = 1 << 22  # counts (documents by n-grams) held at a time
+CELLS = 1 << 21  # counts (documents by n-grams) held at a time
+LETTERS = 1 << 19  # characters looked at together, unless one text has more
 
 
 @lru_cache(maxsize=1)
@@ -88,6 +89,19 @@ class Grams:
         return sums
 
 
+def _parts(texts: list[str | None]) -> Iterator[slice]:
+    """Texts in slices of bounded size; a long text is a slice of its own."""
+    low, held = 0, 0
+    for n, text in enumerate(texts):
+        size = len(text or "")
+        if n > low and held + size > LETTERS:
+            yield slice(low, n)
+            low, held = n, 0
+        held += size
+    if low < len(texts):
+        yield slice(low, len(texts))
+
+
 def learn(
     labelled: DataFrame, dimensions: int = 1024, seed: int = 7, text_col="text", lang_col="lang"
 ) -> dict[str, np.ndarray]:
@@ -107,12 +121,13 @@ def learn(
             )
 
         for batch in batches:
-            grams = Grams(batch.column("text").to_pylist(), dimensions, seed)
+            texts = batch.column("text").to_pylist()
             langs = batch.column("lang").dictionary_encode()
-            names = langs.dictionary.to_pylist()
-            found = grams.bundled(np.asarray(langs.indices, np.int64), len(names))
-            for name, row in zip(names, found, strict=True):
-                sums[name] = sums.get(name, 0) + row
+            names, group = langs.dictionary.to_pylist(), np.asarray(langs.indices, np.int64)
+            for part in _parts(texts):
+                found = Grams(texts[part], dimensions, seed).bundled(group[part], len(names))
+                for name, row in zip(names, found, strict=True):
+                    sums[name] = sums.get(name, 0) + row
             if len(sums) > 1000:
                 yield out()
                 sums.clear()
@@ -142,8 +157,9 @@ def predict(
     text_col: str = "text",
     carry: bool = False,
 ) -> DataFrame:
-    """`doc_id, lang_pred, score`, and with `carry` all columns as a struct `row`: the language whose prototype is nearest by cosine.
+    """`doc_id, lang_pred, score`: the language whose prototype is nearest by cosine.
 
+    With `carry` all columns come along as a struct `row`.
     The score is that cosine, 0 at least. A text that is null or has no letter, and every text if
     nothing was learned, is `und` with score 0; ties go to the language first in the alphabet.
     Short texts are padded by what lies between words, so that one letter is enough. Ids may be
@@ -156,16 +172,17 @@ def predict(
         for batch in batches:
             count = batch.num_rows
             langs, scores = np.full(count, UNKNOWN, object), np.zeros(count)
-            if names:
-                grams = Grams(batch.column("text").to_pylist(), matrix.shape[1], seed)
-                bundles = grams.bundled(np.arange(count), count)
+            texts = batch.column("text").to_pylist() if names else []
+            for part in _parts(texts):
+                own = np.arange(part.stop - part.start)
+                grams = Grams(texts[part], matrix.shape[1], seed)
+                bundles = grams.bundled(own, len(own))
                 norms = np.linalg.norm(bundles, axis=1)
                 cosines = bundles @ matrix.T / np.where(norms, norms, 1)[:, None]
                 best = cosines.argmax(axis=1)
-                lettered = np.bincount(grams.document, minlength=count) > 0
-                langs = np.where(lettered, np.array(names, object)[best], UNKNOWN)
-                best_score = np.clip(cosines[np.arange(count), best], 0, 1)
-                scores = np.where(lettered, best_score, 0.0)
+                lettered = np.bincount(grams.document, minlength=len(own)) > 0
+                langs[part] = np.where(lettered, np.array(names, object)[best], UNKNOWN)
+                scores[part] = np.where(lettered, np.clip(cosines[own, best], 0, 1), 0.0)
             others = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*map(batch.column, others), pa.array(langs, pa.string()), pa.array(scores)],
