@@ -301,7 +301,7 @@ def nearest(
     queries: DataFrame,
     shards: int,
     k: int = 5,
-    beam: int = 128,
+    beam: int = 256,
     block_rows: int = 4_096,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
