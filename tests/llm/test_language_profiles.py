@@ -54,6 +54,26 @@ def test_recognised_keeps_columns(documents):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
 
 
+def test_scripts_not_learned_are_rejected(spark):
+    """Noise gives such texts a score above 0 in most cases; short clean texts score no higher."""
+    draw = np.random.default_rng(3)
+
+    def words(low, high, count):
+        return " ".join("".join(map(chr, draw.integers(low, high, 6))) for _ in range(count))
+
+    sample = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang")
+    ranges = ((0x430, 0x450), (0x3B1, 0x3C9), (0x4E00, 0x9FA5))
+    foreign = [words(*r, n) for r in ranges for n in (1, 30, 300) for _ in range(10)]
+    clean = ["jazz", "Avec.", "Die tz.", "Éaux.", f"idiom {words(*ranges[0], 1)} quiz quick fox"]
+    rows = [(-1 - n, t, None) for n, t in enumerate(foreign)]
+    rows += [(-1000 - n, t, None) for n, t in enumerate(clean)]
+    rows += [(-2000, f"see {words(*ranges[0], 2)}", "en")]  # some such letters under a label
+    extra = spark.createDataFrame(rows, sample.schema)
+    kept = lp.recognised(sample.union(extra)).where("doc_id < 0").collect()
+    assert sorted(-r.doc_id for r in kept if r.doc_id > -2000) == [1000 + n for n in range(len(clean))]
+    assert lp.learned_scripts(sample) == {"LATIN"}
+
+
 def test_held_out_fold_and_accuracy(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     found = lp.identify(frame).join(frame.select("doc_id", "lang"), "doc_id").collect()

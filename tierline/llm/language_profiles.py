@@ -1,5 +1,7 @@
 """Language identification with hyperdimensional profiles."""
 
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -13,6 +15,8 @@ UNKNOWN = "und"
 BLOCK = 4096  # n-grams whose vectors are made at a time
 CELLS = 1 << 21  # counts (documents by n-grams) held at a time
 LETTERS = 1 << 19  # characters looked at together, unless one text has more
+NOISE = 6.0  # cosines of unlike vectors stay below this over the root of their dimensions
+SCRIPT_SHARE = 0.01  # of a language's letters, for a script to be its own
 
 
 @lru_cache(maxsize=1)
@@ -27,6 +31,21 @@ def _letters() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=100_000)
+def _script(code: int) -> str:
+    """The first word of a letter's name: LATIN, CYRILLIC, CJK."""
+    return unicodedata.name(chr(code), "").split(" ")[0]
+
+
+def _scripts(text: str) -> Counter:
+    """How many letters of each script a text has."""
+    letters = _letters()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    found = Counter()
+    for code, count in zip(*np.unique(letters[letters != 0], return_counts=True), strict=True):
+        found[_script(int(code))] += int(count)
+    return found
+
+
 @lru_cache(maxsize=100_000)
 def _letter_vector(code: int, dimensions: int, seed: int) -> np.ndarray:
     """The random signs of a letter; 0 stands for what lies between words."""
@@ -149,6 +168,45 @@ def learn(
     return {lang: found[lang] for lang in sorted(found) if found[lang].any()}
 
 
+def learned_scripts(labelled: DataFrame, text_col="text", lang_col="lang") -> frozenset[str]:
+    """The scripts that one in a hundred letters or more of some language are written in.
+
+    The driver gets a row for each language and script.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts: Counter = Counter()
+            texts, langs = (batch.column(n).to_pylist() for n in ("text", "lang"))
+            for part in _parts(texts):
+                together: dict[str, list[str]] = {}
+                for text, lang in zip(texts[part], langs[part], strict=True):
+                    together.setdefault(lang, []).append(text)
+                for lang, own in together.items():
+                    for script, count in _scripts("".join(own)).items():
+                        counts[lang, script] += count
+            rows = [(*key, count) for key, count in counts.items()]
+            columns = zip(*rows, strict=True) if rows else ((), (), ())
+            kinds = (pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names=["lang", "script", "n"],
+            )
+
+    rows = (
+        labelled.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+        .where("text IS NOT NULL AND lang IS NOT NULL")
+        .mapInArrow(run, "lang string, script string, n bigint")
+        .groupBy("lang", "script")
+        .agg(F.sum("n").alias("n"))
+        .collect()
+    )
+    total = Counter()
+    for row in rows:
+        total[row["lang"]] += row["n"]
+    return frozenset(r["script"] for r in rows if r["n"] >= SCRIPT_SHARE * total[r["lang"]])
+
+
 def predict(
     documents: DataFrame,
     prototypes: dict[str, np.ndarray],
@@ -156,16 +214,23 @@ def predict(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: bool = False,
+    scripts: frozenset[str] | None = None,
 ) -> DataFrame:
     """`doc_id, lang_pred, score`: the language whose prototype is nearest by cosine.
 
-    With `carry` all columns come along as a struct `row`.
+    With `carry` all columns come along as a struct `row`. With `scripts`, a text is `und` with score
+    0 too if its score is noise and less than half of its letters are of these scripts.
     The score is that cosine, 0 at least. A text that is null or has no letter, and every text if
     nothing was learned, is `und` with score 0; ties go to the language first in the alphabet.
     Short texts are padded by what lies between words, so that one letter is enough. Ids may be
     null or repeat, a row gives a row; other columns are ignored; no rows give no rows.
     """
     names = list(prototypes)
+
+    def foreign(text: str) -> bool:
+        found = _scripts(text)
+        return 2 * sum(found[script] for script in scripts) < found.total()
+
     matrix = np.array([prototypes[name] / np.linalg.norm(prototypes[name]) for name in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,6 +248,11 @@ def predict(
                 lettered = np.bincount(grams.document, minlength=len(own)) > 0
                 langs[part] = np.where(lettered, np.array(names, object)[best], UNKNOWN)
                 scores[part] = np.where(lettered, np.clip(cosines[own, best], 0, 1), 0.0)
+                if scripts is not None:
+                    noise = NOISE / np.sqrt(matrix.shape[1])
+                    for n in part.start + np.flatnonzero(lettered & (scores[part] < noise)):
+                        if foreign(texts[n]):
+                            langs[n], scores[n] = UNKNOWN, 0.0
             others = [n for n in batch.schema.names if n != "text"]
             yield pa.RecordBatch.from_arrays(
                 [*map(batch.column, others), pa.array(langs, pa.string()), pa.array(scores)],
@@ -202,12 +272,17 @@ def predict(
 def recognised(documents: DataFrame, dimensions: int = 1024, seed: int = 7) -> DataFrame:
     """The documents whose language is recognised, all columns; a null `lang` is filled in.
 
-    Rejected are texts without letters, and those that resemble no language learned here (score 0).
+    Rejected are texts without letters, and those in scripts not learned here: cosines of unlike
+    vectors are noise, which stays below 6 / sqrt(dimensions), and a text with so low a score goes
+    if less than half of its letters are of the scripts learned. A low score alone rejects nothing,
+    as single words of a language learned have it too; so a text of another language in the same
+    script stays, under the nearest language.
     Learned from the labelled documents among them, so without labels nothing is recognised.
     """
-    found = predict(documents, learn(documents, dimensions, seed), seed, carry=True)
+    prototypes, scripts = learn(documents, dimensions, seed), learned_scripts(documents)
+    found = predict(documents, prototypes, seed, carry=True, scripts=scripts)
     lang = F.coalesce("row.lang", "lang_pred").alias("lang")
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select(
+    return found.where(F.col("lang_pred") != UNKNOWN).select(
         *[lang if name == "lang" else F.col(f"row.`{name}`") for name in documents.columns]
     )
 
