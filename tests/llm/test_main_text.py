@@ -32,6 +32,26 @@ def test_articles_are_whole():
     assert extract(page) == f"Head\n{' '.join(BODY.split())}\nEnd."
 
 
+def test_wrappers_are_kept():
+    """One word of a class, or a form around the page, says little about what holds all the text."""
+    side = "<div class='sidebar'><p>About me, and others.</p></div>"
+    for around in (
+        "div class='content has-sidebar'",
+        "div id='page' class='site no-sidebar'",
+        "div class='post-with-comments'",
+        "div class='popular-science'",
+        "form method=post",
+    ):
+        end = around.split()[0]
+        for inner in (f"<article><p>{BODY}</p></article>", f"<div><p>{BODY}</p><p>{BODY}</p></div>"):
+            page = f"<body><nav>n</nav><{around}>{inner}{side}</{end}><footer>f</footer>"
+            lines = extract(page).split("\n")
+            assert set(lines) == {" ".join(BODY.split())}, around
+    cards = "<div class=related><article><p>Another, one.</p></article></div>"
+    assert extract(f"<article><p>{BODY}</p></article>{cards}") == " ".join(BODY.split())
+    assert extract("<div class='cookie'><p>We use cookies, here.</p></div>") == ""
+
+
 def test_odd_markup():
     assert extract("") == "" and extract("   ") == "" and extract("<nav>x</nav>") == ""
     assert extract("plain text &amp more") == "plain text & more"

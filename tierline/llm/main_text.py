@@ -38,7 +38,7 @@ ENDS = {
 SCOPES = frozenset("table td th caption button object html body".split())
 
 DROPPED = frozenset(
-    "head nav footer aside form button select option textarea input script style noscript template"
+    "head nav footer aside button select option textarea input script style noscript template"
     " iframe object embed svg math canvas audio video map dialog menu title fieldset".split()
 )
 ROLES = frozenset(
@@ -58,6 +58,8 @@ ASIDE = frozenset(
 )
 ARTICLE = frozenset("article post entry story content main".split())
 TRUNKS = frozenset("html body main article".split())
+#: Characters of unlinked text that a suspect element without article has if it is not dropped.
+LEAST_TEXT = 200
 
 #: Elements nested deeper become siblings, as in browsers.
 DEEPEST = 512
@@ -81,6 +83,7 @@ class Tree:
 
     def __init__(self, html: str) -> None:
         self.tag, self.parent, self.dropped = ["html"], [-1], [False]
+        self.suspect: dict[int, bool] = {}  # by form, class or id; True if others hint at text
         self.runs: list[tuple[int, str | None]] = []  # element and text; None ends a block
         self._open = [0]
         at, size = 0, len(html)
@@ -123,7 +126,9 @@ class Tree:
         parent = self._open[-1]
         self.tag.append(name)
         self.parent.append(parent)
-        self.dropped.append(self.dropped[parent] or self._aside(name, attributes))
+        self.dropped.append(self.dropped[parent])
+        if not self.dropped[-1]:
+            self.dropped[-1] = self._aside(name, attributes)
         if name not in VOID and len(self._open) < DEEPEST:
             self._open.append(len(self.tag) - 1)
 
@@ -145,9 +150,11 @@ class Tree:
         self._break(name)
 
     def _aside(self, name: str, attributes: str) -> bool:
-        """Whether an element is no part of any article, by its name, role, class or id."""
+        """Whether an element is no part of any article, by its name or role; notes suspects."""
         if name in DROPPED:
             return True
+        if name == "form":
+            self.suspect[len(self.tag) - 1] = True
         if name == "header" and not any(self.tag[n] in ("article", "main") for n in self._open):
             return True
         if "=" not in attributes and "hidden" not in attributes:
@@ -164,9 +171,38 @@ class Tree:
                 words.update(word.lower() for word in WORD.findall(value))
         if name in TRUNKS:
             return False
-        if words & ASIDE:
-            return True
-        return "header" in words and not words & ARTICLE
+        if words & ASIDE or ("header" in words and not words & ARTICLE):
+            self.suspect[len(self.tag) - 1] = name == "form" or bool(words & ARTICLE)
+        return False
+
+    def settle(self, link: list[bool]) -> None:
+        """Drop suspect elements, unless they wrap the page's text.
+
+        That is so if more than half of what lies in article and main elements is theirs, or four
+        fifths of all unlinked text, for forms and with a word for articles half of it.
+        """
+        if not self.suspect:
+            return
+        count = len(self.tag)
+        trunk = [False] * count
+        for n in range(1, count):
+            trunk[n] = self.tag[n] in ("article", "main") or trunk[self.parent[n]]
+        plain, within = [0] * count, [0] * count
+        for n, text in self.runs:
+            if text and not self.dropped[n] and not link[n]:
+                size = len(text) - sum(map(text.count, " \n\t\r"))
+                plain[n] += size
+                within[n] += size * trunk[n]
+        for n in range(count - 1, 0, -1):
+            plain[self.parent[n]] += plain[n]
+            within[self.parent[n]] += within[n]
+        for n in range(1, count):
+            if n in self.suspect and not self.dropped[n]:
+                share = 0.5 if self.suspect[n] else 0.8
+                wraps = 2 * within[n] > within[0] or plain[n] > share * plain[0]
+                small = plain[n] < LEAST_TEXT and not (within[n] and 2 * plain[n] > plain[0])
+                self.dropped[n] = small or not wraps
+            self.dropped[n] = self.dropped[n] or self.dropped[self.parent[n]]
 
 
 def extract(html: str) -> str:
@@ -183,6 +219,7 @@ def extract(html: str) -> str:
     link = [False] * count
     for n in range(1, count):
         link[n] = tag[n] == "a" or link[parent[n]]
+    tree.settle(link)
     points, length, linked, links = [0.0] * count, [0] * count, [0] * count, [0] * count
 
     def give(block: int, text: str) -> None:
