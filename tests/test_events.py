@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from comparing import rows
 from pyspark.sql import functions as F
 
 from tierline.functions.clean import category_levels, clean_events, rejects, type_raw, valid

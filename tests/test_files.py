@@ -2,7 +2,7 @@ import gzip
 import os
 
 import pytest
-from conftest import rows, same
+from comparing import rows, same
 from pyspark.sql import functions as F
 from test_tiers import at
 

@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import plan, rows, same
+from comparing import plan, rows, same
 from pyspark.sql import functions as F
 from test_tiers import at, spread_events
 

@@ -1,7 +1,7 @@
 import os
 import time
 
-from conftest import rows, same
+from comparing import rows, same
 from pyspark.sql import functions as F
 from test_files import line, put
 from test_tiers import spread_events

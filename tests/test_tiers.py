@@ -1,4 +1,4 @@
-from conftest import rows, same
+from comparing import rows, same
 from pyspark.sql import functions as F
 
 from tierline.functions import measures
