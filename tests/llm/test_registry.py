@@ -18,6 +18,9 @@ COLUMNS = {
     "op8": "page_id url text n_chars",
     "op9": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op10": "doc_id n_tokens",
+    "op11": "item_id rank doc_id score",
+    "op12": "doc_id n_words n_base first_word last_word base_labels labels score",
+    "op13": "word form root n n_near form_n",
 }
 
 
@@ -36,7 +39,7 @@ def test_columns_and_sql(spark, name):
     assert rows
     if name in ORACLE:
         duck = duckdb.connect()
-        for table in ("pages", "embeddings", "documents"):
+        for table in ("pages", "embeddings", "documents", "benchmark"):
             duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
         answer = duck.execute(ORACLE[name])
         order = [frame.columns.index(c[0]) for c in answer.description]

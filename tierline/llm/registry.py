@@ -10,11 +10,15 @@ from tierline.llm import (
     exact_top_k,
     fuzzy_hashing,
     language_profiles,
+    lexical_search,
+    license_scan,
     main_text,
+    oracle_sql,
     packing,
     repeated_windows,
     sentence_pieces,
     small_worlds,
+    spelling_variants,
     token_counts,
     vectors,
     web_archives,
@@ -93,6 +97,22 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_bag_search(spark: SparkSession, folder: str) -> DataFrame:
+    place = workspace.new_folder(spark, "bags")
+    items = _table(spark, folder, "benchmark")
+    return lexical_search.search(_table(spark, folder, "documents"), items, place)
+
+
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    place = workspace.new_folder(spark, "license-blocks")
+    return license_scan.scan(_table(spark, folder, "documents"), place)
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    place = workspace.new_folder(spark, "spelling")
+    return spelling_variants.spelling_variants(_table(spark, folder, "documents"), place)
+
+
 def _prepared(query):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return query(prepare(spark), folder)
@@ -113,10 +133,16 @@ QUERIES = {
         op8_main_text,
         op9_repeated_windows,
         op10_sentence_pieces,
+        op11_bag_search,
+        op12_license_scan,
+        op13_spelling_variants,
     )
 }
 
 ORACLE: dict[str, str] = {
+    "op11_bag_search": oracle_sql.LEXICAL_SEARCH,
+    "op12_license_scan": oracle_sql.LICENSE_SCAN,
+    "op13_spelling_variants": oracle_sql.SPELLING_VARIANTS,
     "op1_web_archives": """
         WITH payloads AS (
           SELECT page_id, url, coalesce(html, '') AS payload,
