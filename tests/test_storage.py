@@ -8,15 +8,13 @@ from test_tiers import at, spread_events
 from tierline.operators.tiers import merge, roll_up
 from tierline.plans import jobs
 from tierline.schema import HOUR, TIER_COLUMNS
-from tierline.sources import jdbc
+from tierline.sources import jdbc, versions
 from tierline.sources.sample_tables import arrives_late
 from tierline.sources.tier_table import (
     edge_label,
     keep_window,
     merge_duplicates,
     read_tier,
-    repair_tier,
-    replace_partitions,
     stored_dates,
     write_tier,
 )
@@ -45,61 +43,56 @@ def test_missing_tier_is_empty(spark, tmp_path):
     assert read_tier(spark, path).isEmpty()
     assert edge_label(spark, path) is None and stored_dates(spark, path) == []
     jobs.transport(spark, path, str(tmp_path / "hours"))
-    jobs.retain_tier(spark, path, 24, str(tmp_path / "stage"))
+    jobs.retain_tier(spark, path, 24)
     assert read_tier(spark, str(tmp_path / "hours")).isEmpty() and jobs.rank(spark, path).isEmpty()
 
 
 def test_repair_equals_one_shot_and_may_be_repeated(spark, tmp_path):
-    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    path = str(tmp_path / "tier")
     events = spread_events(spark)
     late = arrives_late(F.col("row_idx"))
     whole = jobs.ingest(events, deduplicate=False).select(*TIER_COLUMNS)
     jobs.store_minutes(events.where(~late), path, deduplicate=False)
     delta = jobs.ingest(events.where(late), deduplicate=False)
     for _ in range(2):
-        assert repair_tier(spark, path, delta, stage)
+        assert write_tier(delta, path, "late files") == 2
         assert same(read_tier(spark, path), whole)
-    assert not repair_tier(spark, path, delta.limit(0), str(tmp_path / "other"))
+    assert write_tier(delta.limit(0), path, "no files") is None
 
 
-def test_repair_leaves_other_partitions_alone(spark, tmp_path, tier):
-    path = str(tmp_path / "tier")
+def files(path, day):
+    return sorted(str(f) for f in path.rglob(f"bucket_date={day}/*.parquet"))
+
+
+def test_late_rows_are_added_and_nothing_is_rewritten(spark, tmp_path, tier):
+    path = tmp_path / "tier"
     write_tier(
         tier(
             ("view", "brand", "b", "2019-10-01 09:00:00", 1, 1),
             ("view", "brand", "b", "2019-10-02 09:00:00", 1, 1),
         ),
-        path,
+        str(path),
     )
-
-    def files(date):
-        folder = tmp_path / "tier" / "event_type=view" / "dim=brand" / f"bucket_date={date}"
-        return sorted(os.listdir(folder))
-
-    before = files("2019-10-01"), files("2019-10-02")
-    repair_tier(spark, path, tier(("view", "brand", "b", "2019-10-02 09:00:00", 2, 1)), str(tmp_path / "s"))
-    assert files("2019-10-01") == before[0] and files("2019-10-02") != before[1]
-    assert rows(read_tier(spark, path), "bucket_end", "price_sum", "event_count") == [
+    before = {day: files(path, day) for day in ("2019-10-01", "2019-10-02")}
+    write_tier(tier(("view", "brand", "b", "2019-10-02 09:00:00", 2, 1)), str(path))
+    assert files(path, "2019-10-01") == before["2019-10-01"]
+    assert set(before["2019-10-02"]) < set(files(path, "2019-10-02"))
+    assert rows(read_tier(spark, str(path)), "bucket_end", "price_sum", "event_count") == [
         ("2019-10-01 09:00:00", 1.0, 1),
         ("2019-10-02 09:00:00", 3.0, 2),
     ]
+    text = plan(read_tier(spark, str(path), start="2019-10-01 08:00:00", end="2019-10-01 10:00:00"))
+    assert "HashAggregate" not in text and "bucket_date=2019-10-02" not in text
 
 
-def test_unfinished_publish_is_repeated_from_the_stage(spark, tmp_path, tier):
-    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
-    staged = tier(("view", "brand", "b", "2019-10-01 09:00:00", 7, 7))
-    staged.write.parquet(stage)
-    replace_partitions(tier(("view", "brand", "b", "2019-10-01 09:00:00", 1, 1)), path, stage)
-    assert rows(read_tier(spark, path), "event_count") == [(7,)]
-
-
-def test_a_published_repair_does_not_undo_later_rows(spark, tmp_path, tier):
-    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+def test_an_arrival_counts_once_whatever_comes_between(spark, tmp_path, tier):
+    path = str(tmp_path / "tier")
     late = tier(("view", "brand", "b", "2019-10-01 09:00:00", 1, 1))
-    repair_tier(spark, path, late, stage)
+    write_tier(late, path, "one")
     write_tier(tier(("view", "brand", "b", "2019-10-01 10:00:00", 2, 2)), path)
-    repair_tier(spark, path, late, stage)
-    assert rows(read_tier(spark, path), "event_count") == [(1,), (2,)]
+    write_tier(late, path, "one")
+    write_tier(late, path, "another that looks alike")
+    assert rows(read_tier(spark, path), "event_count") == [(2,), (2,)]
 
 
 def test_merge_duplicates(spark, tmp_path, tier):
@@ -110,7 +103,7 @@ def test_merge_duplicates(spark, tmp_path, tier):
     )
     write_tier(first, path)
     write_tier(tier(("view", "brand", None, "2019-10-01 09:00:00", 4, 1)), path)
-    merge_duplicates(spark, path, str(tmp_path / "stage"))
+    assert merge_duplicates(spark, path) and not merge_duplicates(spark, path)
     assert rows(read_tier(spark, path), "dim_value", "price_sum", "event_count") == [
         ("b", 1.0, 1),
         (None, 5.0, 2),
@@ -122,17 +115,16 @@ def test_keep_window_drops_cuts_and_keeps(spark, tmp_path, tier):
     labels = ("1 08:00", "2 09:59", "2 10:00", "3 10:00")
     metrics = tier(*[("view", "brand", "b", f"2019-10-0{t}:00", 1, 1) for t in labels])
     write_tier(metrics, path)
-    for n in range(2):
-        keep_window(spark, path, at("2019-10-03 10:00:00"), 24, str(tmp_path / f"s{n}"))
+    for _ in range(2):
+        keep_window(spark, path, at("2019-10-03 10:00:00"), 24)
         assert rows(read_tier(spark, path), "bucket_end") == [
             ("2019-10-02 10:00:00",),
             ("2019-10-03 10:00:00",),
         ]
-    folder = tmp_path / "tier" / "event_type=view" / "dim=brand"
-    assert sorted(p for p in os.listdir(folder) if p.startswith("bucket")) == [
-        "bucket_date=2019-10-02",
-        "bucket_date=2019-10-03",
-    ]
+    versions.vacuum(spark, path, grace=-1)
+    assert not files(tmp_path / "tier", "2019-10-01")
+    assert len(os.listdir(tmp_path / "tier" / "data")) == 2
+    assert len(read_tier(spark, path).inputFiles()) == 2
 
 
 def test_transport_catches_up_without_repeating_hours(spark, tmp_path):
@@ -158,7 +150,7 @@ def test_backlog_reaches_the_hours(spark, tmp_path):
     jobs.transport(spark, minutes, hours)
     delta = jobs.ingest(events.where(late), deduplicate=False)
     for _ in range(2):
-        assert jobs.process_backlog(spark, delta, minutes, hours, str(tmp_path / "stage"))
+        assert jobs.process_backlog(spark, delta, minutes, hours, "late files")
     jobs.transport(spark, minutes, hours)
     whole = jobs.ingest(events, deduplicate=False)
     newest = jobs.read_clock(whole)
@@ -192,28 +184,42 @@ def test_jdbc_options(suffix):
     assert jdbc.write_options("jdbc:x", "view", "brand", suffix, 8)["batchsize"] == "10000"
 
 
-def test_retention_refuses_a_date_far_ahead(spark, tmp_path, tier):
-    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
-    days = ["2019-10-01 09:00:00", "2019-10-02 09:00:00", "2091-10-02 09:00:00"]
+def test_retention_refuses_what_nothing_supports(spark, tmp_path, tier):
+    path = str(tmp_path / "tier")
+    days = ["2019-10-01 09:00:00", "2091-10-02 09:00:00"]
     write_tier(tier(*[("view", "brand", "b", day, 1, 1) for day in days]), path)
-    with pytest.raises(ValueError, match="2091"):
-        jobs.retain_tier(spark, path, 24, stage)
-    assert read_tier(spark, path).count() == 3
-    jobs.retain_tier(spark, path, 24, stage, now=at("2019-10-02 09:30:00"))
-    assert rows(read_tier(spark, path), "bucket_end") == [(day,) for day in days[1:]]
-
-
-def test_retention_may_use_one_stage_again(spark, tmp_path, tier):
-    """Dates go by their folders' names; only the cutoff's own date is rewritten."""
-    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
+    with pytest.raises(ValueError, match="after the one before"):
+        jobs.retain_tier(spark, path, 24)
+    assert read_tier(spark, path).count() == 2
+    jobs.retain_tier(spark, path, 24, now=at("2019-10-02 09:30:00"))
+    assert rows(read_tier(spark, path), "bucket_end") == [(days[1],)]
+
+
+@pytest.mark.parametrize("wrong", ["2020-01-20 10:00:00", "2019-10-04 10:00:00", "1970-01-01 00:00:00"])
+def test_one_wrong_date_moves_no_clock(spark, tmp_path, tier, wrong):
+    """21 events on two days and one elsewhere: nothing but what is older than a day goes."""
+    path, hours = str(tmp_path / "tier"), str(tmp_path / "hours")
+    labels = [f"2019-10-0{1 + n // 12} {8 + n % 12:02}:00:00" for n in range(21)]
+    write_tier(tier(*[("view", "brand", "b", t, 1, 1) for t in [*labels, wrong]]), path)
+    jobs.transport(spark, path, hours)
+    assert rows(read_tier(spark, hours).agg(F.max("bucket_end"))) == [("2019-10-02 16:00:00",)]
+    assert rows(jobs.rank(spark, path), "event_count") == [(1,)]
+    jobs.retain_tier(spark, path, 24)
+    kept = [t for t in labels if t >= "2019-10-01 16:00:00"]
+    assert rows(read_tier(spark, path), "bucket_end") == [(t,) for t in sorted([*kept, *([wrong] if wrong > "2019-10-02" else [])])]
+
+
+def test_retention_again_and_again(spark, tmp_path, tier):
+    """Segments before the cutoff go unread; only those that it cuts are rewritten."""
+    path = str(tmp_path / "tier")
     for hour in (3, 9, 15):
         labels = [f"2019-10-0{day} {hour:02}:00:00" for day in (1, 2)]
         write_tier(tier(*[("view", "brand", "b", t, 1, 1) for t in labels]), path)
     write_tier(tier(("purchase", "brand", "b", "2019-10-01 04:00:00", 1, 1)), path)
     for now, left in (("2019-10-02 08:00:00", 5), ("2019-10-02 14:00:00", 4), ("2019-10-02 16:00:00", 3)):
-        jobs.retain_tier(spark, path, 24, stage, now=at(now))
+        jobs.retain_tier(spark, path, 24, now=at(now))
         assert read_tier(spark, path).count() == left
-    assert not os.path.exists(f"{path}/event_type=purchase/dim=brand/bucket_date=2019-10-01")
+    assert {s.event_type for s in versions.latest(spark, path).segments} == {"view"}
 
 
 def test_clock_reads_one_date(spark, tmp_path, tier):
@@ -235,37 +241,6 @@ def test_clock_reads_one_date(spark, tmp_path, tier):
     assert label(event="click") == [("2019-10-03 09:00:00",)]
 
 
-def test_compaction_may_use_one_stage_again(spark, tmp_path, tier):
-    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
-    row = ("view", "brand", "b", "2019-10-01 09:00:00", 1, 1)
-    for expected in (2, 4):
-        write_tier(tier(row), path)
-        write_tier(tier(row), path) if expected == 2 else write_tier(tier(row), path)
-        jobs.compact_tier(spark, path, stage)
-        stored = rows(read_tier(spark, path), "event_count")
-        assert len(stored) == 1
-    assert stored == [(4,)]
-
-
-def test_a_staged_compaction_is_published_by_the_next_run(spark, tmp_path, tier, monkeypatch):
-    from tierline import workspace
-
-    path, stage = str(tmp_path / "tier"), str(tmp_path / "stage")
-    row = ("view", "brand", "b", "2019-10-01 09:00:00", 1, 1)
-    write_tier(tier(row, row), path)
-
-    def dies(*_):
-        raise RuntimeError("lost")
-
-    with monkeypatch.context() as patch:
-        patch.setattr(workspace, "mark_published", dies)
-        with pytest.raises(RuntimeError):
-            jobs.compact_tier(spark, path, stage)
-    workspace.remove(spark, f"{path}/event_type=view/dim=brand/bucket_date=2019-10-01")  # half published
-    jobs.compact_tier(spark, path, stage)
-    assert rows(read_tier(spark, path), "event_count") == [(2,)]
-
-
 def test_large_prices_do_not_overflow(spark, raw):
     price = "9999999999999999.99"
     events = raw(*[("2019-10-01 09:00:00", "purchase", 1, price, f"s{n}") for n in range(40)])

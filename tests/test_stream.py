@@ -88,7 +88,7 @@ def test_late_deltas_feed_the_backlog_job(spark, tmp_path):
     from tierline.sources.tier_table import read_tier, write_tier
 
     write_tier(live, minutes)
-    assert jobs.process_backlog(spark, late, minutes, hours, str(tmp_path / "stage"))
+    assert jobs.process_backlog(spark, late, minutes, hours, "late files")
     assert same(read_tier(spark, minutes), stream.served_tier(spark, deltas))
 
 

@@ -4,18 +4,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.operators.tiers import merge
-from tierline.schema import PARTITIONS
 
 
 def with_bucket_date(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("bucket_date", F.to_date("bucket_end"))
 
 
-def affected_partitions(late: DataFrame) -> DataFrame:
-    """Distinct (event, dimension, date) of the late rows."""
-    return with_bucket_date(late).select(*PARTITIONS).distinct()
-
-
 def repaired(stored: DataFrame, late: DataFrame) -> DataFrame:
     """Stored and late rows as one tier. Sums are additive, so no bucket needs its events."""
     return merge(stored.unionByName(late))

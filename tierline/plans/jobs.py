@@ -12,19 +12,18 @@ from tierline.functions.clean import rejects, valid
 from tierline.operators.events import assign_servers, flag_late
 from tierline.operators.metrics import minute_metrics
 from tierline.operators.tiers import finished_until, read_clock, roll_up, trailing_totals  # noqa: F401
-from tierline.schema import GRID_START_EPOCH, HOUR, TIER_COLUMNS
-from tierline.sources import raw_csv
+from tierline.schema import GRID_START_EPOCH, HOUR
+from tierline.sources import raw_csv, versions
 from tierline.sources.tier_table import (
-    edge_label,
+    clock_label,
+    clock_second,
     keep_window,
     merge_duplicates,
     read_tier,
-    repair_tier,
-    stage_of,
-    stage_rows,
-    stored_dates,
+    write_rows,
     write_tier,
 )
+from tierline.sources.versions import Conflict, Version
 
 
 def ingest(events: DataFrame, **metric_options) -> DataFrame:
@@ -33,16 +32,22 @@ def ingest(events: DataFrame, **metric_options) -> DataFrame:
 
 
 def store_minutes(
-    events: DataFrame, minute_path: str, rejects_path: str | None = None, **metric_options
+    events: DataFrame,
+    minute_path: str,
+    rejects_path: str | None = None,
+    arrival: str | None = None,
+    **metric_options,
 ) -> None:
-    """Append the metric rows of a batch of raw events to the minute tier.
+    """Add the metric rows of a batch of raw events to the minute tier.
 
-    Events without a readable time are in no minute; `rejects_path` collects them.
+    A batch with an `arrival` name is added once, however often the job is repeated. Events without a
+    readable time are in no minute; `rejects_path` collects them, by arrival too.
     """
     check_utc(events.sparkSession)
+    arrival = arrival or uuid.uuid4().hex
     if rejects_path:
-        rejects(events).write.mode("append").parquet(rejects_path)
-    write_tier(ingest(events, **metric_options), minute_path)
+        rejects(events).write.mode("overwrite").parquet(f"{rejects_path}/arrival={arrival}")
+    write_tier(ingest(events, **metric_options), minute_path, arrival)
 
 
 def finished_hours(minutes: DataFrame, last_hour: Column, newest_minute: Column) -> DataFrame:
@@ -52,31 +57,58 @@ def finished_hours(minutes: DataFrame, last_hour: Column, newest_minute: Column)
     return roll_up(minutes.where(ready), HOUR)
 
 
+#: Spans of hours that an hour tier remembers, with the version of the minutes they were made from.
+SPANS = 1000
+
+
+def _transported(hours: Version) -> int | None:
+    """The end of the last hour transported, in seconds; None if nothing was."""
+    if "until" in hours.notes or not hours.segments:
+        return hours.notes.get("until")
+    return max(segment.last for segment in hours.segments)
+
+
 def transport(
     spark: SparkSession, minute_path: str, hour_path: str, event: str | None = "view"
 ) -> None:
-    """Append the hours completed since the last run to the hour tier.
+    """Add the hours completed since the last run to the hour tier, each once.
 
     The first run starts at the oldest stored minute. `event` is the event type that tells how far
-    the minutes have come; without any of it, all events do. Only the newest and oldest dates are
-    read for that.
+    the minutes have come (see trusted_label); without any of it, all events do. The hour tier notes
+    how far it has come and from which version of the minutes. A run that finds that another one, or
+    late rows, came between starts anew, so that no hour is added twice or without its late rows.
     """
     check_utc(spark)
-    newest = edge_label(spark, minute_path, event=event)
-    start = edge_label(spark, hour_path)
-    if start is None:
-        oldest = edge_label(spark, minute_path, newest=False)
-        start = None if oldest is None else timegrid.bucket_start(oldest, HOUR)
-    if newest is None or start is None:
-        return
-    fresh = read_tier(spark, minute_path, start=start)
-    write_tier(finished_hours(fresh, start, newest), hour_path)
+    for _ in range(versions.TRIES):
+        minutes, hours = versions.latest(spark, minute_path), versions.latest(spark, hour_path)
+        newest, start = clock_second(minutes, event), _transported(hours)
+        if start is None and minutes.segments:
+            start = min(segment.first for segment in minutes.segments) // HOUR * HOUR
+        if newest is None or newest - start < HOUR:
+            return
+        until = start + (newest - start) // HOUR * HOUR
+        fresh = read_tier(spark, minute_path, start=start, end=until - 1, version=minutes)
+        ends = [F.timestamp_seconds(F.lit(second)) for second in (start, newest)]
+        added = write_rows(finished_hours(fresh, *ends), hour_path)
+        spans = [*hours.notes.get("spans", []), [until, minutes.number]][-SPANS:]
+        notes = {"until": until, "spans": spans}
+
+        def change(now: Version, start=start, read=minutes.number, added=added, notes=notes):
+            if _transported(now) not in (start, None) or now.notes.get("late", 0) > read:
+                raise Conflict("the hour tier has changed")
+            return added, (), notes
+
+        try:
+            versions.commit(spark, hour_path, f"hours-until-{until}", change)
+            return
+        except Conflict:
+            continue
 
 
 def rank(spark: SparkSession, minute_path: str, event: str | None = "view") -> DataFrame:
     """Totals of the trailing hour, whatever the state of the hour tier."""
     check_utc(spark)
-    now = edge_label(spark, minute_path, event=event)
+    now = clock_label(spark, minute_path, event=event)
     if now is None:
         return trailing_totals(read_tier(spark, minute_path), F.current_timestamp())
     start = timegrid.shift(now, -59 * 60)
@@ -91,60 +123,80 @@ def store_rank(
 
 
 def process_backlog(
-    spark: SparkSession, late: DataFrame, minute_path: str, hour_path: str, stage: str
+    spark: SparkSession, late: DataFrame, minute_path: str, hour_path: str, arrival: str
 ) -> bool:
-    """Merge late metric rows into the minute tier and into the hours already transported.
+    """Add late metric rows to the minute tier, and to the hours already transported without them.
+
+    `arrival` names the rows. The job may be repeated with the same name and rows, after a failure
+    or not, and whatever ran meanwhile: they count once in both tiers. Rows that look alike but came
+    in another arrival count on their own. What is written is the late rows and their hours; readers
+    merge them, and compact_tier does so for good. False if nothing was late.
 
-    Hours after the hour tier's newest label are left to `transport`, which reads the repaired
-    minutes; with an empty hour tier that is all of them. After a failure repeat this with the same
-    rows and the same `stage`, which counts nothing twice, before the next transport. Other late
-    rows may use the same `stage`. False if nothing was late.
+    Hours that were transported from minutes that had the rows already do not get them again, and
+    a transport that began before it knew of them begins anew.
     """
     check_utc(spark)
-    if late.isEmpty():
-        return False
-    stage = stage_of(late.select(*TIER_COLUMNS), stage)
-    late = stage_rows(late, f"{stage}/rows")
-    transported = edge_label(spark, hour_path)
-    if transported is not None:
-        late_hours = roll_up(late, HOUR).where(F.col("bucket_end") <= transported)
-        late_hours = stage_rows(late_hours, f"{stage}/hours")
-    else:
-        late_hours = stage_rows(late.limit(0), f"{stage}/hours")
-    repair_tier(spark, minute_path, late, f"{stage}/minute")
-    repair_tier(spark, hour_path, late_hours, f"{stage}/hour")
-    return True
-
-
-#: Days that a tier's newest date may lie after the one before it, unless the time is given.
-LARGEST_GAP = 31
+    version = versions.applied(spark, minute_path, arrival)
+    if version is None:
+        added = write_rows(late, minute_path)
+        if not added:
+            return False
+        late = versions.read_segments(spark, minute_path, added)
+        versions.commit(spark, minute_path, arrival, lambda _: (added, (), {}))
+        version = versions.applied(spark, minute_path, arrival)
+    for _ in range(versions.TRIES):
+        if versions.applied(spark, hour_path, arrival) is not None:
+            return True
+        before = _hours_without(versions.latest(spark, hour_path), version)
+        missed = []
+        if before is not None:
+            done = F.col("bucket_end") <= F.timestamp_seconds(F.lit(before))
+            missed = write_rows(roll_up(late, HOUR).where(done), hour_path)
+
+        def change(now: Version, before=before, missed=missed):
+            if _hours_without(now, version) != before:
+                raise Conflict("the hour tier has changed")
+            return missed, (), {"late": max(version, now.notes.get("late", 0))}
+
+        try:
+            versions.commit(spark, hour_path, arrival, change)
+            return True
+        except Conflict:
+            continue
+    raise Conflict(f"{hour_path}: other writers came first {versions.TRIES} times")
+
+
+def _hours_without(hours: Version, minutes: int) -> int | None:
+    """The end of the hours that were made from minutes before their version `minutes`."""
+    if "spans" not in hours.notes:
+        return _transported(hours)
+    return max((until for until, read in hours.notes["spans"] if read < minutes), default=None)
 
 
 def retain_tier(
     spark: SparkSession,
     path: str,
     hours: int,
-    stage: str,
     now: Column | None = None,
     event: str | None = "view",
 ) -> None:
-    """Drop what is older than `now` minus `hours`; by default now is the newest label of `event`.
+    """Drop what is older than `now` minus `hours`, in one version.
 
-    A newest date more than LARGEST_GAP days after the one before it is refused: a single event with
-    a wrong date would empty the tier. Pass `now` if the gap is real.
+    By default now is the newest label of `event` that other events support: a few events of a wrong
+    date drop nothing (see trusted_label, which refuses what it cannot judge; pass `now` then).
     """
     check_utc(spark)
     if now is None:
-        dates = stored_dates(spark, path)
-        if len(dates) > 1 and (dates[-1] - dates[-2]).days > LARGEST_GAP:
-            raise ValueError(f"{dates[-1]} follows {dates[-2]}: pass `now` if that is right")
-        now = edge_label(spark, path, event=event)
+        now = clock_label(spark, path, event=event)
     if now is not None:
-        keep_window(spark, path, now, hours, stage)
+        keep_window(spark, path, now, hours)
+        versions.vacuum(spark, path)
 
 
-def compact_tier(spark: SparkSession, path: str, stage: str) -> None:
-    merge_duplicates(spark, path, stage)
+def compact_tier(spark: SparkSession, path: str, least: int = 2) -> None:
+    """Merge the partitions of a tier that have at least `least` segments."""
+    merge_duplicates(spark, path, least)
+    versions.vacuum(spark, path)
 
 
 def pending_files(spark: SparkSession, landing: str, target: str, block: str) -> DataFrame:
@@ -217,7 +269,7 @@ def run_batch(
     time are kept under `ledger` (see read_rejects). Repeated views count once within an arrival.
     """
     check_utc(spark)
-    clock = edge_label(spark, minute_path, event="view")
+    clock = clock_label(spark, minute_path, event="view")
     clock = F.lit(None).cast("timestamp") if clock is None else clock
     files = flag_late(raw_csv.inventory(spark, landing), clock).select(
         "path",
@@ -232,14 +284,11 @@ def run_batch(
     counted = 0
     for run in raw_csv.unfinished_runs(spark, ledger):
         own = raw_csv.claims(spark, ledger).where(F.col("run") == run).collect()
-        stage = f"{ledger}/runs/{run}"
-        arrivals = []
         for kind in sorted({f.block for f in own}):
             events = raw_csv.read_raw(spark, sorted({f.path for f in own if f.block == kind}))
             rejects(events).write.mode("overwrite").parquet(f"{ledger}/rejects/{run}-{kind}")
-            arrivals.append(stage_rows(ingest(events, **metric_options), f"{stage}/{kind}"))
-        for rows in arrivals:
-            process_backlog(spark, rows, minute_path, hour_path, f"{stage}/repair")
+            rows = ingest(events, **metric_options)
+            process_backlog(spark, rows, minute_path, hour_path, f"{run}-{kind}")
         raw_csv.finish_run(spark, ledger, run)
         counted += len(own)
     transport(spark, minute_path, hour_path)

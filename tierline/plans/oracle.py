@@ -374,6 +374,30 @@ FROM raw""",
     + _TIER
     + "hours",
     "merge_duplicates": _ONE_SHOT,
+    "compact_after_crash": _ONE_SHOT,
+    "late_and_live_equal": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes())
+    + """
+SELECT event_type, dim, dim_value, bucket_end, CAST(2 * price_sum AS DOUBLE) AS price_sum,
+       2 * event_count AS event_count
+FROM minutes WHERE event_type = 'purchase'""",
+    "retention_wrong_date": _with(
+        _raw(1),
+        _CLEAN,
+        _counted(),
+        _minutes(),
+        """
+ahead AS (
+  SELECT * REPLACE (TIMESTAMP '2024-05-05 05:06:00' AS bucket_end)
+  FROM (SELECT * FROM clean WHERE event_type = 'view' ORDER BY row_idx LIMIT 1)
+)""",
+    )
+    + _TIER
+    + f"minutes WHERE bucket_end >= ({_CLOCK.format('minutes')}) - INTERVAL 24 HOUR"
+    + "".join(
+        f"""
+UNION ALL SELECT event_type, '{dim}', {dim}, bucket_end, CAST(price AS DOUBLE), CAST(price IS NOT NULL AS BIGINT) FROM ahead"""
+        for dim in ("product_id", "brand", "category_l3")
+    ),
     "file_time_range": _with(_raw())
     + """
 SELECT min(date_trunc('minute', event_time)) AS oldest, max(date_trunc('minute', event_time)) AS newest

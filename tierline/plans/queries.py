@@ -12,7 +12,7 @@ from tierline.operators import tiers as ti
 from tierline.operators.backlog import repaired
 from tierline.plans import jobs
 from tierline.schema import DAY, HOUR, MINUTE, TIER_KEYS
-from tierline.sources import raw_csv
+from tierline.sources import raw_csv, versions
 from tierline.sources.sample_tables import (
     SAMPLE_START_EPOCH,
     arrives_late,
@@ -20,7 +20,7 @@ from tierline.sources.sample_tables import (
     retail_events,
     sample_events,
 )
-from tierline.sources.tier_table import read_tier, write_tier
+from tierline.sources.tier_table import read_tier, rows_of, write_rows, write_tier
 from tierline.streaming import ingest as stream
 from tierline.streaming.windows import first_view_stream, large_state
 from tierline.workspace import new_folder
@@ -253,10 +253,51 @@ def tier_clock(spark, folder):
 
 def retention_24h(spark, folder):
     path = _stored_minutes(spark, folder, factor=1)
-    jobs.retain_tier(spark, path, 24, new_folder(spark, "stage"))
+    jobs.retain_tier(spark, path, 24)
     return _plain(read_tier(spark, path))
 
 
+def retention_wrong_date(spark, folder):
+    """Retention of a tier that one view has reached with a date far ahead: it moves nothing."""
+    path = _stored_minutes(spark, folder, factor=1)
+    ahead = retail_events(spark, folder, 1).where("event_type = 'view'").orderBy("row_idx").limit(1)
+    ahead = ahead.withColumn("event_time", F.lit("2024-05-05 05:05:05").cast("timestamp"))
+    jobs.store_minutes(ahead, path)
+    jobs.retain_tier(spark, path, 24)
+    return _plain(read_tier(spark, path))
+
+
+def compact_after_crash(spark, folder):
+    """A tier that is appended to while a compaction dies, and compacted again."""
+    path = new_folder(spark, "minutes")
+    events = retail_events(spark, folder)
+    parts = [events.where(F.pmod("row_idx", F.lit(3)) == n) for n in range(3)]
+    for part in parts[:2]:
+        jobs.store_minutes(part, path, deduplicate=False)
+    begun = versions.latest(spark, path)
+    write_rows(rows_of(spark, path, list(begun.segments)), path)  # written, and never committed
+    jobs.store_minutes(parts[2], path, deduplicate=False)
+    jobs.compact_tier(spark, path)
+    return _plain(read_tier(spark, path))
+
+
+def late_and_live_equal(spark, folder):
+    """Every purchase in a live file and again in a late one, in one batch: each counts twice."""
+    landing = new_folder(spark, "landing")
+    places = [new_folder(spark, name) for name in ("minutes", "hours", "rank", "ledger")]
+    events = retail_events(spark, folder)
+    first = events.where("event_type = 'view'").orderBy("event_time", "row_idx").limit(1)
+    noon = F.lit("2024-01-01 12:00:00").cast("timestamp")
+    options = dict(factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=DAY)
+    jobs.land(first.withColumn("event_time", noon), landing, **options)
+    jobs.run_batch(spark, landing, *places)
+    text = raw_csv.as_text(events.where("event_type = 'purchase'"))
+    for key in ("2023-12-31-00-00-00-0", "2024-01-02-00-00-00-0"):
+        text.write.option("header", True).option("escape", '"').csv(f"{landing}/file_key={key}")
+    jobs.run_batch(spark, landing, *places)
+    return _plain(read_tier(spark, places[0], "purchase"))
+
+
 def transport_brand_only(spark, folder):
     """Hours of a tier that has one dimension only, and not the one that usually times it."""
     minutes, hours = _stored_minutes(spark, folder, dimensions=("brand",)), new_folder(spark, "hours")
@@ -309,7 +350,7 @@ def _repaired_tiers(spark, folder):
     jobs.store_minutes(_live(events), minutes, deduplicate=False)
     jobs.transport(spark, minutes, hours)
     late = jobs.ingest(_late(events), deduplicate=False)
-    jobs.process_backlog(spark, late, minutes, hours, new_folder(spark, "stage"))
+    jobs.process_backlog(spark, late, minutes, hours, "second arrival")
     jobs.transport(spark, minutes, hours)
     return minutes, hours
 
@@ -327,15 +368,14 @@ def backlog_repair_hour(spark, folder):
 
 
 def backlog_repair_twice(spark, folder):
-    """Two late sets, one after the other, with the same stage folder."""
+    """Two late sets, one after the other, each given twice."""
     minutes, hours = new_folder(spark, "minutes"), new_folder(spark, "hours")
-    stage = new_folder(spark, "stage")
     events = retail_events(spark, folder)
     jobs.store_minutes(_live(events), minutes, deduplicate=False)
     even = F.pmod("row_idx", F.lit(2)) == 0
-    for part in (even, ~even):
+    for arrival, part in (("even", even), ("odd", ~even), ("even", even), ("odd", ~even)):
         late = jobs.ingest(_late(events).where(part), deduplicate=False)
-        jobs.process_backlog(spark, late, minutes, hours, stage)
+        jobs.process_backlog(spark, late, minutes, hours, arrival)
     return _plain(read_tier(spark, minutes))
 
 
@@ -383,7 +423,7 @@ def merge_duplicates(spark, folder):
     events = retail_events(spark, folder)
     for part in (_live(events), _late(events)):
         jobs.store_minutes(part, path, deduplicate=False)
-    jobs.compact_tier(spark, path, new_folder(spark, "stage"))
+    jobs.compact_tier(spark, path)
     return _plain(read_tier(spark, path))
 
 
@@ -618,6 +658,9 @@ QUERIES = {
     "backlog_repair_stored": backlog_repair_stored,
     "backlog_repair_hour": backlog_repair_hour,
     "merge_duplicates": merge_duplicates,
+    "retention_wrong_date": retention_wrong_date,
+    "compact_after_crash": compact_after_crash,
+    "late_and_live_equal": late_and_live_equal,
     "file_time_range": file_time_range,
     "landing_files": landing_files,
     "archive_block_hour": _archived("hour", 30),

@@ -1,204 +1,215 @@
-"""Stored tiers: Parquet partitioned by event type, dimension and bucket date."""
+"""Stored tiers: versioned Parquet, partitioned by event type, dimension and bucket date.
+
+Rows of a key are additive, so an arrival, live or late, is one more set of segments, and a reader
+merges the partitions that have several. Compaction and retention put new segments in the place of
+the ones they read; whatever others added meanwhile stays.
+"""
 
 import uuid
-from datetime import date
+from collections.abc import Callable
+from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline import workspace
-from tierline.operators.backlog import affected_partitions, repaired, with_bucket_date
+from tierline.operators.backlog import with_bucket_date
+from tierline.operators.clock import trusted_label
 from tierline.operators.tiers import merge, retention_cutoff
-from tierline.schema import PARTITIONS, STORED_TIER, TIER, TIER_COLUMNS
+from tierline.schema import PARTITIONS, STORED_TIER, TIER_COLUMNS
+from tierline.sources import versions
+from tierline.sources.versions import Conflict, Segment, Version
 
 
 def _laid_out(metrics: DataFrame) -> DataFrame:
     """Rows gathered by partition; AQE splits large partitions over tasks and joins small ones."""
     return (
-        with_bucket_date(metrics)
+        with_bucket_date(metrics.select(*TIER_COLUMNS))
         .hint("rebalance", *PARTITIONS)
         .sortWithinPartitions(*PARTITIONS, "bucket_end", "dim_value")
     )
 
 
-def write_tier(metrics: DataFrame, path: str, mode: str = "append") -> None:
-    _laid_out(metrics).write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+def write_rows(metrics: DataFrame, path: str) -> list[Segment]:
+    """Write rows, one for each key, that no version of the tier has yet."""
+    return versions.write_segments(metrics.sparkSession, _laid_out(metrics), path)
+
 
+def write_tier(metrics: DataFrame, path: str, arrival: str | None = None) -> int | None:
+    """Add the rows of an arrival, one for each key; returns the version that has them.
 
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    if not workspace.exists(spark, path):
-        return spark.createDataFrame([], STORED_TIER)
-    return spark.read.schema(STORED_TIER).parquet(path)
+    An arrival is added once, however often it is given: nothing is computed for one that the tier
+    has. Without a name the rows are an arrival of their own. None if there are no rows.
+    """
+    spark = metrics.sparkSession
+    arrival = arrival or uuid.uuid4().hex
+    done = versions.applied(spark, path, arrival)
+    if done is not None:
+        return done
+    added = write_rows(metrics, path)
+    return versions.commit(spark, path, arrival, lambda _: (added, (), {}) if added else None)
+
+
+def _second(moment) -> int | None:
+    """Seconds of a time given in seconds, as text (UTC) or as a literal Column."""
+    if moment is None or isinstance(moment, int):
+        return moment
+    if isinstance(moment, str):
+        return int(datetime.fromisoformat(moment).replace(tzinfo=timezone.utc).timestamp())
+    spark = SparkSession.active()
+    return spark.range(1).select(F.unix_seconds(moment.cast("timestamp")).alias("s")).first().s
+
+
+def _literal(second: int) -> Column:
+    return F.timestamp_seconds(F.lit(second))
+
+
+def rows_of(spark: SparkSession, path: str, segments: list[Segment]) -> DataFrame:
+    """One row a key of some segments of a tier; only partitions with several are merged."""
+    by_partition: dict[tuple, list[Segment]] = {}
+    for segment in segments:
+        by_partition.setdefault(segment.partition, []).append(segment)
+    single = [own[0] for own in by_partition.values() if len(own) == 1]
+    several = [segment for own in by_partition.values() if len(own) > 1 for segment in own]
+    parts = []
+    if single or not several:
+        parts.append(versions.read_segments(spark, path, single))
+    if several:
+        parts.append(with_bucket_date(merge(versions.read_segments(spark, path, several))))
+    return reduce(DataFrame.unionByName, [part.select(*STORED_TIER.fieldNames()) for part in parts])
 
 
 def read_tier(
-    spark: SparkSession, path: str, event=None, dim=None, start=None, end=None
+    spark: SparkSession,
+    path: str,
+    event=None,
+    dim=None,
+    start=None,
+    end=None,
+    version: Version | None = None,
 ) -> DataFrame:
-    """Rows with start <= bucket_end <= end; event, dimension and dates prune partitions.
+    """Rows with start <= bucket_end <= end, one a key, of the newest version or of a given one.
 
-    `start` and `end` are text or literal timestamp Columns.
+    `start` and `end` are text, seconds or literal timestamp Columns. Segments without such rows are not read,
+    by what the version tells of them.
     """
-    rows = _stored(spark, path)
-    if event:
-        rows = rows.where(F.col("event_type") == event)
-    if dim:
-        rows = rows.where(F.col("dim") == dim)
-    if start is not None:
-        start = F.lit(start).cast("timestamp")
+    version = version or versions.latest(spark, path)
+    low, high = _second(start), _second(end)
+    chosen = [
+        s
+        for s in version.segments
+        if (event is None or s.event_type == event)
+        and (dim is None or s.dim == dim)
+        and (low is None or s.last >= low)
+        and (high is None or s.first <= high)
+    ]
+    rows = rows_of(spark, path, chosen)
+    if low is not None:
+        start = _literal(low)
         rows = rows.where(
             (F.col("bucket_end") >= start) & (F.col("bucket_date") >= F.to_date(start))
         )
-    if end is not None:
-        end = F.lit(end).cast("timestamp")
-        rows = rows.where(
-            (F.col("bucket_end") <= end) & (F.col("bucket_date") <= F.to_date(end))
-        )
+    if high is not None:
+        end = _literal(high)
+        rows = rows.where((F.col("bucket_end") <= end) & (F.col("bucket_date") <= F.to_date(end)))
     return rows.select(*TIER_COLUMNS)
 
 
-def stage_rows(metrics: DataFrame, stage: str) -> DataFrame:
-    """Rows written to `stage` and read from there; a finished stage is taken as it is."""
-    spark = metrics.sparkSession
-    if not workspace.finished(spark, stage):
-        metrics.select(*TIER_COLUMNS).write.mode("overwrite").parquet(stage)
-    return spark.read.schema(TIER).parquet(stage)
-
-
-def stage_of(rows: DataFrame, stage: str) -> str:
-    """A folder below `stage` named by what the rows are: other rows never meet a used stage."""
-    mark = rows.agg(
-        F.count("*").alias("n"),
-        F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")).alias("sum"),
-    ).first()
-    return f"{stage}/{mark.n}_{mark['sum'] or 0}"
-
-
-def finish_stages(spark: SparkSession, path: str, stage: str) -> None:
-    """Publish what earlier runs have staged below `stage` and died before publishing."""
-    for done in workspace.matching(spark, f"{stage}/*/_SUCCESS"):
-        place = done.rsplit("/", 1)[0]
-        if not workspace.published(spark, place):
-            replace_partitions(spark.read.schema(TIER).parquet(place), path, place)
-
-
-def replace_partitions(metrics: DataFrame, path: str, stage: str) -> None:
-    """Replace exactly the partitions that `metrics` has rows in.
+def replace_rows(
+    spark: SparkSession,
+    path: str,
+    choose: Callable[[Version], list[Segment]],
+    make: Callable[[DataFrame], DataFrame] | None,
+    drop: Callable[[Version], list[Segment]] = lambda _: [],
+) -> bool:
+    """Put `make` of the rows of chosen segments in their place, and drop others, in one version.
 
-    The rows go to `stage` first: they may come from the table itself, and a run that
-    died while publishing can be repeated from the finished stage. A published stage is
-    not published again. Nothing else may write to these partitions meanwhile.
+    Other writers may add segments meanwhile. If one of those read is gone, it starts anew. False if
+    there was nothing to do.
     """
-    spark = metrics.sparkSession
-    if workspace.published(spark, stage):
-        return
-    (
-        _laid_out(stage_rows(metrics, stage))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITIONS)
-        .parquet(path)
-    )
-    workspace.mark_published(spark, stage)
-
-
-def _in_partitions(rows: DataFrame, partitions: DataFrame) -> DataFrame:
-    """Rows of the given partitions. The date list is as short as the table's days."""
-    dates = [row.bucket_date for row in partitions.select("bucket_date").distinct().collect()]
-    return rows.where(F.col("bucket_date").isin(dates)).join(
-        partitions, list(PARTITIONS), "left_semi"
-    )
+    for _ in range(versions.TRIES):
+        version = versions.latest(spark, path)
+        chosen, dropped = choose(version), drop(version)
+        if not chosen and not dropped:
+            return False
+        added = write_rows(make(rows_of(spark, path, chosen)), path) if chosen else []
+        try:
+            change = (added, (*chosen, *dropped), {})
+            versions.commit(spark, path, uuid.uuid4().hex, lambda _, change=change: change)
+            return True
+        except Conflict:
+            continue
+    raise Conflict(f"{path}: other writers came first {versions.TRIES} times")
 
 
-def repair_tier(spark: SparkSession, path: str, late: DataFrame, stage: str) -> bool:
-    """Merge late rows into a stored tier, rewriting only the partitions they fall in.
+def merge_duplicates(spark: SparkSession, path: str, least: int = 2) -> bool:
+    """Merge partitions that have at least `least` segments into one segment each."""
 
-    Running it again with the same `stage` and the same late rows finishes it and does not count
-    them twice; other late rows get a stage of their own below the same folder. False if there was
-    nothing late.
-    """
-    if late.isEmpty():
-        return False
-    stage = stage_of(late.select(*TIER_COLUMNS), stage)
-    late = stage_rows(late, f"{stage}/late")
-    touched = _in_partitions(_stored(spark, path), affected_partitions(late))
-    replace_partitions(repaired(touched.select(*TIER_COLUMNS), late), path, f"{stage}/merged")
-    return True
+    def several(version: Version) -> list[Segment]:
+        counts: dict[tuple, int] = {}
+        for segment in version.segments:
+            counts[segment.partition] = counts.get(segment.partition, 0) + 1
+        return [s for s in version.segments if counts[s.partition] >= max(least, 2)]
 
+    return replace_rows(spark, path, several, lambda rows: rows)
 
-def merge_duplicates(spark: SparkSession, path: str, stage: str) -> None:
-    """Rewrite a tier whose keys may have several partial rows with one row per key.
 
-    Only partitions with duplicates are rewritten. `stage` may be the same every time: what a run
-    that died has staged is published first.
-    """
-    finish_stages(spark, path, stage)
-    doubled = (
-        with_bucket_date(
-            _stored(spark, path)
-            .groupBy("event_type", "dim", "dim_value", "bucket_end")
-            .count()
-            .where("count > 1")
-        )
-        .select(*PARTITIONS)
-        .distinct()
-    )
-    touched = _in_partitions(_stored(spark, path), doubled)
-    if not touched.isEmpty():
-        replace_partitions(merge(touched), path, f"{stage}/{uuid.uuid4().hex}")
+def stored_dates(spark: SparkSession, path: str, event: str | None = None) -> list[date]:
+    """Dates that a tier has rows for, in order."""
+    segments = versions.latest(spark, path).segments
+    kept = {s.bucket_date for s in segments if event in (None, s.event_type)}
+    return sorted(date.fromisoformat(day) for day in kept)
 
 
-def stored_dates(spark: SparkSession, path: str, event: str | None = None) -> list[date]:
-    """Dates that a tier has folders for, in order. Reads names only."""
-    folders = workspace.matching(spark, f"{path}/event_type={event or '*'}/dim=*/bucket_date=*")
-    return sorted({date.fromisoformat(name.rsplit("=", 1)[1]) for name in folders})
+def _of_event(version: Version, event: str | None) -> list[Segment]:
+    """Segments of an event type, or all where it has none."""
+    own = [s for s in version.segments if event in (None, s.event_type)]
+    return own or list(version.segments)
 
 
 def edge_label(
     spark: SparkSession, path: str, newest: bool = True, event: str | None = None
 ) -> Column | None:
-    """The newest (or oldest) stored label as a literal, from the rows of one date; None if empty.
+    """The newest (or oldest) stored label as a literal, from the version alone; None if empty.
 
     Where `event` has no rows at all, any event's labels count.
     """
-    for kind in [event, None] if event else [None]:
-        for day in sorted(stored_dates(spark, path, kind), reverse=newest):
-            rows = _stored(spark, path).where(F.col("bucket_date") == F.lit(day))
-            if kind:
-                rows = rows.where(F.col("event_type") == kind)
-            edge = F.max("bucket_end") if newest else F.min("bucket_end")
-            found = rows.agg(F.unix_seconds(edge).alias("s")).first().s
-            if found is not None:
-                return F.timestamp_seconds(F.lit(found))
-    return None
-
-
-def drop_dates(spark: SparkSession, path: str, before: date) -> None:
-    """Delete the dates before one; metadata calls, one for each folder."""
-    for folder in workspace.matching(spark, f"{path}/event_type=*/dim=*/bucket_date=*"):
-        if date.fromisoformat(folder.rsplit("=", 1)[1]) < before:
-            workspace.remove(spark, folder)
-
-
-def keep_window(spark: SparkSession, path: str, now: Column, hours: int, stage: str) -> None:
-    """Drop rows older than `now` minus `hours`: dates before the cutoff's are deleted by their
-    names, the cutoff's own date is rewritten, newer ones are not touched or read."""
-    finish_stages(spark, path, stage)
-    cutoff = spark.range(1).select(
-        F.unix_seconds(retention_cutoff(now, hours)).alias("s"),
-        F.to_date(retention_cutoff(now, hours)).alias("day"),
-    ).first()
-    drop_dates(spark, path, cutoff.day)
-    edge = _stored(spark, path).where(F.col("bucket_date") == F.lit(cutoff.day))
-    limit = F.timestamp_seconds(F.lit(cutoff.s))
-    cut = edge.where(F.col("bucket_end") < limit).select(*PARTITIONS).distinct()
-    touched = edge.join(cut, list(PARTITIONS), "left_semi")
-    if touched.isEmpty():
-        return
-    # A partition of which nothing is left is in no stage, so it is deleted by name.
-    kept = touched.where(F.col("bucket_end") >= limit)
-    stays = {(r.event_type, r.dim) for r in kept.select("event_type", "dim").distinct().collect()}
-    goes = {(r.event_type, r.dim) for r in cut.collect()} - stays
-    if stays:
-        replace_partitions(kept, path, f"{stage}/{uuid.uuid4().hex}")
-    for event, dim in sorted(goes):
-        workspace.remove(spark, f"{path}/event_type={event}/dim={dim}/bucket_date={cutoff.day}")
+    own = _of_event(versions.latest(spark, path), event)
+    if not own:
+        return None
+    return _literal(max(s.last for s in own) if newest else min(s.first for s in own))
+
+
+def clock_second(version: Version, event: str | None = None) -> int | None:
+    """The newest label that the mass of events supports, see trusted_label(); None if empty."""
+    hours: dict[tuple[int, str], list[int]] = {}
+    for segment in _of_event(version, event):
+        for hour, events, last in segment.hours:
+            entry = hours.setdefault((hour, segment.dim), [0, last])
+            entry[0] += events
+            entry[1] = max(entry[1], last)
+    # Every dimension has the same events.
+    masses: dict[int, tuple[int, int]] = {}
+    for (hour, _), (events, last) in hours.items():
+        before = masses.get(hour, (0, last))
+        masses[hour] = max(before[0], events), max(before[1], last)
+    return trusted_label((hour, events, last) for hour, (events, last) in masses.items())
+
+
+def clock_label(spark: SparkSession, path: str, event: str | None = None) -> Column | None:
+    """clock_second() of the newest version as a literal."""
+    second = clock_second(versions.latest(spark, path), event)
+    return None if second is None else _literal(second)
+
+
+def keep_window(spark: SparkSession, path: str, now: Column, hours: int) -> None:
+    """Drop rows older than `now` minus `hours`, in one version: segments that lie before the cutoff
+    are dropped unread, only those that it cuts are rewritten."""
+    cutoff = _second(retention_cutoff(now, hours))
+    replace_rows(
+        spark,
+        path,
+        lambda version: [s for s in version.segments if s.first < cutoff <= s.last],
+        lambda rows: rows.where(F.col("bucket_end") >= _literal(cutoff)),
+        lambda version: [s for s in version.segments if s.last < cutoff],
+    )

@@ -20,6 +20,7 @@ from tierline import workspace
 from tierline.functions import measures, timegrid
 from tierline.functions.clean import valid
 from tierline.operators.backlog import with_bucket_date
+from tierline.operators.clock import trusted_label
 from tierline.operators.events import first_views, flag_late, split_events, view_order
 from tierline.operators.metrics import minute_metrics
 from tierline.operators.tiers import read_clock, retention_cutoff
@@ -32,7 +33,6 @@ from tierline.schema import (
     TIER_COLUMNS,
     TIER_KEYS,
 )
-from tierline.sources.tier_table import drop_dates, edge_label, stored_dates
 from tierline.workspace import check_utc
 
 DELTA = StructType(
@@ -64,6 +64,32 @@ def read_deltas(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DELTA).parquet(path).where(_valid(spark, path))
 
 
+def delta_dates(spark: SparkSession, path: str, event: str = "*") -> list[date]:
+    """Dates that a delta table has folders for, in order. Reads names only."""
+    folders = workspace.matching(spark, f"{path}/event_type={event}/dim=*/bucket_date=*")
+    return sorted({date.fromisoformat(name.rsplit("=", 1)[1]) for name in folders})
+
+
+def delta_clock(spark: SparkSession, path: str, event: str = "view") -> Column | None:
+    """The newest label that the mass of events supports, as a literal; None if there are no rows.
+
+    Counted per hour over the kept dates; only these counts reach the driver.
+    """
+    rows = read_deltas(spark, path)
+    second = F.unix_seconds("bucket_end")
+    counts = (
+        rows.groupBy("event_type", "dim", F.floor(second / HOUR).alias("hour"))
+        .agg(F.sum("event_rows").alias("events"), F.max(second).alias("last"))
+        .where("events > 0")
+        .groupBy("event_type", "hour")
+        .agg(F.max("events").alias("events"), F.max("last").alias("last"))
+        .collect()
+    )
+    own = [r for r in counts if r.event_type == event] or counts
+    label = trusted_label((r.hour, r.events, r["last"]) for r in own)
+    return None if label is None else F.timestamp_seconds(F.lit(label))
+
+
 def fold(spark: SparkSession, path: str, upto: int) -> None:
     """Merge all rows of batches up to `upto` into one set of folders, so that their number stays.
 
@@ -107,7 +133,7 @@ def high_water(spark: SparkSession, path: str, before_batch: int) -> Column:
     Without views, any event's labels count.
     """
     for event in ("view", "*"):
-        for day in reversed(stored_dates(spark, path, event)):
+        for day in reversed(delta_dates(spark, path, event)):
             rows = (
                 spark.read.schema(DELTA)
                 .option("basePath", path)
@@ -267,16 +293,20 @@ def run_ingest(
     return writer.trigger(**trigger).start()
 
 
-def trim(spark: SparkSession, path: str, hours: int = 24) -> None:
+def trim(spark: SparkSession, path: str, hours: int = 24, now: Column | None = None) -> None:
     """Delete the dates of a delta table that lie wholly before its clock minus `hours`.
 
-    The views counted on them are forgotten too: one that is repeated later counts again.
+    The clock is the newest view label that other views support (see trusted_label), so a few events
+    of a wrong date delete nothing. The views counted on deleted dates are forgotten too: one that is
+    repeated later counts again.
     """
-    now = edge_label(spark, path, event="view")
-    if now is not None:
-        day = spark.range(1).select(F.to_date(retention_cutoff(now, hours)).alias("day")).first().day
-        drop_dates(spark, path, day)
-        for folder in workspace.matching(spark, f"{path}/{_VIEWS}/view_date=*"):
+    if now is None:
+        now = delta_clock(spark, path)
+    if now is None:
+        return
+    day = spark.range(1).select(F.to_date(retention_cutoff(now, hours)).alias("day")).first().day
+    for place in (f"{path}/event_type=*/dim=*/bucket_date=*", f"{path}/{_VIEWS}/view_date=*"):
+        for folder in workspace.matching(spark, place):
             if date.fromisoformat(folder.rsplit("=", 1)[1]) < day:
                 workspace.remove(spark, folder)
 

@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -36,19 +37,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
-def finished(spark: SparkSession, path: str) -> bool:
-    """True if a Spark write to `path` was committed."""
-    return exists(spark, f"{path}/_SUCCESS")
-
-
-def mark_published(spark: SparkSession, stage: str) -> None:
-    """Note that the rows staged in `stage` have reached their table."""
-    system, target = _file_system(spark, f"{stage}/_PUBLISHED")
-    system.create(target, True).close()
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    system, target = _file_system(spark, path)
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
-def published(spark: SparkSession, stage: str) -> bool:
-    return exists(spark, f"{stage}/_PUBLISHED")
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file with its whole content at once; False if there is one already."""
+    system, target = _file_system(spark, path)
+    _, draft = _file_system(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = system.create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    files = spark._jvm.org.apache.hadoop.fs
+    whole = system.makeQualified(target)
+    context = files.FileContext.getFileContext(whole.toUri(), spark._jsc.hadoopConfiguration())
+    never_replace = spark.sparkContext._gateway.new_array(files.Options.Rename, 1)
+    never_replace[0] = files.Options.Rename.NONE
+    try:
+        context.rename(system.makeQualified(draft), whole, never_replace)
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
 
 
 def remove(spark: SparkSession, path: str) -> bool:
