@@ -5,10 +5,11 @@ and late files are written alike and a reader merges them. A batch owns the part
 with its batch_id: running it again replaces them and counts nothing twice.
 
 Repeated views count once over all batches, the earliest, in whatever order and batches their files
-come: the views counted so far are kept beside the deltas. A batch that brings an earlier view of a
-counted pair adds that one and takes the other back, as a row with negative sums.
+come: the stream keeps the first view of every pair as state. A batch that brings an earlier view of
+a counted pair adds that one and takes the other back, as a row with negative sums.
 """
 
+from contextlib import nullcontext
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,7 @@ from tierline.functions import measures, timegrid
 from tierline.functions.clean import valid
 from tierline.operators.backlog import with_bucket_date
 from tierline.operators.clock import trusted_label
-from tierline.operators.events import first_views, flag_late, split_events, view_order
+from tierline.operators.events import first_views, flag_late, split_events
 from tierline.operators.metrics import minute_metrics
 from tierline.operators.tiers import read_clock, retention_cutoff
 from tierline.schema import (
@@ -33,6 +34,8 @@ from tierline.schema import (
     TIER_COLUMNS,
     TIER_KEYS,
 )
+from tierline.streaming.first_views import first_view_changes
+from tierline.streaming.windows import large_state
 from tierline.workspace import check_utc
 
 DELTA = StructType(
@@ -44,9 +47,7 @@ DELTA = StructType(
     ]
 )
 # Below the delta table; readers of a table skip names that begin so.
-_VIEWS = "_views"
 _FOLDS = "_folds"
-PAIR = ("user_session", "product_id")
 
 
 def _valid(spark: SparkSession, path: str) -> Column:
@@ -159,46 +160,6 @@ def _write_deltas(metrics: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
-def _counted_views(views: DataFrame, batch_id: int, path: str) -> tuple[DataFrame, DataFrame]:
-    """Views that this batch counts, and those counted before that it takes back.
-
-    The earliest view of a pair so far is looked up in the kept ones. What the batch counts is kept
-    too, under its id, before anything is read from there; a repeated batch replaces its own.
-    """
-    spark = views.sparkSession
-    place = f"{path}/{_VIEWS}"
-    order = view_order(views)
-    own = first_views(views)
-    fields = own.columns
-    schema = StructType([*own.schema.fields, StructField("batch_id", LongType())])
-    if workspace.exists(spark, place):
-        before = spark.read.schema(schema).parquet(place).where(F.col("batch_id") < batch_id)
-    else:
-        before = spark.createDataFrame([], schema)
-    rank = F.struct(*[F.col(name) for name in [*order, *[f for f in fields if f not in order]]])
-    kept = before.groupBy(*[F.col(name).alias(f"_{name}") for name in PAIR]).agg(
-        F.min(rank).alias("before")
-    )
-    same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in PAIR]
-    found = own.join(kept, same[0] & same[1], "left")
-    earlier = F.struct(*order) < F.struct(*[F.col(f"before.{name}") for name in order])
-    counted = found.where(F.col("before").isNull() | earlier).select(
-        *fields, "before", F.lit(batch_id).cast("bigint").alias("batch_id")
-    )
-    (
-        counted.drop("before")
-        .withColumn("view_date", F.to_date("event_time"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("view_date", "batch_id")
-        .parquet(place)
-    )
-    taken_back = counted.where(F.col("before").isNotNull()).select(
-        *[F.col(f"before.{name}").alias(name) for name in fields if name != "is_late"], "is_late"
-    )
-    return counted.select(*fields), taken_back.select(*fields)
-
-
 def write_batch(
     events: DataFrame,
     batch_id: int,
@@ -210,38 +171,30 @@ def write_batch(
 ) -> None:
     """Flag, aggregate and store one micro-batch, and its share of the hours if asked.
 
+    Events with a `sign` are those that a batch counts or takes back, see first_view_changes();
+    others are counted, repeated views once within the batch if `deduplicate`.
+
     The hours of a batch are the roll-up of its own minutes, so a late file corrects them
     just as it corrects the minutes.
     """
     spark = events.sparkSession
-    options = dict(
-        event_types=event_types,
-        deduplicate=False,
-        scope=("is_late",),
-        count_rows=True,
-        **metric_options,
-    )
-    flagged = flag_late(events, high_water(spark, path, batch_id))
-    if deduplicate and "view" in event_types:
-        chosen = split_events(valid(flagged), event_types)
-        view = F.col("event_type") == "view"
-        counted, taken_back = _counted_views(chosen.where(view), batch_id, path)
-        added = minute_metrics(counted.unionByName(chosen.where(~view)), **options)
-        removed = minute_metrics(taken_back, **options).withColumns(
-            {name: -F.col(name) for name in ("price_sum", "event_count", "event_rows")}
+    options = dict(event_types=event_types, deduplicate=False, count_rows=True, **metric_options)
+    clock = high_water(spark, path, batch_id)
+    if "sign" in events.columns:
+        # The batch is read once: its state would be computed by every plan that names it.
+        timed = flag_late(events.withColumn("file_time", F.col("cause_time")), clock)
+        signed = minute_metrics(timed, scope=("is_late", "sign"), **options).withColumns(
+            {n: F.col(n) * F.col("sign") for n in ("event_count", "event_rows")}
+            | {"price_sum": F.when(F.col("sign") < 0, -F.col("price_sum")).otherwise(F.col("price_sum"))}
         )
-        keys = [*TIER_KEYS, "is_late"]
-        metrics = (
-            added.unionByName(removed)
-            .groupBy(*keys)
-            .agg(
-                measures.merged_total(),
-                measures.merged_count(),
-                F.sum("event_rows").alias("event_rows"),
-            )
+        metrics = signed.groupBy(*TIER_KEYS, "is_late").agg(
+            measures.merged_total(), measures.merged_count(), F.sum("event_rows").alias("event_rows")
         )
     else:
-        metrics = minute_metrics(flagged, **options)
+        chosen = split_events(valid(events), event_types)
+        if deduplicate:
+            chosen = first_views(chosen)
+        metrics = minute_metrics(flag_late(chosen, clock), scope=("is_late",), **options)
     _write_deltas(metrics, batch_id, path)
     if hour_path:
         own = read_deltas(spark, path).where(F.col("batch_id") == batch_id)
@@ -266,15 +219,17 @@ def run_ingest(
     dimensions=DIMENSIONS,
     deduplicate: bool = True,
     fold_every: int | None = None,
+    remember_hours: int = 48,
 ) -> StreamingQuery:
     """Start ingesting an event stream that has a `file_time` column.
 
     `every` is a processing interval such as "60 seconds"; without it the query handles
     all files present and stops. With `deduplicate` the result does not depend on how files are
-    dealt out to batches: each batch joins its views with those counted before, which `trim` forgets
-    with their dates. `fold_every` batches, all but the newest are folded, see fold().
+    dealt out to batches: the first view of each pair is kept as state, and forgotten when it has
+    not changed for `remember_hours`. `fold_every` batches, all but the newest are folded, see fold().
     """
-    check_utc(events.sparkSession)
+    spark = events.sparkSession
+    check_utc(spark)
     options = dict(
         hour_path=hour_path,
         event_types=event_types,
@@ -288,27 +243,36 @@ def run_ingest(
             for place in filter(None, (path, hour_path)):
                 fold(batch.sparkSession, place, batch_id - 1)
 
+    stateful = deduplicate and "view" in event_types
+    if stateful:
+        chosen = split_events(valid(events), event_types)
+        view = F.col("event_type") == "view"
+        others = chosen.where(~view).withColumns(
+            {"sign": F.lit(1).cast("long"), "cause_time": F.col("file_time")}
+        )
+        events = first_view_changes(chosen.where(view), remember_hours).unionByName(others)
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    # A store with time limits would ask for batches without data for ever.
+    own = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    with large_state(spark, **own) if stateful else nullcontext():
+        return writer.trigger(**trigger).start()
 
 
 def trim(spark: SparkSession, path: str, hours: int = 24, now: Column | None = None) -> None:
     """Delete the dates of a delta table that lie wholly before its clock minus `hours`.
 
     The clock is the newest view label that other views support (see trusted_label), so a few events
-    of a wrong date delete nothing. The views counted on deleted dates are forgotten too: one that is
-    repeated later counts again.
+    of a wrong date delete nothing.
     """
     if now is None:
         now = delta_clock(spark, path)
     if now is None:
         return
     day = spark.range(1).select(F.to_date(retention_cutoff(now, hours)).alias("day")).first().day
-    for place in (f"{path}/event_type=*/dim=*/bucket_date=*", f"{path}/{_VIEWS}/view_date=*"):
-        for folder in workspace.matching(spark, place):
-            if date.fromisoformat(folder.rsplit("=", 1)[1]) < day:
-                workspace.remove(spark, folder)
+    for folder in workspace.matching(spark, f"{path}/event_type=*/dim=*/bucket_date=*"):
+        if date.fromisoformat(folder.rsplit("=", 1)[1]) < day:
+            workspace.remove(spark, folder)
 
 
 def late_deltas(spark: SparkSession, path: str, after_batch: int = -1) -> DataFrame:

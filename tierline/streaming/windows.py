@@ -18,10 +18,11 @@ LARGE_STATE = {
 
 
 @contextmanager
-def large_state(spark: SparkSession):
+def large_state(spark: SparkSession, **more: str):
     """Queries started inside keep these settings; the session gets its own back."""
-    before = {key: spark.conf.get(key, None) for key in LARGE_STATE}
-    for key, value in LARGE_STATE.items():
+    settings = LARGE_STATE | more
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield
