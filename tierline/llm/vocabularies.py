@@ -1,11 +1,12 @@
 """Tokenizers of the tokenizers library, loaded once a Python worker."""
 
 import hashlib
+import json
 import os
-from functools import lru_cache
+from functools import lru_cache, partial
 from pathlib import Path
 
-from tierline.llm.chunk_codes import ChunkCodes
+from tierline.llm.chunk_codes import ChunkCodes, cuts, finer_cuts
 
 
 def path_of(name: str) -> str:
@@ -24,6 +25,17 @@ def version_digest(path: str) -> str:
     ).hexdigest()
 
 
+def _way_to_cut(path: str):
+    """Byte-level tokenizers with their usual split into runs allow finer cuts than at spaces."""
+    content = json.loads(Path(path).read_bytes())
+    split = content.get("pre_tokenizer") or {}
+    usual = split.get("type") == "ByteLevel" and split.get("use_regex", True)
+    if not usual or split.get("add_prefix_space") or content.get("normalizer"):
+        return cuts
+    joined = "".join(token["content"] for token in content.get("added_tokens", []))
+    return partial(finer_cuts, joined=joined.encode())
+
+
 @lru_cache(maxsize=4)
 def chunk_codes(path: str) -> ChunkCodes:
     """Encodes without added special tokens, truncation or padding.
@@ -39,5 +51,6 @@ def chunk_codes(path: str) -> ChunkCodes:
     return ChunkCodes(
         lambda chunks: [
             row.ids for row in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        ]
+        ],
+        cut=_way_to_cut(path),
     )
