@@ -144,6 +144,43 @@ def test_pieces_equal_the_original_library(spark, documents, texts):
     assert [r.decoded for r in sentence_pieces.decode(odd).collect()] == ["", "", "a"]
 
 
+def test_round_trips_in_one_pass(spark, documents, texts):
+    rows = [*enumerate(texts), (None, "no id"), (3, "again"), (3, "again"), (998, "▁a ▁"), (999, "long te\x00xt " * 9000)]
+    encoded = sentence_pieces.decode(sentence_pieces.encode(documents(*rows))).collect()
+    found = sentence_pieces.round_trips(documents(*rows))
+    assert found.columns == ["doc_id", "ids", "parity", "round_trip"]
+    expected = [(r.doc_id, r.ids, r.parity, r.decoded == r.text.replace("▁", " ")) for r in encoded]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
+    assert sentence_pieces.round_trips(documents((1, "a")).limit(0)).collect() == []
+
+
+def test_chunks_that_differ_are_told_by_their_texts():
+    """Ids that the original library does not give, and texts whose chunks alone differ."""
+    codec = sentence_pieces.Codec(path_of("piece_bpe_32k.model"), 1)
+
+    class Other:
+        def encode(self, texts, num_threads=1):
+            whole = codec.tokenizer.encode_batch_fast([texts] if isinstance(texts, str) else texts, add_special_tokens=False)
+            rows = [[7] if t in ("b", "a b") else e.ids for t, e in zip([texts] if isinstance(texts, str) else texts, whole, strict=True)]
+            return rows[0] if isinstance(texts, str) else rows
+
+    codec._original = Other()
+    assert codec.encode(pa.array(["a", "a b", "c b", "b", None]))[2] == [True, False, True, False, True]
+
+
+@pytest.mark.parametrize("joined", [b"", b"<|endoftext|>"])
+def test_finer_cuts_are_cuts_too(joined):
+    from tierline.llm.chunk_codes import cuts, finer_cuts
+    from tierline.llm.columns import utf8
+
+    data, starts = utf8(pa.array(["ab, c.\nThe ×, é!", None, "\nx", "a", "\nb\n\nc<|endoftext|>d"]))
+    first = finer_cuts(data, starts, joined)
+    assert set(cuts(data, starts)) <= set(first)
+    pieces = [data[a:b].tobytes().decode() for a, b in zip(first, [*first[1:], len(data)], strict=True)]
+    special = ["c<|endoftext|>d"] if joined else ["c", "<|endoftext", "|>d"]
+    assert pieces == ["ab", ",", " c", ".", "\n", "The", " ×,", " é", "!", "\nx", "a", "\nb", "\n\n" + special[0], *special[1:]]
+
+
 def proto(kind, pieces, **options):
     from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -177,7 +214,7 @@ def test_unigram_scores_and_byte_fallback(tmp_path, extra):
     assert all(equal)
     rows = [ids[a:b].tolist() for a, b in zip(starts, starts[1:], strict=False)]
     assert rows == [codec._original.encode(t) for t in texts]
-    surfaces = sp.Surfaces(path.read_bytes())
+    surfaces = sp.Decoder(str(path))
     assert surfaces.texts(ids, starts) == [codec._original.decode(r) for r in rows]
     assert surfaces.texts(ids, starts) == codec.tokenizer.decode_batch(rows)
     assert extra or surfaces.texts(ids, starts) == texts

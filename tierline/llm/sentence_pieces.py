@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.llm.byte_words import steps
 from tierline.llm.chunk_codes import ChunkCodes
 from tierline.llm.columns import spread
 from tierline.llm.vocabularies import path_of
@@ -99,6 +100,30 @@ def splits_at_spaces(proto) -> bool:
     )
 
 
+#: Chunks, and runs of ids, that a worker remembers.
+REMEMBERED = 250_000
+
+
+class _CheckedCodes(ChunkCodes):
+    """Remembers of each chunk too whether the original library gives the same ids."""
+
+    def _forget(self) -> None:
+        super()._forget()
+        self.equal = np.ones(1 << 12, bool)
+
+    def _learn(self, chunks: list[str]) -> None:
+        count = len(self._known)
+        super()._learn(chunks)
+        while len(self.equal) < len(self._known):
+            self.equal = np.concatenate([self.equal, np.ones_like(self.equal)])
+        self.equal[count : len(self._known)] = self.last_equal
+
+    def all_equal(self, texts: pa.Array) -> np.ndarray:
+        """Whether all chunks of a text have equal ids."""
+        codes, places = self._chunked(texts)
+        return np.diff(np.append(0, np.cumsum(~self.equal[codes]))[places]) == 0
+
+
 class Codec:
     """Encodes batches with several threads, checked against the original library."""
 
@@ -112,8 +137,8 @@ class Codec:
             self.tokenizer, proto = rebuild(file.read())
         self._original = sentencepiece.SentencePieceProcessor(model_file=path)
         self._threads, self._prefix = threads, proto.normalizer_spec.add_dummy_prefix
-        self._chunks = ChunkCodes(self._encode_chunks) if splits_at_spaces(proto) else None
-        self.differ: set[bytes] = set()
+        whole = not splits_at_spaces(proto)
+        self._chunks = None if whole else _CheckedCodes(self._encode_chunks, REMEMBERED)
 
     def _checked(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
         rows = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -123,12 +148,11 @@ class Codec:
     def _encode_chunks(self, chunks: list[str]) -> list[list[int]]:
         # A chunk that begins with a space gets its mark as the prefix that every text gets.
         texts = [c[1:] if self._prefix and c[:1] == " " else c for c in chunks]
-        rows, equal = self._checked(texts)
-        for n, (chunk, text) in enumerate(zip(chunks, texts, strict=True)):
-            if chunk == " " and self._prefix:  # the library gives an empty text no prefix
-                rows[n] = [self.tokenizer.token_to_id(MARK)]
-            if not equal[n]:
-                self.differ.add(chunk.encode())
+        rows, self._chunks.last_equal = self._checked(texts)
+        if self._prefix:  # the library gives an empty text no prefix
+            for n, chunk in enumerate(chunks):
+                if chunk == " ":
+                    rows[n] = [self.tokenizer.token_to_id(MARK)]
         return rows
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bool]]:
@@ -139,53 +163,79 @@ class Codec:
             return np.array([i for row in rows for i in row], np.int32), starts, equal
         # The prefix of a text that begins with a space is a space more; see _encode_chunks.
         more = pc.starts_with(texts, " ") if self._prefix else pa.scalar(False)
-        ids, starts = self._chunks.ids(
-            pc.if_else(more, pc.binary_join_element_wise(" ", texts, ""), texts)
-        )
+        cut = pc.if_else(more, pc.binary_join_element_wise(" ", texts, ""), texts)
+        ids, starts = self._chunks.ids(cut)
         equal = [True] * len(texts)
-        if self.differ:  # the chunks of a text with such a chunk do not tell; the text does
-            for n, text in enumerate(texts.to_pylist()):
-                if text and any(chunk in text.encode() for chunk in self.differ):
-                    own = ids[starts[n] : starts[n + 1]].tolist()
-                    equal[n] = own == self._original.encode(text)
+        if not self._chunks.equal.all():
+            # A chunk that differs does not tell of its text; the text does.
+            for n in np.flatnonzero(~self._chunks.all_equal(cut)).tolist():
+                own = ids[starts[n] : starts[n + 1]].tolist()
+                equal[n] = own == self._original.encode(texts[n].as_py() or "")
         return ids.astype(np.int32), starts, equal
 
 
-class Surfaces:
-    """The bytes that each id stands for."""
-
-    def __init__(self, model: bytes) -> None:
-        from sentencepiece import sentencepiece_model_pb2
-
-        proto = sentencepiece_model_pb2.ModelProto.FromString(model)
-        found = []
-        for p in proto.pieces:
-            if p.type == BYTE:
-                found.append(bytes([int(p.piece[1:-1], 16)]))
-            elif p.type in (CONTROL, UNKNOWN):
-                found.append(proto.trainer_spec.unk_surface.encode() * (p.type == UNKNOWN))
-            else:
-                found.append(p.piece.replace(MARK, " ").encode())
-        self._lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self._starts = np.cumsum(self._lengths) - self._lengths
-        self._bytes = np.frombuffer(b"".join(found), np.uint8)
+class Decoder:
+    """Decodes batches with the rebuilt tokenizer: each distinct run of ids from mark to mark once."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, "rb") as file:
+            self._tokenizer, proto = rebuild(file.read())
         self._prefix = proto.normalizer_spec.add_dummy_prefix
+        self._marked = np.array([p.piece.startswith(MARK) for p in proto.pieces])
+        # These stand alone: control pieces have no text, the unknown piece has the model's.
+        unknown = proto.trainer_spec.unk_surface.encode()
+        self._apart = {
+            n: unknown * (p.type == UNKNOWN)
+            for n, p in enumerate(proto.pieces)
+            if p.type in (CONTROL, UNKNOWN)
+        }
+        self._known: dict[bytes, bytes] = {}
+        self._held = 0
+
+    def _texts(self, runs: list[bytes]) -> list[bytes]:
+        if len(self._known) > REMEMBERED or self._held > 64 * REMEMBERED:
+            self._known, self._held = {}, 0
+        new = [run for run in runs if run not in self._known]
+        rows = [np.frombuffer(run, np.int32).tolist() for run in new]
+        for run, row, text in zip(
+            new, rows, self._tokenizer.decode_batch(rows, skip_special_tokens=False), strict=True
+        ):
+            # The decoder takes a text's first space for the prefix; a run's is a space.
+            space = self._prefix and row and self._marked[row[0]]
+            self._known[run] = (" " * bool(space) + text).encode()
+            if len(row) == 1 and row[0] in self._apart:
+                self._known[run] = self._apart[row[0]]
+            self._held += len(run) + len(text)
+        return [self._known[run] for run in runs]
 
     def texts(self, ids: np.ndarray, starts: np.ndarray) -> list[str]:
         """The text of each row of ids; the mark that encoding puts first is taken off."""
-        lengths = self._lengths[ids]
-        data = self._bytes[spread(self._starts[ids], lengths)].tobytes()
-        places = np.append(0, np.cumsum(lengths))[starts].tolist()
-        rows = [data[a:b] for a, b in zip(places, places[1:], strict=False)]
+        ids = np.ascontiguousarray(ids, np.int32)
+        apart = np.isin(ids, list(self._apart))
+        first = self._marked[ids] | apart
+        first[1:] |= apart[:-1]
+        first[starts[:-1][np.diff(starts) > 0]] = True
+        first = np.flatnonzero(first)
+        bounds = np.append(first, len(ids)) * 4
+        runs = pa.Array.from_buffers(
+            pa.large_binary(), len(first), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)]
+        ).dictionary_encode()
+        pieces = self._texts(runs.dictionary.to_pylist())
+        numbers = runs.indices.to_numpy()
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        begins = np.cumsum(lengths) - lengths
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        whole = data[spread(begins[numbers], lengths[numbers])].tobytes()
+        places = np.append(0, np.cumsum(lengths[numbers]))[np.searchsorted(first, starts)].tolist()
+        rows = [whole[a:b] for a, b in zip(places, places[1:], strict=False)]
         if self._prefix:
             rows = [row.removeprefix(b" ") for row in rows]
-        return [row.decode("utf-8", "replace") for row in rows]
+        return [row.decode() for row in rows]
 
 
 @lru_cache(maxsize=2)
-def surfaces(path: str) -> Surfaces:
-    with open(path, "rb") as file:
-        return Surfaces(file.read())
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 @lru_cache(maxsize=2)
@@ -240,14 +290,14 @@ def encode(
 def decode(encoded: DataFrame, model: str | None = None, ids_col: str = "ids") -> DataFrame:
     """All columns, and `decoded`: the text of the ids. Null or no ids give an empty text.
 
-    Control pieces have no text, bytes that are no UTF-8 become U+FFFD, and a column named `decoded`
-    is replaced.
+    The rebuilt tokenizer decodes: bytes that are no UTF-8 become U+FFFD. Control pieces have no
+    text. A column named `decoded` is replaced.
     """
     path = model or path_of(DEFAULT_MODEL)
     rest = encoded.drop("decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = surfaces(path)
+        own = decoder(path)
         for batch in batches:
             lists = batch.column(ids_col)
             ids = lists.flatten().to_numpy(zero_copy_only=False)
@@ -262,3 +312,46 @@ def decode(encoded: DataFrame, model: str | None = None, ids_col: str = "ids") -
         + [T.StructField("decoded", T.StringType())]
     )
     return rest.mapInArrow(run, schema)
+
+
+def round_trips(
+    documents: DataFrame,
+    model: str | None = None,
+    threads: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """encode() and decode() of every text in one pass: `doc_id, ids, parity, round_trip`.
+
+    `round_trip` tells that the ids give the text again, but for the mark, which becomes a space. One
+    worker does both, a few megabytes of text at a time; texts do not leave it. Nulls, empty tables,
+    repeated rows and other columns are as in encode(); a very long text is a step of its own.
+    """
+    path = model or path_of(DEFAULT_MODEL)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forth, back = codec(path, threads), decoder(path)
+        for batch in batches:
+            for part in steps(batch):
+                texts = part.column("text")
+                ids, starts, equal = forth.encode(texts)
+                again = back.texts(ids, starts)
+                same = [a == b.replace(MARK, " ") for a, b in zip(again, texts.to_pylist(), strict=True)]
+                lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), lists, pa.array(equal, pa.bool_()), pa.array(same, pa.bool_())],
+                    names=["doc_id", "ids", "parity", "round_trip"],
+                )
+
+    chosen = documents.select(
+        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    )
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", chosen.schema["doc_id"].dataType),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("parity", T.BooleanType()),
+            T.StructField("round_trip", T.BooleanType()),
+        ]
+    )
+    return chosen.mapInArrow(run, schema)
