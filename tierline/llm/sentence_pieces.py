@@ -101,7 +101,7 @@ def splits_at_spaces(proto) -> bool:
 
 
 #: Chunks, and runs of ids, that a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 600_000
 
 
 class _CheckedCodes(ChunkCodes):
@@ -184,34 +184,36 @@ class Decoder:
         self._marked = np.array([p.piece.startswith(MARK) for p in proto.pieces])
         # These stand alone: control pieces have no text, the unknown piece has the model's.
         unknown = proto.trainer_spec.unk_surface.encode()
-        self._apart = {
-            n: unknown * (p.type == UNKNOWN)
-            for n, p in enumerate(proto.pieces)
-            if p.type in (CONTROL, UNKNOWN)
+        apart = {n: p for n, p in enumerate(proto.pieces) if p.type in (CONTROL, UNKNOWN)}
+        self._apart = list(apart)
+        self._silent = {
+            np.int32(n).tobytes(): unknown * (p.type == UNKNOWN) for n, p in apart.items()
         }
-        self._known: dict[bytes, bytes] = {}
+        self._known = dict(self._silent)
         self._held = 0
 
     def _texts(self, runs: list[bytes]) -> list[bytes]:
         if len(self._known) > REMEMBERED or self._held > 64 * REMEMBERED:
-            self._known, self._held = {}, 0
+            self._known, self._held = dict(self._silent), 0
         new = [run for run in runs if run not in self._known]
-        rows = [np.frombuffer(run, np.int32).tolist() for run in new]
-        for run, row, text in zip(
-            new, rows, self._tokenizer.decode_batch(rows, skip_special_tokens=False), strict=True
-        ):
+        flat = np.frombuffer(b"".join(new), np.int32)
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new))) // 4
+        starts = np.append(0, ends)[:-1]
+        ids = flat.tolist()
+        rows = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        texts = self._tokenizer.decode_batch(rows, skip_special_tokens=False)
+        if self._prefix:
             # The decoder takes a text's first space for the prefix; a run's is a space.
-            space = self._prefix and row and self._marked[row[0]]
-            self._known[run] = (" " * bool(space) + text).encode()
-            if len(row) == 1 and row[0] in self._apart:
-                self._known[run] = self._apart[row[0]]
-            self._held += len(run) + len(text)
+            spaces = self._marked[flat[starts]].tolist()
+            texts = [" " + text if space else text for text, space in zip(texts, spaces, strict=True)]
+        self._known.update(zip(new, map(str.encode, texts), strict=True))
+        self._held += 4 * len(flat) + sum(map(len, texts))
         return [self._known[run] for run in runs]
 
     def texts(self, ids: np.ndarray, starts: np.ndarray) -> list[str]:
         """The text of each row of ids; the mark that encoding puts first is taken off."""
         ids = np.ascontiguousarray(ids, np.int32)
-        apart = np.isin(ids, list(self._apart))
+        apart = np.isin(ids, self._apart)
         first = self._marked[ids] | apart
         first[1:] |= apart[:-1]
         first[starts[:-1][np.diff(starts) > 0]] = True
