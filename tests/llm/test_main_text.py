@@ -2,6 +2,8 @@ import html
 import re
 import time
 
+import pytest
+
 from tierline.llm.main_text import extract, main_texts
 
 FOLDER = "/root/testdata/sf0.01"
@@ -52,6 +54,29 @@ def test_wrappers_are_kept():
     assert extract("<div class='cookie'><p>We use cookies, here.</p></div>") == ""
 
 
+@pytest.mark.parametrize("name", ["id=comments", "class=cookie-consent", "class='ad box'", "class=notice"])
+def test_comments_and_notices_never_win(name):
+    """However much longer they are than the article, before it, after it or inside it."""
+    post = "".join(f"<p>Paragraph {n} of the text, with its commas.</p>" for n in range(2))
+    other = f"<div {name}>" + "".join(f"<p>I say, number {n}, that this, too, is long.</p>" for n in range(30)) + "</div>"
+    text = "Paragraph 0 of the text, with its commas.\nParagraph 1 of the text, with its commas."
+    assert extract(f"<body><div class=post>{post}</div>{other}") == text
+    assert extract(f"<body>{other}<div>{post}</div>") == text
+    assert extract(f"<body><article>{post}</article>{other}") == text
+    assert extract(f"<body>{other}<main>{post}</main>") == text
+    assert extract(f"<body><article>{post}{other}</article>") == text
+    # Mirror images: the article in an element with such a name, and nothing but such an element.
+    assert extract(f"<body><div {name}><article>{post}</article></div><p>More.") == text
+    assert extract(f"<body><div {name}>{post * 4}</div>").startswith(text)
+
+
+def test_comments_in_articles_of_their_own():
+    post = f"<article class=post><p>{BODY}</p></article>"
+    replies = "".join(f"<article class='comment-body'><p>{BODY}</p><p>{n}</p></article>" for n in range(9))
+    page = f"<body>{post}<div id=comments>{replies}</div>"
+    assert extract(page) == " ".join(BODY.split())
+
+
 def test_odd_markup():
     assert extract("") == "" and extract("   ") == "" and extract("<nav>x</nav>") == ""
     assert extract("plain text &amp more") == "plain text & more"

@@ -56,10 +56,19 @@ ASIDE = frozenset(
     " share sharing social follow"
     " comment comments commentlist disqus replies respond discussion reactions".split()
 )
+# Those of them that name what others have added, or what covers the page: never its article.
+FOREIGN = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense adbox adunit sponsor sponsored"
+    " promo promos promotion promoted outbrain taboola cookie cookies consent gdpr notice notices"
+    " notification alert popup modal overlay comment comments commentlist disqus replies respond"
+    " discussion reactions".split()
+)
 ARTICLE = frozenset("article post entry story content main".split())
 TRUNKS = frozenset("html body main article".split())
 #: Characters of unlinked text that a suspect element without article has if it is not dropped.
 LEAST_TEXT = 200
+#: Characters of unlinked text outside an element that count as none.
+NOTHING = 25
 
 #: Elements nested deeper become siblings, as in browsers.
 DEEPEST = 512
@@ -84,6 +93,7 @@ class Tree:
     def __init__(self, html: str) -> None:
         self.tag, self.parent, self.dropped = ["html"], [-1], [False]
         self.suspect: dict[int, bool] = {}  # by form, class or id; True if others hint at text
+        self.foreign: set[int] = set()  # named as comments, notices or adverts
         self.runs: list[tuple[int, str | None]] = []  # element and text; None ends a block
         self._open = [0]
         at, size = 0, len(html)
@@ -169,24 +179,31 @@ class Tree:
                     return True
             else:
                 words.update(word.lower() for word in WORD.findall(value))
+        own = len(self.tag) - 1
+        if words & FOREIGN and not words & ARTICLE:
+            self.foreign.add(own)
         if name in TRUNKS:
             return False
         if words & ASIDE or ("header" in words and not words & ARTICLE):
-            self.suspect[len(self.tag) - 1] = name == "form" or bool(words & ARTICLE)
+            self.suspect[own] = name == "form" or bool(words & ARTICLE)
         return False
 
     def settle(self, link: list[bool]) -> None:
         """Drop suspect elements, unless they wrap the page's text.
 
-        That is so if more than half of what lies in article and main elements is theirs, or four
-        fifths of all unlinked text, for forms and with a word for articles half of it.
+        On a page with text in article and main elements that is so if more than half of it is theirs.
+        On others it takes four fifths of all unlinked text, for forms and with a word for articles
+        half of it. Comments, notices and adverts that no article lies in are the page's text only if
+        there is nothing else.
         """
         if not self.suspect:
             return
         count = len(self.tag)
-        trunk = [False] * count
+        # Sites put each comment into an article element of its own: those are none.
+        whole = [tag in ("article", "main") and n not in self.foreign for n, tag in enumerate(self.tag)]
+        trunk, holds = whole[:], whole[:]
         for n in range(1, count):
-            trunk[n] = self.tag[n] in ("article", "main") or trunk[self.parent[n]]
+            trunk[n] = trunk[n] or trunk[self.parent[n]]
         plain, within = [0] * count, [0] * count
         for n, text in self.runs:
             if text and not self.dropped[n] and not link[n]:
@@ -196,10 +213,15 @@ class Tree:
         for n in range(count - 1, 0, -1):
             plain[self.parent[n]] += plain[n]
             within[self.parent[n]] += within[n]
+            holds[self.parent[n]] = holds[self.parent[n]] or holds[n]
         for n in range(1, count):
             if n in self.suspect and not self.dropped[n]:
-                share = 0.5 if self.suspect[n] else 0.8
-                wraps = 2 * within[n] > within[0] or plain[n] > share * plain[0]
+                if n in self.foreign and not holds[n]:
+                    wraps = plain[0] - plain[n] < NOTHING
+                elif within[0]:
+                    wraps = 2 * within[n] > within[0]
+                else:
+                    wraps = plain[n] > (0.5 if self.suspect[n] else 0.8) * plain[0]
                 small = plain[n] < LEAST_TEXT and not (within[n] and 2 * plain[n] > plain[0])
                 self.dropped[n] = small or not wraps
             self.dropped[n] = self.dropped[n] or self.dropped[self.parent[n]]
