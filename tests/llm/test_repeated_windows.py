@@ -121,3 +121,18 @@ def test_text_loses_half_characters(documents):
     found = rw.remove_repeated(documents(*rows), content="text", carry=True)
     assert {r.doc_id: r.kept for r in found.collect()} == {1: "é" + letters, 2: "xü"}
     assert found.first().row.lang == "x"
+
+
+def test_columns_named_like_those_of_the_joins(spark):
+    from pyspark.sql import functions as F
+
+    text = "a passage that is long enough to be found again in another document of this small table, and then some more"
+    rows = spark.createDataFrame([(1, text), (2, text + "!"), (2, "x")], "doc_id bigint, text string")
+    names = ["twice", "doc", "digest", "hashed", "row", "first", "node", "root", "mark", "key", "kept"]
+    more = rows.withColumns({name: F.lit("own") for name in names})
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    found = [
+        sorted(map(tuple, rw.remove_repeated(frame, content=None).select(*columns).collect()))
+        for frame in (rows, more)
+    ]
+    assert found[0] == found[1] and any(row[2] for row in found[0])

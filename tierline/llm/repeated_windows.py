@@ -64,8 +64,15 @@ def keyed(documents: DataFrame, id_col: str, text_col: str, folder: str) -> Data
     low = F.lit(-(1 << 62)) - hashed.bitwiseAND(F.lit((1 << 62) - 1))
     doc = F.coalesce(F.col(id_col).cast("long"), low)
     place = f"{folder}/ambiguous"
+    # From here on no name comes from the table.
+    named = documents.select(
+        doc.alias("doc"),
+        hashed.alias("hashed"),
+        body.alias("text"),
+        F.struct(*[F.col(f"`{n}`") for n in documents.columns if n != text_col]).alias("row"),
+    )
     (
-        documents.select(doc.alias("twice"), hashed.alias("hashed"))
+        named.select(F.col("doc").alias("twice"), "hashed")
         .groupBy("twice")
         .agg(F.min("hashed").alias("least"), F.max("hashed").alias("most"))
         .where("least <> most")
@@ -73,12 +80,11 @@ def keyed(documents: DataFrame, id_col: str, text_col: str, folder: str) -> Data
         .write.parquet(place)
     )
     twice = spark.read.schema("twice bigint").parquet(place)
-    digest = F.when(F.col("twice").isNotNull(), hashed.bitwiseAND(F.lit((1 << 23) - 1)))
-    return documents.join(twice, doc == F.col("twice"), "left").select(
-        doc.alias("doc"),
-        F.coalesce(digest, F.lit(0).cast("long")).alias("digest"),
-        body.alias("text"),
-        F.struct(*[F.col(f"`{n}`") for n in documents.columns if n != text_col]).alias("row"),
+    digest = F.when(
+        F.col("twice").isNotNull(), F.col("hashed").bitwiseAND(F.lit((1 << 23) - 1))
+    )
+    return named.join(twice, F.col("doc") == F.col("twice"), "left").select(
+        "doc", F.coalesce(digest, F.lit(0).cast("long")).alias("digest"), "text", "row"
     )
 
 
