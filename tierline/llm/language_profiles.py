@@ -277,13 +277,18 @@ def recognised(documents: DataFrame, dimensions: int = 1024, seed: int = 7) -> D
     if less than half of its letters are of the scripts learned. A low score alone rejects nothing,
     as single words of a language learned have it too; so a text of another language in the same
     script stays, under the nearest language.
-    Learned from the labelled documents among them, so without labels nothing is recognised.
+    Learned from the labelled documents among them, so without labels, or a column `lang`, nothing is
+    recognised. Null and empty texts have no letters and go; a very long text is one vector like any
+    other; repeated rows are judged alike; an empty table stays empty; other columns are kept.
     """
+    given = documents.columns
+    if "lang" not in given:
+        documents = documents.withColumn("lang", F.lit(None).cast("string"))
     prototypes, scripts = learn(documents, dimensions, seed), learned_scripts(documents)
     found = predict(documents, prototypes, seed, carry=True, scripts=scripts)
     lang = F.coalesce("row.lang", "lang_pred").alias("lang")
     return found.where(F.col("lang_pred") != UNKNOWN).select(
-        *[lang if name == "lang" else F.col(f"row.`{name}`") for name in documents.columns]
+        *[lang if name == "lang" else F.col(f"row.`{name}`") for name in given]
     )
 
 
