@@ -8,6 +8,7 @@ from test_tiers import at
 
 from tierline.plans import jobs
 from tierline.sources import raw_csv
+from tierline.sources.tier_table import read_tier
 
 HEADER = ",event_time,event_type,product_id,category_id,category_code,brand,price,user_session\n"
 
@@ -53,6 +54,96 @@ def test_columns_go_by_their_names(spark, tmp_path):
         raw_csv.read_raw(spark, str(tmp_path / "short"))
 
 
+OTHER = "user_session,price,user_id,event_type,brand,category_code,category_id,product_id,event_time,row_idx\n"
+
+
+def mixed(landing):
+    """Two usable layouts, and files that cannot be used for several reasons; their names."""
+    put(landing, "2019-10-01-09-00-00-0.csv", line(1, "09:00:01"), line(2, "09:00:02", "purchase", 6))
+    (landing / "2019-10-01-09-01-00-1.csv").write_text(
+        "\n" + OTHER + "s2,2.50,u,purchase,acme,a.b,7,A6,2019-10-01 09:01:01,1\n"
+        "s1,9,u,view,,a.b,7,5,2019-10-01 09:01:02,2\n"  # the view of the first file again
+    )
+    put(landing, "2019-10-01-11-00-00-0.csv", line(1, "11:00:01", "purchase", 8))
+    bad = {
+        "2019-10-01-09-02-00-0.csv": "\n \n",
+        "2019-10-01-09-03-00-0.csv": ",event_time\n1,x\n",
+        "2019-10-01-09-04-00-0.csv": line(3, "09:04:00") + "\n" + OTHER,
+        "2019-10-01-09-05-00-0.csv": OTHER.replace("user_id", "Price") + "s,1,1,view,,,7,5,2019-10-01 09:05:01,1\n",
+        "2019-10-01-09-06-00-0.csv": HEADER.replace(",event_time", "event_time"),
+    }
+    for name, text in bad.items():
+        (landing / name).write_text(text)
+    whole = gzip.compress((HEADER + "".join(line(n, "09:07:00") + "\n" for n in range(20000))).encode())
+    (landing / "2019-10-01-09-07-00 0.csv.gz").write_bytes(whole[: len(whole) // 2])
+    return sorted([*bad, "2019-10-01-09-07-00 0.csv.gz"])
+
+
+def names(frame):
+    return sorted(row.path.rsplit("/", 1)[1].replace("%20", " ") for row in frame.collect())
+
+
+def test_a_batch_counts_files_of_several_layouts_and_sets_others_aside(spark, tmp_path, monkeypatch):
+    landing, places = tmp_path / "in", [str(tmp_path / n) for n in ("minutes", "hours", "rank", "ledger")]
+    bad = mixed(landing)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(raw_csv, "finish_run", dies)
+        with pytest.raises(RuntimeError):
+            jobs.run_batch(spark, str(landing), *places)
+    # The repeated run counts nothing twice; a file it had not taken, and a mended one, come after.
+    put(landing, "2019-10-01-11-01-00-0.csv", line(1, "11:01:01", "purchase", 8))
+    (landing / "2019-10-01-09-03-00-0.csv").write_text(HEADER + line(1, "09:03:01", "purchase", 9) + "\n")
+    assert jobs.run_batch(spark, str(landing), *places) == 5
+    assert jobs.run_batch(spark, str(landing), *places) == 0
+    assert names(raw_csv.files_set_aside(spark, places[3])) == bad
+    found = read_tier(spark, places[0]).where("dim = 'product_id'")
+    assert rows(found, "event_type", "dim_value", "bucket_end", "event_count") == [
+        ("purchase", "6", "2019-10-01 09:01:00", 1),
+        ("purchase", "8", "2019-10-01 11:01:00", 1),
+        ("purchase", "8", "2019-10-01 11:02:00", 1),
+        ("purchase", "9", "2019-10-01 09:04:00", 1),
+        ("purchase", "A6", "2019-10-01 09:02:00", 1),
+        ("view", "5", "2019-10-01 09:01:00", 1),
+    ]
+
+
+def test_a_vanished_file_holds_nothing_up(spark, tmp_path, monkeypatch):
+    landing, places = tmp_path / "in", [str(tmp_path / n) for n in ("minutes", "hours", "rank", "ledger")]
+    put(landing, "2019-10-01-09-00-00-0.csv", line(1, "09:00:01"))
+    put(landing, "2019-10-01-09-01-00-0.csv", line(1, "09:01:01", product=6))
+    note = raw_csv.claim
+
+    def then_vanishes(*args):
+        note(*args)
+        (landing / "2019-10-01-09-01-00-0.csv").unlink()
+
+    monkeypatch.setattr(raw_csv, "claim", then_vanishes)
+    assert jobs.run_batch(spark, str(landing), *places) == 1
+    assert rows(raw_csv.files_set_aside(spark, places[3]), "reason") == [("not there",)]
+    assert read_tier(spark, places[0]).where("dim = 'product_id'").count() == 1
+
+
+def test_an_archive_of_several_layouts(spark, tmp_path):
+    landing, target = tmp_path / "in", str(tmp_path / "archive")
+    bad = mixed(landing)
+    assert jobs.archive(spark, str(landing), target, remove_sources=True) == ["2019-10-01-09"]
+    assert sorted(os.listdir(landing)) == [*bad, "2019-10-01-11-00-00-0.csv"]
+    assert names(raw_csv.files_set_aside(spark, target)) == bad
+    text = raw_csv.read_archive_text(spark, target)
+    got = sorted((r.row_idx, r.product_id, r.price, r.user_id, r.block) for r in text.collect())
+    assert got == [
+        ("1", "5", "1.50", None, "2019-10-01-09"),
+        ("1", "A6", "2.50", "u", "2019-10-01-09"),
+        ("2", "5", "9", "u", "2019-10-01-09"),
+        ("2", "6", "1.50", None, "2019-10-01-09"),
+    ]
+    assert jobs.archive(spark, str(landing), target) == []
+
+
 def test_missing_folder_is_empty(spark, tmp_path):
     empty = raw_csv.read_raw(spark, str(tmp_path / "none"))
     assert empty.isEmpty() and "file_time" in empty.columns

@@ -227,7 +227,9 @@ def archive(
     A run first notes exactly which files it takes, by path, length and time; these are what it
     reads, and what it removes if they are unchanged. A run that died is repeated with its own list
     before new files are taken, and replaces what it had written. Late files of a block are added to
-    it. The driver holds the paths of the files of a run.
+    it. Files of several layouts are archived side by side, each with its own header; a file that
+    cannot be used is set aside (see raw_csv.files_set_aside), not removed, and holds nothing up.
+    The driver holds the paths of the files of a run.
     """
     check_utc(spark)
     timegrid.check_block(block)
@@ -239,14 +241,19 @@ def archive(
     keys: set[str] = set()
     for run in raw_csv.unfinished_runs(spark, target):
         taken = raw_csv.claims(spark, target).where(F.col("run") == run).collect()
-        text = raw_csv.read_text(spark, sorted({f.path for f in taken}))
-        if text is not None:
+        layouts, aside = raw_csv.usable_layouts(
+            spark, target, run, sorted({f.path for f in taken}), reserved=("block", "run")
+        )
+        for header, paths in layouts.items():
+            text = raw_csv.layout_text(spark, header, paths)
             day = timegrid.block_key(timegrid.file_time(F.col("_path")), block)
-            raw_csv.write_archive(text.withColumn("block", day).drop("_path"), target, run)
+            part = f"{run}-{raw_csv.layout_name(header)}"
+            raw_csv.write_archive(text.withColumn("block", day).drop("_path"), target, part)
         raw_csv.finish_run(spark, target, run)
-        keys |= {f.block for f in taken}
+        archived = [f for f in taken if f.path not in aside]
+        keys |= {f.block for f in archived}
         if remove_sources:
-            for f in taken:
+            for f in archived:
                 workspace.remove_unchanged(spark, f.path, f.length, f.modified)
     return sorted(keys)
 
@@ -267,6 +274,11 @@ def run_batch(
     meanwhile wait for the next. Late files, older than the newest label, are aggregated apart from
     live ones, as another arrival; both are merged into the stored tiers. Rows without a readable
     time are kept under `ledger` (see read_rejects). Repeated views count once within an arrival.
+
+    Files may have different headers: they are sorted by header, scanned once a header, and counted
+    as one arrival. Files that cannot be used (broken, empty, vanished, a column missing) are set
+    aside with the reason (see raw_csv.files_set_aside) and hold no run up; a file that replaces one
+    is new.
     """
     check_utc(spark)
     clock = clock_label(spark, minute_path, event="view")
@@ -284,13 +296,22 @@ def run_batch(
     counted = 0
     for run in raw_csv.unfinished_runs(spark, ledger):
         own = raw_csv.claims(spark, ledger).where(F.col("run") == run).collect()
-        for kind in sorted({f.block for f in own}):
-            events = raw_csv.read_raw(spark, sorted({f.path for f in own if f.block == kind}))
+        kinds = {f.path: f.block for f in own}
+        layouts, aside = raw_csv.usable_layouts(spark, ledger, run, sorted(kinds))
+        for kind in sorted({kind for path, kind in kinds.items() if path not in aside}):
+            events = raw_csv.read_layouts(
+                spark,
+                {
+                    header: of_kind
+                    for header, paths in layouts.items()
+                    if (of_kind := [path for path in paths if kinds[path] == kind])
+                },
+            )
             rejects(events).write.mode("overwrite").parquet(f"{ledger}/rejects/{run}-{kind}")
             rows = ingest(events, **metric_options)
             process_backlog(spark, rows, minute_path, hour_path, f"{run}-{kind}")
         raw_csv.finish_run(spark, ledger, run)
-        counted += len(own)
+        counted += len(own) - len(aside)
     transport(spark, minute_path, hour_path)
     store_rank(spark, minute_path, rank_path)
     return counted

@@ -314,6 +314,7 @@ SELECT event_type, dim, dim_value, bucket_end - INTERVAL 2000 DAY AS bucket_end,
     "purchase_repeated_index": _ONE_SHOT + " WHERE event_type = 'purchase'",
     "backlog_repair_twice": _ONE_SHOT,
     "batch_pipeline": _ONE_SHOT,
+    "landing_mixed_headers": _ONE_SHOT,
     "batch_pipeline_hours": _with(
         _raw(),
         _CLEAN,

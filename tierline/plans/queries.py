@@ -417,6 +417,22 @@ def rejected_events(spark, folder):
     return _plain(found.select("row_idx", "event_type", "product_id", "price"))
 
 
+def landing_mixed_headers(spark, folder):
+    """Files of two layouts beside files that lack a column, counted in one run."""
+    landing = new_folder(spark, "landing")
+    places = [new_folder(spark, name) for name in ("minutes", "hours", "rank", "ledger")]
+    text = raw_csv.as_text(retail_events(spark, folder))
+    even = F.pmod(F.col("row_idx").cast("long"), F.lit(2)) == 0
+    turned = ["price", "user_id", *[name for name in reversed(text.columns) if name != "price"]]
+    text.where(even).write.option("header", True).csv(f"{landing}/one")
+    text.where(~even).withColumn("user_id", F.lit("u")).select(*turned).write.option(
+        "header", True
+    ).csv(f"{landing}/other")
+    text.drop("price").write.option("header", True).csv(f"{landing}/unusable")
+    jobs.run_batch(spark, landing, *places, deduplicate=False)
+    return _plain(read_tier(spark, places[0]))
+
+
 def merge_duplicates(spark, folder):
     """A stored tier that got two partial rows for many keys, compacted."""
     path = new_folder(spark, "minutes")
@@ -648,6 +664,7 @@ QUERIES = {
     "backlog_repair_twice": backlog_repair_twice,
     "batch_pipeline": batch_pipeline,
     "batch_pipeline_hours": batch_pipeline_hours,
+    "landing_mixed_headers": landing_mixed_headers,
     "rank_snapshot": rank_snapshot,
     "rejected_events": rejected_events,
     "landing_without_index": landing_without_index,

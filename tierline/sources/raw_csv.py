@@ -1,5 +1,10 @@
 """Raw event files: scan, stream, inventory, landing writer, compressed archive."""
 
+import hashlib
+from functools import reduce
+from urllib.parse import unquote
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +19,7 @@ from tierline.workspace import check_utc
 _TEXT_COLUMNS = RAW_TEXT.fieldNames()
 _LEDGER = "_archived"
 _CLAIM = "path string, length bigint, modified bigint, block string, run string"
+_SET_ASIDE = "path string, reason string, run string"
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -54,6 +60,10 @@ def column_names(header: list[str]) -> list[str]:
     absent = sorted(set(_TEXT_COLUMNS) - set(names))
     if absent:
         raise ValueError(f"the header {header} lacks {absent}")
+    lower = [name.lower() for name in [*names, "_path"]]
+    repeated = sorted({name for name in lower if lower.count(name) > 1})
+    if repeated:
+        raise ValueError(f"the header {header} has {repeated} twice or as a name of the reader")
     return names
 
 
@@ -99,6 +109,104 @@ def read_raw(spark: SparkSession, folder: str | list[str]) -> DataFrame:
     return _typed(text)
 
 
+def _key(path: str) -> str:
+    """A path in one spelling; Spark names files with and without an authority, encoded and not."""
+    return unquote(path).replace("file:///", "file:/")
+
+
+def _unreadable(error: Exception) -> tuple[str, str] | None:
+    """The path and reason where one file made a scan fail."""
+    if isinstance(error, AnalysisException):
+        return (error.getMessageParameters()["path"], "not there") if _missing(error) else None
+    cause = error.java_exception
+    while cause is not None:
+        if "FAILED_READ_FILE" in (cause.getMessage() or "") and hasattr(cause, "getMessageParameters"):
+            path = cause.getMessageParameters().get("path")
+            return (path, "cannot be read to its end") if path else None
+        cause = cause.getCause()
+    return None
+
+
+def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One row per file with any text: a hash of its first line, NULL where that is no header.
+
+    The scan takes lines as they are and keeps numbers only, so it sums up by hash in the tasks. A
+    header has every name of an event's columns but the row index; lines that look like one but are
+    not all the same leave open which one counts, so the file has none.
+    """
+    looks = reduce(
+        Column.__and__, [F.col("value").contains(n) for n in _TEXT_COLUMNS if n != "row_idx"]
+    )
+    heading = F.when(looks, F.xxhash64("value"))
+    lines = (
+        spark.read.text(paths)
+        .where("_metadata.file_block_start = 0 AND trim(value) <> ''")
+        .select(
+            F.col("_metadata.file_path").alias("path"),
+            F.monotonically_increasing_id().alias("line"),
+            heading.alias("heading"),
+        )
+    )
+    first_heading = F.min(F.when(F.col("heading").isNotNull(), F.col("line")))
+    same = (F.min("heading") == F.max("heading")) & (first_heading == F.min("line"))
+    return lines.groupBy("path").agg(F.when(same, F.min("heading")).alias("heading"))
+
+
+def sort_by_header(
+    spark: SparkSession, paths: list[str], reserved: tuple[str, ...] = ()
+) -> tuple[dict[tuple[str, ...], list[str]], dict[str, str]]:
+    """CSV files by the header they have, and the reason for each file that cannot be used.
+
+    One distributed pass over the text of all files finds their first lines and whether they can be
+    read to the end; the driver gets a number for each path. Unusable are files that are not there
+    or broken, those without any text, and those whose first line lacks or repeats a column or has
+    one of the `reserved` names. A broken file costs another pass.
+    """
+    left = {_key(path): path for path in paths}
+    refused: dict[str, str] = {}
+    found: dict[int, list[str]] = {}
+    while left:
+        try:
+            for row in _first_lines(spark, sorted(left.values())).collect():
+                found.setdefault(row.heading, []).append(left.pop(_key(row.path)))
+            break
+        except (AnalysisException, Py4JJavaError) as error:
+            culprit = _unreadable(error)
+            if culprit is None or _key(culprit[0]) not in left:
+                raise
+            refused[left.pop(_key(culprit[0]))] = culprit[1]
+    refused |= dict.fromkeys(left.values(), "has no text")
+    refused |= dict.fromkeys(found.pop(None, []), "has no header with the columns of an event")
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for alike in found.values():
+        header = header_of(spark, alike[:1])
+        try:
+            taken = sorted({name.lower() for name in column_names(header)} & set(reserved))
+            if taken:
+                raise ValueError(f"the header {header} has the reserved names {taken}")
+            layouts.setdefault(tuple(header), []).extend(sorted(alike))
+        except ValueError as error:
+            refused |= dict.fromkeys(alike, str(error))
+    return dict(sorted(layouts.items())), refused
+
+
+def layout_text(spark: SparkSession, header: tuple[str, ...], paths: list[str]) -> DataFrame:
+    """All columns of files with this header as text, and the `_path` of each row's file."""
+    return _with_path(_by_header(spark.read, list(header)).csv(paths), column_names(list(header)))
+
+
+def read_layouts(spark: SparkSession, layouts: dict[tuple[str, ...], list[str]]) -> DataFrame:
+    """Typed events of files sorted by their header: one scan for each header, all in one frame."""
+    check_utc(spark)
+    texts = [_typed(layout_text(spark, header, paths)) for header, paths in layouts.items()]
+    return reduce(DataFrame.unionByName, texts)
+
+
+def layout_name(header: tuple[str, ...]) -> str:
+    """A short name of a header, for folders."""
+    return hashlib.sha256("\n".join(header).encode()).hexdigest()[:12]
+
+
 def stream_raw(
     spark: SparkSession,
     folder: str,
@@ -231,10 +339,18 @@ def write_archive(
 
 
 def read_archive_text(spark: SparkSession, folder: str) -> DataFrame | None:
-    """All columns of an archive as text, by header name, and the `block`; None if it is empty."""
-    text = read_text(spark, folder)
-    if text is None:
+    """All columns of an archive as text, by header name, and the `block`; None if it is empty.
+
+    Where files of several layouts were archived, a row has NULL in the columns its file had not.
+    """
+    layouts: dict[str, list[str]] = {}
+    for path in workspace.matching(spark, f"{folder}/block=*/run=*"):
+        layouts.setdefault(path.rsplit("/run=", 1)[1].partition("-")[2], []).append(path)
+    texts = [read_text(spark, paths) for _, paths in sorted(layouts.items())]
+    texts = [text for text in texts if text is not None]
+    if not texts:
         return None
+    text = reduce(lambda one, other: one.unionByName(other, allowMissingColumns=True), texts)
     block = F.regexp_extract("_path", "/block=([^/]+)/", 1)
     return text.withColumn("block", block).drop("_path")
 
@@ -260,6 +376,38 @@ def claim(files: DataFrame, folder: str) -> None:
     files.coalesce(1).write.mode("append").parquet(f"{folder}/{_LEDGER}/files")
 
 
+def set_aside(spark: SparkSession, folder: str, run: str, refused: dict[str, str]) -> None:
+    """Note which files of a run cannot be used, before anything is done with the others."""
+    rows = [(path, reason, run) for path, reason in sorted(refused.items())]
+    noted = spark.createDataFrame(rows, _SET_ASIDE).coalesce(1)
+    noted.write.mode("overwrite").parquet(f"{folder}/{_LEDGER}/aside/{run}")
+
+
+def files_set_aside(spark: SparkSession, folder: str, run: str | None = None) -> DataFrame:
+    """The files that runs could not use, and why: path, reason, run."""
+    folders = workspace.matching(spark, f"{folder}/{_LEDGER}/aside/{run or '*'}/_SUCCESS")
+    if not folders:
+        return spark.createDataFrame([], _SET_ASIDE)
+    return spark.read.schema(_SET_ASIDE).parquet(*[p.rsplit("/", 1)[0] for p in folders])
+
+
+def usable_layouts(
+    spark: SparkSession,
+    folder: str,
+    run: str,
+    paths: list[str],
+    reserved: tuple[str, ...] = (),
+) -> tuple[dict[tuple[str, ...], list[str]], set[str]]:
+    """The files of a run by header, and those set aside.
+
+    What a run has once set aside stays so when it is repeated, since the others may be counted.
+    """
+    known = {r.path: r.reason for r in files_set_aside(spark, folder, run).collect()}
+    layouts, refused = sort_by_header(spark, [p for p in paths if p not in known], reserved)
+    set_aside(spark, folder, run, known | refused)
+    return layouts, set(known | refused)
+
+
 def finish_run(spark: SparkSession, folder: str, run: str) -> None:
     workspace.mark(spark, f"{folder}/{_LEDGER}/done/{run}")
 
