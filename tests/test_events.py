@@ -106,6 +106,26 @@ def test_servers_take_turns_in_time_order(spark, chunk):
         assert [m[2] for m in sorted(members)] == [i % 4 for i in range(len(members))]
 
 
+def test_offsets_of_ids_that_have_nothing_to_do_with_time(spark):
+    """A minute with all rows, a chunk for nearly each of them, small blocks, parts of a second."""
+    events = spark.range(400).select(
+        F.expr("shiftright(xxhash64(id), 1 + cast(id % 40 as int))").alias("row_idx"),
+        F.timestamp_micros(F.lit(1569888000_000000) + F.pmod(F.col("id"), F.lit(7)) * 400_000).alias("event_time"),
+    )
+    chunks = events.withColumn("id_chunk", F.floor(F.col("row_idx") / 16).cast("bigint")).withColumn(
+        "minute", F.date_trunc("minute", "event_time")
+    )
+    sizes = chunks.groupBy("minute", "event_time", "id_chunk").agg(F.count("*").alias("size"))
+    got = {(r.event_time, r.id_chunk): r.offset for r in ev.earlier_sizes(sizes, fan=4).collect()}
+    expected, before = {}, 0
+    for row in sorted(sizes.collect(), key=lambda r: (r.event_time, r.id_chunk)):
+        expected[row.event_time, row.id_chunk] = before
+        before += row["size"]
+    assert got == expected and before == 400
+    dealt = sorted(ev.assign_servers(events, chunk=16).collect(), key=lambda r: (r.event_time, r.row_idx))
+    assert sum(r.server == n % 4 for n, r in enumerate(dealt)) == 400
+
+
 def test_purchases_without_an_index_of_their_own_are_all_kept(raw):
     events = raw(
         ("2019-10-01 09:00:00", "purchase", 1, 1),

@@ -9,6 +9,8 @@ from tierline.schema import EVENTS, check_configuration
 # Different ids of one sort group in `assign_servers`, and groups of a second for rows without id.
 SHARD_CHUNK = 1 << 20
 NO_ID_CHUNKS = 1 << 10
+# Chunks of a block in the tree of sizes. Ids of 63 bits make 2^43 chunks, so 2^21 blocks.
+SHARD_FAN = 1 << 22
 
 
 def split_events(events: DataFrame, event_types=EVENTS) -> DataFrame:
@@ -55,13 +57,54 @@ def flag_late(files: DataFrame, clock: Column) -> DataFrame:
     )
 
 
+def earlier_sizes(sizes: DataFrame, fan: int = SHARD_FAN) -> DataFrame:
+    """Groups of (minute, event_time, id_chunk) with a `size`, and the rows before each in its minute.
+
+    Sums go up a tree and offsets come down: chunks by `fan` of their numbers, those by event time,
+    times by second, seconds by minute. No window holds more than `fan` chunks, the blocks of chunks
+    of one time, or the times of one second, however ids and times lie in a minute.
+    """
+    levels = [
+        ["minute", "second", "event_time", "id_block", "id_chunk"],
+        ["minute", "second", "event_time", "id_block"],
+        ["minute", "second", "event_time"],
+        ["minute", "second"],
+    ]
+    rows = sizes.withColumns(
+        {
+            "second": F.date_trunc("second", "event_time"),
+            "id_block": F.floor(F.col("id_chunk") / F.lit(fan)).cast("bigint"),
+        }
+    )
+    tree = [rows]
+    for keys in levels[1:]:
+        tree.append(tree[-1].groupBy(*keys).agg(F.sum("size").alias("size")))
+    above = None
+    for keys, nodes in reversed(list(zip(levels, tree))):
+        siblings = (
+            Window.partitionBy(*keys[:-1])
+            .orderBy(keys[-1])
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        before = F.coalesce(F.sum("size").over(siblings), F.lit(0))
+        nodes = nodes.select(*keys, before.alias("offset"))
+        if above is not None:
+            upper = above.withColumnRenamed("offset", "upper")
+            nodes = nodes.join(upper, keys[:-1]).select(
+                *keys, (F.col("offset") + F.col("upper")).alias("offset")
+            )
+        above = nodes
+    return above.drop("second", "id_block")
+
+
 def assign_servers(events: DataFrame, servers: int = 4, chunk: int = SHARD_CHUNK) -> DataFrame:
     """Deal the rows of each minute, in (event_time, row_idx) order, to servers in turn.
 
-    The position in the minute is an offset plus a position in a chunk of neighbouring ids within
-    one second. A chunk holds at most `chunk` different ids, so a minute with most of the data is
-    still sorted by many tasks; only chunk sizes are summed up per minute. Rows without an id come
-    first in their second, in chunks by a hash of the row; rows of one id are ordered by that hash.
+    The position in the minute is an offset plus a position in a chunk of neighbouring ids of one
+    time. A chunk holds at most `chunk` different ids, and offsets are summed up in a tree, so a
+    minute with most of the data is sorted by many tasks, whatever its ids have to do with time.
+    Rows without an id come first at their time, in chunks by a hash of the row; rows of one id are
+    ordered by that hash.
     """
     keys = ["minute", "event_time", "id_chunk"]
     content = F.xxhash64(*events.columns)
@@ -75,16 +118,7 @@ def assign_servers(events: DataFrame, servers: int = 4, chunk: int = SHARD_CHUNK
             "row_hash": content,
         }
     )
-    earlier = (
-        Window.partitionBy("minute")
-        .orderBy("event_time", "id_chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        keyed.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("size"))
-        .select(*keys, F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("offset"))
-    )
+    offsets = earlier_sizes(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")))
     within = Window.partitionBy(*keys).orderBy("row_idx", "row_hash")
     position = F.col("offset") + F.row_number().over(within) - 1
     return (
