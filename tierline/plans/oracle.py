@@ -327,6 +327,10 @@ SELECT event_type, dim, dim_value, bucket_end - INTERVAL 2000 DAY AS bucket_end,
     "rank_snapshot": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes(), _TRAILING)
     + """
 SELECT event_type, dim, dim_value, CAST(price_sum AS DOUBLE) AS price_sum, event_count
+FROM last_hour""",
+    "stream_trailing_hour": _with(_raw(), _CLEAN, _ALL_COUNTED, _minutes(), _TRAILING)
+    + """
+SELECT event_type, dim, dim_value, CAST(price_sum AS DOUBLE) AS price_sum, event_count
 FROM last_hour""",
     "rejected_events": _with(_raw())
     + """

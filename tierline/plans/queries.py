@@ -22,6 +22,7 @@ from tierline.sources.sample_tables import (
 )
 from tierline.sources.tier_table import read_tier, rows_of, write_rows, write_tier
 from tierline.streaming import ingest as stream
+from tierline.streaming.trailing import served_trailing
 from tierline.streaming.windows import first_view_stream, large_state
 from tierline.workspace import new_folder
 
@@ -612,6 +613,23 @@ def stream_rolling_hour(spark, folder):
     return _plain(ti.trailing_hours(stream.served_tier(spark, deltas)))
 
 
+def stream_trailing_hour(spark, folder):
+    """The trailing hour kept by the stream itself, batch by batch; late files come first."""
+    landing, deltas = new_folder(spark, "landing"), new_folder(spark, "deltas")
+    progress, hour = new_folder(spark, "progress"), new_folder(spark, "hour")
+    events = retail_events(spark, folder)
+    for part in (_late(events), _live(events)):
+        jobs.land(part, landing, factor=1, base_epoch=SAMPLE_START_EPOCH, slice_seconds=HOUR)
+        stream.run_ingest(
+            raw_csv.stream_raw(spark, landing),
+            deltas,
+            progress,
+            deduplicate=False,
+            trailing_path=hour,
+        ).awaitTermination()
+    return _plain(served_trailing(spark, hour))
+
+
 def stream_folded(spark, folder):
     """Landing files in several batches, folded after each but the first."""
     landing, deltas = new_folder(spark, "landing"), new_folder(spark, "deltas")
@@ -688,4 +706,5 @@ QUERIES = {
     "stream_backlog": stream_backlog,
     "stream_view_dedup": stream_view_dedup,
     "stream_rolling_hour": stream_rolling_hour,
+    "stream_trailing_hour": stream_trailing_hour,
 }

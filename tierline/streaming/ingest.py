@@ -220,6 +220,7 @@ def run_ingest(
     deduplicate: bool = True,
     fold_every: int | None = None,
     remember_hours: int = 48,
+    trailing_path: str | None = None,
 ) -> StreamingQuery:
     """Start ingesting an event stream that has a `file_time` column.
 
@@ -227,7 +228,10 @@ def run_ingest(
     all files present and stops. With `deduplicate` the result does not depend on how files are
     dealt out to batches: the first view of each pair is kept as state, and forgotten when it has
     not changed for `remember_hours`. `fold_every` batches, all but the newest are folded, see fold().
+    `trailing_path` keeps the totals of the trailing hour too, see trailing.served_trailing().
     """
+    from tierline.streaming.trailing import keep_trailing  # which reads the deltas of this module
+
     spark = events.sparkSession
     check_utc(spark)
     options = dict(
@@ -239,6 +243,8 @@ def run_ingest(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, batch_id, path, **options)
+        if trailing_path:
+            keep_trailing(batch.sparkSession, path, trailing_path, batch_id)
         if fold_every and batch_id % fold_every == fold_every - 1:
             for place in filter(None, (path, hour_path)):
                 fold(batch.sparkSession, place, batch_id - 1)
