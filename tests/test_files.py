@@ -127,6 +127,30 @@ def test_a_vanished_file_holds_nothing_up(spark, tmp_path, monkeypatch):
     assert read_tier(spark, places[0]).where("dim = 'product_id'").count() == 1
 
 
+def test_claims_are_merged_and_kept(spark, tmp_path, monkeypatch):
+    """Merging that is lost before it removes anything, and a run that is still open, lose no claim."""
+    folder = str(tmp_path)
+    files = spark.createDataFrame([(f"f{n}", n, n, "b") for n in range(6)], "path string, length long, modified long, block string")
+    for n in range(6):
+        raw_csv.claim(files.where(f"length = {n}"), folder, f"r{n}")
+        if n < 5:
+            raw_csv.finish_run(spark, folder, f"r{n}")
+    assert not raw_csv.compact_claims(spark, folder, least=6)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(raw_csv.workspace, "remove", dies)
+        with pytest.raises(RuntimeError):
+            raw_csv.compact_claims(spark, folder, least=5)
+    assert raw_csv.compact_claims(spark, folder, least=5)
+    assert rows(raw_csv.claims(spark, folder), "path") == [(f"f{n}",) for n in range(6)]
+    assert raw_csv.unfinished_runs(spark, folder) == ["r5"]
+    assert rows(raw_csv.claims(spark, folder, "r5"), "path", "run") == [("f5", "r5")]
+    assert len(os.listdir(tmp_path / "_archived" / "files")) == 2
+
+
 def test_an_archive_of_several_layouts(spark, tmp_path):
     landing, target = tmp_path / "in", str(tmp_path / "archive")
     bad = mixed(landing)

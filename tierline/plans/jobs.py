@@ -233,14 +233,13 @@ def archive(
     """
     check_utc(spark)
     timegrid.check_block(block)
-    files = pending_files(spark, landing, target, block).collect()
-    if files:
-        run = uuid.uuid4().hex
-        rows = [(f.path, f.length, f.modified, f.block, run) for f in files]
-        raw_csv.claim(spark.createDataFrame(rows, raw_csv.claims(spark, target).schema), target)
+    raw_csv.claim(pending_files(spark, landing, target, block), target, uuid.uuid4().hex)
     keys: set[str] = set()
     for run in raw_csv.unfinished_runs(spark, target):
-        taken = raw_csv.claims(spark, target).where(F.col("run") == run).collect()
+        taken = raw_csv.claims(spark, target, run).collect()
+        if not taken:
+            raw_csv.finish_run(spark, target, run)
+            continue
         layouts, aside = raw_csv.usable_layouts(
             spark, target, run, sorted({f.path for f in taken}), reserved=("block", "run")
         )
@@ -255,6 +254,7 @@ def archive(
         if remove_sources:
             for f in archived:
                 workspace.remove_unchanged(spark, f.path, f.length, f.modified)
+    raw_csv.compact_claims(spark, target)
     return sorted(keys)
 
 
@@ -291,11 +291,13 @@ def run_batch(
     )
     taken = raw_csv.claims(spark, ledger).select("path", "length", "modified")
     new = files.join(taken, ["path", "length", "modified"], "left_anti")
-    if not new.isEmpty():
-        raw_csv.claim(new.withColumn("run", F.lit(uuid.uuid4().hex)), ledger)
+    raw_csv.claim(new, ledger, uuid.uuid4().hex)
     counted = 0
     for run in raw_csv.unfinished_runs(spark, ledger):
-        own = raw_csv.claims(spark, ledger).where(F.col("run") == run).collect()
+        own = raw_csv.claims(spark, ledger, run).collect()
+        if not own:
+            raw_csv.finish_run(spark, ledger, run)
+            continue
         kinds = {f.path: f.block for f in own}
         layouts, aside = raw_csv.usable_layouts(spark, ledger, run, sorted(kinds))
         for kind in sorted({kind for path, kind in kinds.items() if path not in aside}):
@@ -312,6 +314,7 @@ def run_batch(
             process_backlog(spark, rows, minute_path, hour_path, f"{run}-{kind}")
         raw_csv.finish_run(spark, ledger, run)
         counted += len(own) - len(aside)
+    raw_csv.compact_claims(spark, ledger)
     transport(spark, minute_path, hour_path)
     store_rank(spark, minute_path, rank_path)
     return counted

@@ -1,6 +1,7 @@
 """Raw event files: scan, stream, inventory, landing writer, compressed archive."""
 
 import hashlib
+import uuid
 from functools import reduce
 from urllib.parse import unquote
 
@@ -363,17 +364,24 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     return type_raw(text.select(*_TEXT_COLUMNS, "block"))
 
 
-def claims(spark: SparkSession, folder: str) -> DataFrame:
-    """The files that archive runs have taken, with their block and run."""
+def claims(spark: SparkSession, folder: str, run: str | None = None) -> DataFrame:
+    """The files that runs have taken, with their block and run; those of one run if it is named."""
     ledger = f"{folder}/{_LEDGER}/files"
-    if not workspace.exists(spark, ledger):
+    wanted = f"{ledger}/run={run}" if run else ledger
+    if not workspace.exists(spark, wanted):
         return spark.createDataFrame([], _CLAIM)
-    return spark.read.schema(_CLAIM).parquet(ledger)
+    return spark.read.schema(_CLAIM).option("basePath", ledger).parquet(wanted)
 
 
-def claim(files: DataFrame, folder: str) -> None:
-    """Note files as taken by their run, before anything else is done with them."""
-    files.coalesce(1).write.mode("append").parquet(f"{folder}/{_LEDGER}/files")
+def claim(files: DataFrame, folder: str, run: str) -> None:
+    """Note files as taken by a run, before anything else is done with them.
+
+    The tasks that found the files write them. If that dies half-way, the files noted so far are
+    those of the run and the others are still to be taken.
+    """
+    spark = files.sparkSession
+    workspace.mark(spark, f"{folder}/{_LEDGER}/open/{run}")
+    files.write.mode("overwrite").parquet(f"{folder}/{_LEDGER}/files/run={run}")
 
 
 def set_aside(spark: SparkSession, folder: str, run: str, refused: dict[str, str]) -> None:
@@ -409,11 +417,29 @@ def usable_layouts(
 
 
 def finish_run(spark: SparkSession, folder: str, run: str) -> None:
-    workspace.mark(spark, f"{folder}/{_LEDGER}/done/{run}")
+    workspace.remove(spark, f"{folder}/{_LEDGER}/open/{run}")
 
 
 def unfinished_runs(spark: SparkSession, folder: str) -> list[str]:
-    """Runs that took files and did not get to their end."""
-    done = {p.rsplit("/", 1)[1] for p in workspace.matching(spark, f"{folder}/{_LEDGER}/done/*")}
-    runs = {row.run for row in claims(spark, folder).select("run").distinct().collect()}
-    return sorted(runs - done)
+    """Runs that took files and did not get to their end. Lists open runs only."""
+    marks = workspace.matching(spark, f"{folder}/{_LEDGER}/open/*")
+    return sorted(path.rsplit("/", 1)[1] for path in marks)
+
+
+def compact_claims(spark: SparkSession, folder: str, least: int = 100) -> bool:
+    """Put the claims of finished runs into one folder once there are `least` of them.
+
+    The merged claims are written before the others are removed; a file that is noted twice in
+    between is taken all the same.
+    """
+    still_open = set(unfinished_runs(spark, folder))
+    places = workspace.matching(spark, f"{folder}/{_LEDGER}/files/run=*")
+    places = [place for place in places if place.rsplit("=", 1)[1] not in still_open]
+    if len(places) < least:
+        return False
+    ledger = f"{folder}/{_LEDGER}/files"
+    closed = spark.read.schema(_CLAIM).option("basePath", ledger).parquet(*places).drop("run")
+    closed.distinct().write.parquet(f"{ledger}/run={uuid.uuid4().hex}")
+    for place in places:
+        workspace.remove(spark, place)
+    return True
