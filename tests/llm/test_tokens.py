@@ -56,7 +56,28 @@ def test_counts_come_from_the_cache(spark, documents, texts):
         assert sorted((tuple(r) for r in found), key=str) == expected
     stored = spark.read.parquet(cache)
     assert stored.count() == stored.select("content_digest").distinct().count()
+    before = sorted(workspace.matching(spark, f"{cache}/part-*"))
     assert token_counts.token_counts(documents(*rows).limit(0), cache).collect() == []
+    token_counts.token_counts(documents(*rows), cache).collect()
+    assert sorted(workspace.matching(spark, f"{cache}/part-*")) == before
+
+
+def test_counts_of_rows_of_one_id_or_none(spark, documents):
+    cache = workspace.new_folder(spark, "test-counts")
+    rows = [(i, f"word {n}  " + "more " * (n % 7)) for i in (None, 3) for n in range(300)] * 2
+    tokenizer = library("word_bpe_49k.json")
+    expected = sorted(
+        ((i, len(t), n := len(tokenizer.encode(t).ids), n > 5) for i, t in rows), key=str
+    )
+    found = token_counts.token_counts(documents(*rows), cache, limit=5).collect()
+    assert sorted((tuple(r) for r in found), key=str) == expected
+
+
+def test_a_shared_content_is_joined_without_an_aggregate_in_the_way(spark, documents):
+    cache = workspace.new_folder(spark, "test-counts")
+    frame = token_counts.token_counts(documents((1, "a"), (2, "a"), (3, "b")), cache)
+    text = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in text
 
 
 def test_counts_of_another_tokenizer_do_not_serve(spark, documents):

@@ -48,7 +48,9 @@ def token_counts(
 
     `cache` is a Parquet folder of counts by content and tokenizer digest. Contents it lacks are
     encoded once each, appended to it, and all counts are then looked up in it. Jobs that share a
-    cache may append at the same time; a count stored twice is read once.
+    cache may append at the same time; a count stored twice is read once. Texts are digested once and
+    read again only where a digest is missing; the digests, what is missing, and the counts are stored
+    in a folder of the workspace, so that Spark knows their sizes before it joins.
 
     One row comes out for each row that goes in. Null texts are empty and have no tokens; null and
     repeated ids are kept as they are; other columns are ignored. No rows give no rows, and append
@@ -59,44 +61,59 @@ def token_counts(
     path = vocabulary or path_of(DEFAULT_VOCABULARY)
     version = version_digest(path)
     text = F.col(text_col)
-    rows = documents.select(
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
-        content_digest(text).alias("content_digest"),
-    )
+    place = workspace.new_folder(spark, "digests")
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        frame.write.parquet(f"{place}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{place}/{name}")
 
     def stored() -> DataFrame:
         if not workspace.exists(spark, cache):
             return spark.createDataFrame([], CACHE_SCHEMA)
         return spark.read.schema(CACHE_SCHEMA).parquet(cache).where(F.col("tokenizer_digest") == version)
 
-    # One row stands for each missing digest; it is found by its id, so that only digests and ids
-    # are grouped, and the texts of a digest that many rows share do not meet in one task.
-    missing = (
+    rows = kept(
+        documents.select(
+            F.col(id_col).alias("doc_id"),
+            F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
+            F.xxhash64(text).alias("mark"),
+            content_digest(text).alias("content_digest"),
+        ),
+        "rows",
+    )
+    # One row stands for each missing digest; it is found by its id and a mark of its text, so that
+    # only digests, ids and marks are grouped, and the texts of a digest that many rows share do not
+    # meet in one task.
+    missing = kept(
         rows.groupBy("content_digest")
-        .agg(F.min("doc_id").alias("doc_id"))
+        .agg(F.min(F.struct("doc_id", "mark")).alias("row"))
         .join(stored().select("content_digest"), "content_digest", "left_anti")
+        .select("content_digest", F.col("row.doc_id").alias("id"), F.col("row.mark").alias("mark")),
+        "missing",
     )
-    texts = documents.select(
-        F.col(id_col).alias("doc_id"),
-        F.coalesce(text, F.lit("")).alias("text"),
-        content_digest(text).alias("content_digest"),
-    ).alias("t")
-    chosen = texts.join(
-        missing.alias("m"),
-        F.col("t.doc_id").eqNullSafe(F.col("m.doc_id"))
-        & (F.col("t.content_digest") == F.col("m.content_digest")),
-        "left_semi",
-    )
-    (
-        chosen.select("content_digest", "text")
-        .mapInArrow(_counter(path), "content_digest binary, n_tokens bigint")
-        .withColumn("tokenizer_digest", F.lit(version))
-        .select("content_digest", "tokenizer_digest", "n_tokens")
-        .write.mode("append")
-        .parquet(cache)
+    if not missing.isEmpty():
+        texts = documents.select(
+            F.col(id_col).alias("doc_id"),
+            F.coalesce(text, F.lit("")).alias("text"),
+            F.xxhash64(text).alias("text_mark"),
+        )
+        # Only the texts found are digested again, lest one of an equal mark is taken for another.
+        chosen = texts.join(
+            missing,
+            F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_mark") == F.col("mark")),
+        ).where(content_digest(F.col("text")) == F.col("content_digest"))
+        (
+            chosen.select("content_digest", "text")
+            .mapInArrow(_counter(path), "content_digest binary, n_tokens bigint")
+            .withColumn("tokenizer_digest", F.lit(version))
+            .select("content_digest", "tokenizer_digest", "n_tokens")
+            .write.mode("append")
+            .parquet(cache)
+        )
+    # Stored, so that the join reads two shuffles and AQE can split a digest that many rows share.
+    counts = kept(
+        stored().groupBy("content_digest").agg(F.min("n_tokens").alias("n_tokens")), "counts"
     )
-    counts = stored().groupBy("content_digest").agg(F.min("n_tokens").alias("n_tokens"))
     return rows.join(counts, "content_digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
