@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from tierline.llm import fuzzy_hashing as fh
 from tierline.llm import golay
@@ -93,6 +94,29 @@ def test_components_of_paths_and_stars(spark):
     assert components(frame.limit(0)).collect() == []
 
 
+def test_the_edges_of_a_hub_can_be_split(spark):
+    """Sort merge joins with small limits: Spark splits the hub's partition, and nothing is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        star = spark.range(1, 20_001).selectExpr("id * 10 AS a", "5L AS b")
+        pairs = spark.range(0, 500).selectExpr("id * 10 + 1 AS a", "id * 10 + 3 AS b")
+        found = components(star.union(pairs))
+        roots = {r.root: r.n for r in found.groupBy("root").agg(F.count("*").alias("n")).collect()}
+        assert roots.pop(5) == 20_001
+        assert roots == {n * 10 + 1: 2 for n in range(500)}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_link_blocks_lose_nothing(spark):
     """A dense group far larger than a block: all within few bits of one centre."""
     random = np.random.default_rng(8)

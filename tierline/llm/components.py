@@ -8,12 +8,18 @@ from tierline import workspace
 EDGES = "a bigint, b bigint"
 
 
-def _stored(edges: DataFrame) -> DataFrame:
+def _stored(frame: DataFrame, schema: str = EDGES) -> DataFrame:
     """Written out, so that no round hangs on the ones before it."""
-    spark = edges.sparkSession
+    spark = frame.sparkSession
     place = workspace.new_folder(spark, "edges")
-    edges.write.parquet(place)
-    return spark.read.schema(EDGES).parquet(place)
+    frame.write.parquet(place)
+    return spark.read.schema(schema).parquet(place)
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    """The smallest neighbour of each node. Stored: its join with the edges then has no aggregate in
+    the way, so that Spark sees its size, and splits the edges of a node that has most of them."""
+    return _stored(edges.groupBy("a").agg(F.min("b").alias("least")), "a bigint, least bigint")
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -38,19 +44,23 @@ def components(edges: DataFrame) -> DataFrame:
     before = _state(current)
     while True:
         both = current.union(current.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("least"))
-        large = (
-            both.join(least, "a")
+        large = _stored(
+            both.join(_least(both), "a")
             .where(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
             .distinct()
         )
-        least = large.groupBy("a").agg(F.min("b").alias("least"))
-        small = large.join(least, "a")
         small = (
-            small.select(F.col("b").alias("a"), F.col("least").alias("b"))
+            large.join(_least(large), "a")
+            .select(
+                F.inline(
+                    F.array(
+                        F.struct(F.col("b").alias("a"), F.col("least").alias("b")),
+                        F.struct(F.col("a"), F.col("least").alias("b")),
+                    )
+                )
+            )
             .where("a <> b")
-            .union(small.select("a", F.col("least").alias("b")))
             .distinct()
         )
         current = _stored(small)

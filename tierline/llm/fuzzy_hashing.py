@@ -253,8 +253,8 @@ def link_fingerprints(
     Rows are dealt out by key and sorted; a fingerprint gives a key one of its about 119 rows, so no
     key has more than a hundredth of all rows. The fingerprints of a key are compared with each
     other where they are, if there are `block_rows` or fewer. A larger key leaves its task in blocks,
-    and each two blocks of it meet in a row of a second step, so that all pairs are compared,
-    whatever the size. Not the pairs but a spanning forest comes out. Chance meetings of unrelated
+    and each two blocks of it meet in a row of a second step, dealt out by key and both numbers, so
+    that all pairs are compared, whatever the size, by many tasks. Not the pairs but a spanning forest comes out. Chance meetings of unrelated
     fingerprints grow with the square of their number, at about one in 700,000 pairs.
     """
     spark = distinct.sparkSession
@@ -270,13 +270,22 @@ def link_fingerprints(
         .write.parquet(place)
     )
     found = spark.read.schema(FOUND).parquet(place)
-    blocks = found.where("key IS NOT NULL")
-    other = blocks.select(
-        F.col("key").alias("key2"), F.col("block").alias("block2"), F.col("members").alias("members2")
+    blocks = found.where("key IS NOT NULL").select("key", "block", "members")
+    numbers = blocks.groupBy("key").agg(F.max("block").alias("last"))
+    # Two blocks of a key meet by their numbers, not by the key, which may have most of them.
+    lower = blocks.join(numbers, "key").select(
+        "key",
+        F.col("block").alias("low"),
+        F.explode(F.sequence("block", "last")).alias("high"),
+        "members",
     )
-    met = blocks.join(
-        other, (F.col("key") == F.col("key2")) & (F.col("block") <= F.col("block2"))
-    ).select("members", "members2")
+    upper = blocks.select(
+        "key",
+        F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("low"),
+        F.col("block").alias("high"),
+        F.col("members").alias("members2"),
+    )
+    met = lower.join(upper, ["key", "low", "high"]).select("members", "members2")
     return found.where("key IS NULL").select("a", "b").union(
         met.mapInArrow(_pair_linker(most_bits), EDGES)
     )
