@@ -48,8 +48,8 @@ def token_counts(
 
     `cache` is a Parquet folder of counts by content and tokenizer digest. Contents it lacks are
     encoded once each, appended to it, and all counts are then looked up in it. Jobs that share a
-    cache may append at the same time; a count stored twice is read once. Texts are digested once and
-    read again only where a digest is missing; the digests, what is missing, and the counts are stored
+    cache may append at the same time; a count stored twice is read once. The table is scanned
+    again if a digest is missing, and the misses are digested again; the digests, what is missing, and the counts are stored
     in a folder of the workspace, so that Spark knows their sizes before it joins.
 
     One row comes out for each row that goes in. Null texts are empty and have no tokens; null and
