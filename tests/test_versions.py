@@ -5,7 +5,7 @@ from comparing import rows, same
 from test_tiers import at
 
 from tierline import workspace
-from tierline.operators.clock import trusted_label
+from tierline.operators.clock import trusted_clock, trusted_label
 from tierline.operators.tiers import merge, roll_up
 from tierline.plans import jobs
 from tierline.schema import HOUR
@@ -178,3 +178,27 @@ def test_clock_by_mass():
     assert trusted_label([(7, 1, 7)]) == 7 and trusted_label([]) is None
     with pytest.raises(ValueError):
         trusted_label([(7, 1, 7), (7 + 24 * 40, 1, 9)])
+
+
+def test_other_events_support_the_clock_of_views_that_run_dry(spark, tmp_path, tier):
+    """Views count once a pair, so few are left when all pairs have been seen; the shop goes on."""
+    views = {hour: 400 >> 2 * hour for hour in range(5)}  # 400, 100, 25, 6, 1
+    rows_of = [(e, "brand", h, n, h * HOUR) for e, own in (("view", views), ("purchase", dict.fromkeys(range(5), 30))) for h, n in own.items()]
+    assert trusted_clock(rows_of, "view") == 4 * HOUR
+    assert trusted_clock([r for r in rows_of if r[0] == "view"], "view") == 2 * HOUR
+    # One view of a wrong date, and purchases too few to judge by, move nothing.
+    ahead = [("view", "brand", 900, 1, 900 * HOUR), ("click", "brand", 900, 3, 900 * HOUR)]
+    assert trusted_clock([*rows_of, *ahead], "view") == 4 * HOUR
+    # Purchases ahead of the views support no label of theirs.
+    assert trusted_clock([*rows_of, ("purchase", "brand", 5, 30, 5 * HOUR)], "view") == 4 * HOUR
+    minutes, hours = str(tmp_path / "minutes"), str(tmp_path / "hours")
+    write_tier(
+        tier(
+            *[("view", "brand", "b", f"2019-10-01 0{h}:30:00", 1, n) for h, n in views.items()],
+            *[("purchase", "brand", "b", f"2019-10-01 0{h}:40:00", 1, 30) for h in range(5)],
+        ),
+        minutes,
+    )
+    assert rows(jobs.rank(spark, minutes), "event_type", "event_count") == [("purchase", 30), ("view", 1)]
+    jobs.transport(spark, minutes, hours)
+    assert read_tier(spark, hours, "view").count() == 4

@@ -74,7 +74,7 @@ def transport(
     """Add the hours completed since the last run to the hour tier, each once.
 
     The first run starts at the oldest stored minute. `event` is the event type that tells how far
-    the minutes have come (see trusted_label); without any of it, all events do. The hour tier notes
+    the minutes have come (see trusted_clock); without any of it, all events do. The hour tier notes
     how far it has come and from which version of the minutes. A run that finds that another one, or
     late rows, came between starts anew, so that no hour is added twice or without its late rows.
     """
@@ -183,7 +183,7 @@ def retain_tier(
     """Drop what is older than `now` minus `hours`, in one version.
 
     By default now is the newest label of `event` that other events support: a few events of a wrong
-    date drop nothing (see trusted_label, which refuses what it cannot judge; pass `now` then).
+    date drop nothing (see trusted_clock, which refuses what it cannot judge; pass `now` then).
     """
     check_utc(spark)
     if now is None:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.backlog import with_bucket_date
-from tierline.operators.clock import trusted_label
+from tierline.operators.clock import trusted_clock
 from tierline.operators.tiers import merge, retention_cutoff
 from tierline.schema import PARTITIONS, STORED_TIER, TIER_COLUMNS
 from tierline.sources import versions
@@ -181,19 +181,10 @@ def edge_label(
 
 
 def clock_second(version: Version, event: str | None = None) -> int | None:
-    """The newest label that the mass of events supports, see trusted_label(); None if empty."""
-    hours: dict[tuple[int, str], list[int]] = {}
-    for segment in _of_event(version, event):
-        for hour, events, last in segment.hours:
-            entry = hours.setdefault((hour, segment.dim), [0, last])
-            entry[0] += events
-            entry[1] = max(entry[1], last)
-    # Every dimension has the same events.
-    masses: dict[int, tuple[int, int]] = {}
-    for (hour, _), (events, last) in hours.items():
-        before = masses.get(hour, (0, last))
-        masses[hour] = max(before[0], events), max(before[1], last)
-    return trusted_label((hour, events, last) for hour, (events, last) in masses.items())
+    """The newest label that the mass of events supports, see trusted_clock(); None if empty."""
+    return trusted_clock(
+        ((s.event_type, s.dim, *hour) for s in version.segments for hour in s.hours), event
+    )
 
 
 def clock_label(spark: SparkSession, path: str, event: str | None = None) -> Column | None:

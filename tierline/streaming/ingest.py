@@ -21,7 +21,7 @@ from tierline import workspace
 from tierline.functions import measures, timegrid
 from tierline.functions.clean import valid
 from tierline.operators.backlog import with_bucket_date
-from tierline.operators.clock import trusted_label
+from tierline.operators.clock import trusted_clock
 from tierline.operators.events import first_views, flag_late, split_events
 from tierline.operators.metrics import minute_metrics
 from tierline.operators.tiers import read_clock, retention_cutoff
@@ -81,13 +81,9 @@ def delta_clock(spark: SparkSession, path: str, event: str = "view") -> Column |
     counts = (
         rows.groupBy("event_type", "dim", F.floor(second / HOUR).alias("hour"))
         .agg(F.sum("event_rows").alias("events"), F.max(second).alias("last"))
-        .where("events > 0")
-        .groupBy("event_type", "hour")
-        .agg(F.max("events").alias("events"), F.max("last").alias("last"))
         .collect()
     )
-    own = [r for r in counts if r.event_type == event] or counts
-    label = trusted_label((r.hour, r.events, r["last"]) for r in own)
+    label = trusted_clock(counts, event)
     return None if label is None else F.timestamp_seconds(F.lit(label))
 
 
@@ -268,7 +264,7 @@ def run_ingest(
 def trim(spark: SparkSession, path: str, hours: int = 24, now: Column | None = None) -> None:
     """Delete the dates of a delta table that lie wholly before its clock minus `hours`.
 
-    The clock is the newest view label that other views support (see trusted_label), so a few events
+    The clock is the newest view label that other events support (see trusted_clock), so a few events
     of a wrong date delete nothing.
     """
     if now is None:

@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tierline import workspace
 from tierline.functions import measures
-from tierline.operators.clock import trusted_label
+from tierline.operators.clock import trusted_clock
 from tierline.schema import HOUR, STORED_TIER
 from tierline.streaming.ingest import read_deltas
 
@@ -61,14 +61,8 @@ def _mass(own: DataFrame, state: dict) -> list[list]:
 
 def _clock(hours: list[list], event: str, before: int | None) -> int | None:
     """The newest label that the mass of events supports; the one before where nothing can be told."""
-    largest: dict[tuple, tuple[int, int]] = {}
-    for kind, _, hour, events, last in hours:
-        if events > 0:
-            seen = largest.get((kind, hour), (0, last))
-            largest[kind, hour] = (max(seen[0], events), max(seen[1], last))
-    own = {key: value for key, value in largest.items() if key[0] == event} or largest
     try:
-        return trusted_label([(hour, *value) for (_, hour), value in sorted(own.items())])
+        return trusted_clock(hours, event)
     except ValueError:
         return before
 
