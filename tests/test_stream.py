@@ -282,3 +282,15 @@ def test_a_fold_that_died_is_invisible_and_repeated(spark, tmp_path, monkeypatch
     stream.fold(spark, deltas, 3)
     assert rows(stream.served_tier(spark, deltas)) == before
     assert len(batch_folders(deltas)) == 2 * 6
+
+
+def test_of_views_in_one_second_the_lower_number_counts_whatever_its_server(spark, tmp_path):
+    """Three files of one minute and a late one; each has a view of the pair in the same second."""
+    names = ("10-15-00-0", "10-15-00-2", "10-15-00-3", "10-15-00-1")
+    for n, name in enumerate(names):
+        number, price = ((7, "7.50"), (5, "5.50"), (6, "6.50"), (4, "4.50"))[n]
+        put(tmp_path / "in", f"2019-10-01-{name}.csv", line(number, "10:15:10", price=price))
+        os.utime(tmp_path / "in" / f"2019-10-01-{name}.csv", (time.time() - 1000 + n,) * 2)
+    found = jobs.ingest(read_raw(spark, str(tmp_path / "in"))).select(*TIER_COLUMNS)
+    assert {str(price) for _, price in rows(found, "event_count", "price_sum")} == {"4.5"}
+    assert same(stream.served_tier(spark, run(spark, tmp_path)), found)

@@ -20,8 +20,9 @@ def split_events(events: DataFrame, event_types=EVENTS) -> DataFrame:
 
 
 def view_order(events: DataFrame) -> list[str]:
-    """Columns that put repeated views in a fixed order, over files with numbers of their own."""
-    order = ("event_time", "file_time", "server", "row_idx", "price", "brand", "category_code")
+    """Columns that put repeated views in a fixed order: time, then number; files with numbers of
+    their own are told apart by what follows, the servers of a second by nothing before."""
+    order = ("event_time", "row_idx", "file_time", "server", "price", "brand", "category_code")
     return [name for name in order if name in events.columns]
 
 
