@@ -21,7 +21,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates.
 
-    These share four fifths or more of their five-word shingles, directly or through others. Rows
+    These share four fifths or more of their five-word shingles, directly or through others; their
+    fingerprints (op3) and MinHash keys, for those whose fingerprints lie apart, tell what to compare. Rows
     that repeat its id are the same document and stay with it; documents without id cannot be chosen
     among, and stay.
     """

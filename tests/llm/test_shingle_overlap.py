@@ -4,6 +4,7 @@ import corpus_pipeline
 import numpy as np
 
 from tierline.llm import shingle_overlap as so
+from tierline.llm.fuzzy_hashing import near_duplicates
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -72,3 +73,19 @@ def test_groups_equal_brute_force(spark, documents):
         found = [r.first for r in so.first_of_similar(frame, block_rows=block_rows).collect()]
         assert len(found) == len(set(found)) and set(found) == expected
     assert so.first_of_similar(frame.limit(0)).collect() == []
+
+
+def test_fingerprints_say_what_to_compare_too(spark, documents, monkeypatch):
+    """Without any MinHash key: near texts are linked by their fingerprints, unless too few shingles agree."""
+    base = text(3, 3000)
+    near = changed(base, (1500,), 1)  # one word of 3,000
+    short = ["one two", "one two  ", "three four"]
+    frame = documents((1, " ".join(base)), (2, " ".join(near)), *((n + 3, t) for n, t in enumerate(short)))
+    bits = {r.doc_id: int(r.fingerprint, 16) for r in near_duplicates(frame).collect()}
+    assert (bits[1] ^ bits[2]).bit_count() <= 4 and bits[3] == bits[4]
+    empty = spark.createDataFrame([], "key bigint, mark bigint")
+    monkeypatch.setattr(so, "_keyed", lambda texts: empty)
+    found = {r.first for r in so.first_of_similar(frame).collect()}
+    assert found == {1, 3, 5}
+    # A fingerprint alone links nothing: the whole sets decide.
+    assert {r.first for r in so.first_of_similar(frame, least=0.9999).collect()} == {1, 2, 3, 5}

@@ -1,4 +1,7 @@
-"""Near-duplicate texts by the overlap of their word shingles; MinHash finds what is compared."""
+"""Near-duplicate texts by the overlap of their word shingles.
+
+Fingerprints (see fuzzy_hashing) and MinHash keys find what is compared.
+"""
 
 from collections.abc import Iterator
 
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tierline import workspace
 from tierline.llm.components import EDGES, components
-from tierline.llm.fuzzy_hashing import roots
+from tierline.llm.fuzzy_hashing import near_duplicates, roots
 
 SEED = 42
 WORDS = 5
@@ -66,6 +69,13 @@ def _keyed(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "key bigint, mark bigint")
 
 
+def _fingerprint_keys(texts: DataFrame) -> DataFrame:
+    """A key for each group of fingerprints that links of few bits reach, with the marks of its texts."""
+    found = near_duplicates(texts, id_col="mark")
+    key = F.xxhash64(F.lit("fingerprints"), "component_id").alias("key")
+    return found.select(key, F.col("doc_id").alias("mark"))
+
+
 def _sets(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,8 +162,8 @@ def _linked(members: DataFrame, sets: DataFrame, least: float) -> DataFrame:
 def link_texts(texts: DataFrame, least: float = LEAST, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """`node, root` of every mark that is linked to another; texts have a `mark` and a `text`.
 
-    Texts with a key in common are compared by their whole sets of shingles, those of a large key in
-    blocks; keys with the same texts are taken once. Blocks of a key meet each other only where its
+    Texts whose fingerprints are linked (see near_duplicates()), or with a MinHash key in common, are
+    compared by their whole sets of shingles, those of a large key in blocks; keys with the same texts are taken once. Blocks of a key meet each other only where its
     texts are not joined yet, so that a large group of near copies costs no more than its rows.
     """
     spark = texts.sparkSession
@@ -163,7 +173,7 @@ def link_texts(texts: DataFrame, least: float = LEAST, block_rows: int = BLOCK_R
         rows.write.parquet(f"{place}/{name}")
         return spark.read.schema(rows.schema).parquet(f"{place}/{name}")
 
-    keyed = stored(_keyed(texts).distinct(), "keyed")
+    keyed = stored(_keyed(texts).union(_fingerprint_keys(texts)).distinct(), "keyed")
     groups = (
         keyed.groupBy("key")
         .agg(
