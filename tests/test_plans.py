@@ -131,3 +131,18 @@ def test_chunked_ranking_never_sorts_a_whole_minute(spark):
     windows = re.findall(r"row_number\(\) windowspecdefinition\(([^)]*?)specified", plan(dealt))
     assert windows and all("id_chunk" in window for window in windows)
     assert len(rows(dealt, "row_idx")) == 3000
+
+
+def test_servers_are_dealt_with_one_sort_of_the_rows(spark):
+    """The window's sort serves the join with the offsets, where that is not broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(assign_servers(spread_events(spark)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    wide = [line for line in re.findall(r"\n\(\d+\) Sort[^\n]*\nInput \[\d+\]: \[([^\n]*)\]", text) if "user_session" in line]
+    assert len(wide) == 1

@@ -121,9 +121,11 @@ def assign_servers(events: DataFrame, servers: int = 4, chunk: int = SHARD_CHUNK
     )
     offsets = earlier_sizes(keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")))
     within = Window.partitionBy(*keys).orderBy("row_idx", "row_hash")
-    position = F.col("offset") + F.row_number().over(within) - 1
+    # Numbered first: what the window has sorted is in the order that the join needs.
+    numbered = keyed.withColumn("id_place", F.row_number().over(within)).drop("row_hash")
+    position = F.col("offset") + F.col("id_place") - 1
     return (
-        keyed.join(offsets, keys)
+        numbered.join(offsets, keys)
         .withColumn("server", F.pmod(position, F.lit(servers)).cast("int"))
-        .drop("id_chunk", "offset", "row_hash")
+        .drop("id_chunk", "offset", "id_place")
     )
